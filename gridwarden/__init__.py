@@ -5,7 +5,7 @@ from gridwarden.operators.findings import enrich_feeder
 from gridwarden.plans.batch import all_findings, run_validation
 from gridwarden.plans.report import read_findings, report, run_date_of
 from gridwarden.plans.rules import BATCH, RULES, rule_findings
-from gridwarden.sources.network import Network, read_network, read_network_tables
+from gridwarden.sources.network import Network, network_of, read_network, read_network_tables
 
 __all__ = [
     "BATCH",
@@ -13,6 +13,7 @@ __all__ = [
     "Network",
     "all_findings",
     "enrich_feeder",
+    "network_of",
     "non_null_census",
     "read_findings",
     "read_network",

@@ -1 +1 @@
-"""Column expressions for phase codes and report texts."""
+"""SQL expressions for phase codes and report texts."""

@@ -1,49 +1,28 @@
-"""Phase codes as 3-bit masks (A=4, B=2, C=1), in built-in column expressions."""
+"""Phase codes as 3-bit masks (A=4, B=2, C=1)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from gridwarden.functions import values
+from gridwarden.functions.text import mapped
 
 PHASES = {"A": 4, "B": 2, "C": 1}
 
 
-def mapped(code: Column, table: Mapping[int, object]) -> Column:
-    """The table's value for a code, NULL for a code not listed."""
-    codes_of: dict[object, list[int]] = {}
-    for key, value in table.items():
-        codes_of.setdefault(value, []).append(key)
-    chain = F
-    for value, codes in codes_of.items():
-        chain = chain.when(code.isin(codes) if len(codes) > 1 else code == codes[0], F.lit(value))
-    return chain
-
-
-def is_phase(code: Column) -> Column:
-    return code.between(1, 7)
-
-
-def phase_count(code: Column) -> Column:
+def phase_count(code: str) -> str:
     """Phases in a code; NULL when the code is missing or outside 1..7."""
-    return F.when(is_phase(code), F.bit_count(code))
+    return mapped(code, values.PHASE_COUNT)
 
 
-def phase_letters(code: Column) -> Column:
+def phase_letters(code: str) -> str:
     return mapped(code, values.PHASE_LETTERS)
 
 
-def phases_outside(code: Column, allowed: Column) -> Column:
+def phases_outside(code: str, allowed: str) -> str:
     """True if `code` has a phase `allowed` lacks; not true if either is no phase code."""
-    return is_phase(code) & is_phase(allowed) & (code.bitwiseAND(F.bitwise_not(allowed)) != 0)
+    return f"({code} between 1 and 7 and {allowed} between 1 and 7 and ({code} & ~{allowed}) <> 0)"
 
 
-def letters_outside(text: Column, allowed: Column) -> Column:
+def letters_outside(text: str, allowed: str) -> str:
     """True if the text has a character, blanks aside, that is no letter of the `allowed` code."""
-    unknown = F.translate(text, "ABC ", "") != ""
-    for letter, bit in PHASES.items():
-        unknown = unknown | (text.contains(letter) & (allowed.bitwiseAND(F.lit(bit)) == 0))
-    return is_phase(allowed) & unknown
+    lacking = " or ".join(f"(contains({text}, '{letter}') and ({allowed} & {bit}) = 0)" for letter, bit in PHASES.items())
+    return f"({allowed} between 1 and 7 and (translate({text}, 'ABC ', '') <> '' or {lacking}))"

@@ -1,26 +1,43 @@
-"""Text and number expressions with the report's NULL rules: NULL joins as nothing, empty is NULL."""
+"""Text and number expressions with the report's NULL rules: NULL joins as nothing, empty is NULL.
+
+Expressions are SQL text, so a rule's conditions are built without a call into the JVM per operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+
+def literal(value: str | int | None) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "null" if value is None else str(value)
+
+
+def mapped(code: str, table: Mapping[int, str | int]) -> str:
+    """The table's value for a small non-negative code, NULL for any other code.
+
+    One look into a constant array: a CASE would repeat `code` per entry and swell the generated code.
+    """
+    entries = ", ".join(literal(table.get(i)) for i in range(max(table) + 1))
+    return f"get(array({entries}), try_cast({code} as int))"
 
 
-def joined(*parts: Column | str) -> Column:
-    """The parts as one text; a NULL part adds nothing."""
-    return F.concat_ws("", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def joined(*parts: str) -> str:
+    """The expressions as one text; a NULL adds nothing."""
+    return "concat_ws('', " + ", ".join(f"cast({part} as string)" for part in parts) + ")"
 
 
-def piece(text: Column, start: int, length: int) -> Column:
+def piece(text: str, start: int, length: int) -> str:
     """A substring, NULL where the text is too short to have it."""
-    return F.nullif(F.substring(text, start, length), F.lit(""))
+    return f"nullif(substring({text}, {start}, {length}), '')"
 
 
-def to_power(value: Column) -> Column:
+def to_power(value: str) -> str:
     """A power written with `.` or `,` as a decimal; NULL if it is no number."""
-    return F.replace(value.cast("string"), F.lit(","), F.lit(".")).try_cast("decimal(28,10)")
+    return f"try_cast(replace({value}, ',', '.') as decimal(28,10))"
 
 
-def number_text(value: Column) -> Column:
+def number_text(value: str) -> str:
     """A number with at most two decimals and no trailing zeros."""
-    return F.regexp_replace(F.round(value, 2).cast("decimal(38,2)").cast("string"), "[.]?0+$", "")
+    return f"regexp_replace(cast(cast(round({value}, 2) as decimal(38,2)) as string), '[.]?0+$', '')"

@@ -1,54 +1,62 @@
-"""Conditions on single rows: each says which rows break a rule."""
+"""Conditions on single rows, as SQL expressions: each says which rows break a rule."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
+from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from gridwarden.functions.phases import phase_count
+from gridwarden.functions.text import joined, literal, mapped
 
-from gridwarden.functions.phases import mapped, phase_count
-from gridwarden.functions.text import joined
 
+class Message(NamedTuple):
+    """A text, an expression, for the rows that meet a condition."""
 
-def code_count_mismatch(code: Column, subtype: Column, phases_of: Mapping[int, int]) -> tuple[Column, Column, Column]:
+    broken: str
+    text: str
+
+    @property
+    def value(self) -> str:
+        return f"if({self.broken}, {self.text}, null)"
+
+
+def code_count_mismatch(code: str, subtype: str, phases_of: Mapping[int, int]) -> tuple[str, str, str]:
     """Flag, phases by code (0 for no phase code), phases by subtype; an unlisted subtype is not flagged."""
-    by_code = F.coalesce(phase_count(code), F.lit(0))
-    by_subtype = mapped(subtype, phases_of)
-    return by_code != by_subtype, by_code, by_subtype
+    by_code, by_subtype = f"coalesce({phase_count(code)}, 0)", mapped(subtype, phases_of)
+    return f"{by_code} <> {by_subtype}", by_code, by_subtype
 
 
-def code_map_mismatch(code: Column, actual: Column, expected_of: Mapping[int, int]) -> tuple[Column, Column]:
+def code_map_mismatch(code: str, actual: str, expected_of: Mapping[int, int]) -> tuple[str, str]:
     """Flag and expected value. A missing value is flagged; an unlisted code with a value is not."""
     expected = mapped(code, expected_of)
-    return code.isNotNull() & (actual.isNull() | (actual != expected)), expected
-
-
-def conformance(*messages: Column) -> Column:
-    """True where any of the messages is there."""
-    return reduce(or_, [m.isNotNull() for m in messages])
+    return f"({code} is not null and ({actual} is null or {actual} <> {expected}))", expected
 
 
-def messages(*conditions: tuple[Column, str]) -> Column:
-    """The text of the first condition that holds, NULL if none does."""
-    chain = F
-    for condition, text in conditions:
-        chain = chain.when(condition, F.lit(text))
-    return chain
+def conformance(*messages: Message) -> str:
+    """True where any of the messages applies."""
+    return "(" + " or ".join(f"({m.broken})" for m in messages) + ")"
 
 
-def message_pair(first: Column, second: Column) -> Column:
-    """Two messages around a semicolon; a missing one leaves its side empty."""
-    return joined(first, ";", second)
+def message_pair(first: Message, second: Message) -> str:
+    """Two messages around a semicolon; one that does not apply leaves its side empty."""
+    return joined(first.value, literal(";"), second.value)
 
 
-def missing(columns: Sequence[Column]) -> Column:
+def missing(columns: Sequence[str]) -> str:
     """True where any of the columns is NULL."""
-    return reduce(or_, [c.isNull() for c in columns])
+    return "(" + " or ".join(f"{column} is null" for column in columns) + ")"
 
 
-def null_or_range(column: Column, low: int, high: int) -> Column:
+def null_or_range(column: str, low: int, high: int) -> str:
     """True where the value is NULL or outside low..high."""
-    return column.isNull() | (column < low) | (column > high)
+    return f"({column} is null or {column} not between {low} and {high})"
+
+
+def child_count_mismatch(expected: str, units: str) -> str:
+    """True where the number of children, 0 for none, is not the expected one."""
+    return f"coalesce({units}, 0) <> {expected}"
+
+
+def child_sum_mismatch(expected: str, total: str) -> str:
+    """True where the children's sum is not the parent's value, both to two decimals."""
+    return f"round({expected}, 2) <> round({total}, 2)"

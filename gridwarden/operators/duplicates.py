@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def duplicate_key(rows: DataFrame, key: str, group_columns: Sequence[str]) -> DataFrame:
     """The groups of one key and equal group columns that hold more than one row."""
     return (
-        rows.where(F.col(key).isNotNull())
+        rows.where(f"{key} is not null")
         .groupBy(key, *group_columns)
         .agg(F.count(F.lit(1)).alias("repeats"))
         .where("repeats > 1")
@@ -19,27 +19,24 @@ def duplicate_key(rows: DataFrame, key: str, group_columns: Sequence[str]) -> Da
     )
 
 
-def rows_missing_key(rows: DataFrame, key: str, extra: Column | None = None) -> DataFrame:
+def rows_missing_key(rows: DataFrame, key: str, extra: str = "true") -> DataFrame:
     """Object ids of the rows without the key, with the number of such rows."""
-    missing = rows.where(F.col(key).isNull())
-    if extra is not None:
-        missing = missing.where(extra)
-    return missing.groupBy("objectid").agg(F.count(F.lit(1)).alias("total"))
+    return rows.where(f"{key} is null and {extra}").groupBy("objectid").agg(F.count(F.lit(1)).alias("total"))
 
 
 def matched_totals(left: DataFrame, right: DataFrame, key: str, state: str) -> DataFrame:
-    """The number of joined rows on `key` per value of the right side's `state`.
+    """The number of joined rows on `key`, as `pairs`, per key and value of the right side's `state`.
 
     Each side is counted by key first, so the join pairs counts, not rows.
     """
-    lefts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_left"))
-    rights = right.where(F.col(key).isNotNull()).groupBy(key, state).agg(F.count(F.lit(1)).alias("_right"))
-    return lefts.join(rights, key).select(state, (F.col("_left") * F.col("_right")).alias("pairs"))
+    lefts = left.where(f"{key} is not null").groupBy(key).agg(F.count(F.lit(1)).alias("_left"))
+    rights = right.where(f"{key} is not null").groupBy(key, state).agg(F.count(F.lit(1)).alias("_right"))
+    return lefts.join(rights, key).selectExpr(state, "_left * _right as pairs")
 
 
-def conditional_summary(counted: DataFrame, total: Column, pivots: Mapping[str, Column]) -> DataFrame:
+def conditional_summary(counted: DataFrame, total: str, pivots: Mapping[str, str]) -> DataFrame:
     """One row: the total, and the total of the rows that meet each condition."""
     return counted.agg(
-        F.sum(total).alias("total"),
-        *[F.sum(F.when(condition, total).otherwise(0)).alias(name) for name, condition in pivots.items()],
+        F.expr(f"sum({total})").alias("total"),
+        *[F.expr(f"sum(if({condition}, {total}, 0))").alias(name) for name, condition in pivots.items()],
     )

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from gridwarden.functions.text import literal
 from gridwarden.operators.joins import Lookup
 
 COLUMNS = [
@@ -29,112 +27,104 @@ COLUMNS = [
     "modified_by",
     "modified_at",
 ]
+FEATURE = [
+    "alimentadorid as feeder_id",
+    "objectid as object_id",
+    "usuarioregistro as created_by",
+    "fecharegistro as created_at",
+    "usuariomodificacionregistro as modified_by",
+    "fechamodificacionregistro as modified_at",
+]
+NO_TEXT = "cast(null as string)"
+FILTER_LENGTH = 500
 
 
-def findings_schema(audit_date: T.DataType | None = None) -> T.StructType:
+def findings_schema(audit_date: str = "date") -> T.StructType:
     """The 13 columns; audit times are dates unless the network's tables hold timestamps."""
-    special = {
-        "object_id": T.LongType(),
-        "run_date": T.DateType(),
-        "created_at": audit_date or T.DateType(),
-        "modified_at": audit_date or T.DateType(),
-    }
+    audit = T.TimestampType() if audit_date == "timestamp" else T.DateType()
+    special = {"object_id": T.LongType(), "run_date": T.DateType(), "created_at": audit, "modified_at": audit}
     return T.StructType([T.StructField(c, special.get(c, T.StringType())) for c in COLUMNS])
 
 
 @dataclass(frozen=True)
 class Check:
-    """A condition on the rows of one table, and the texts of the finding it makes."""
+    """A condition on the rows of one table, and the finding it makes; details are expressions."""
 
     rule_id: str
     element: str
-    flagged: Column
-    detail_1: Column | str | None = None
-    detail_2: Column | str | None = None
-
-
-def text_or_null(value: Column | str | None) -> Column:
-    return value if isinstance(value, Column) else F.lit(value).cast("string")
-
-
-def marks(rows: DataFrame, element: Column | str, detail_1: Column | str | None, detail_2: Column | str | None, rule_id: Column | str) -> DataFrame:
-    """The findings' own columns, taken from rows that carry a feature's id, feeder and audit columns."""
-    return rows.select(
-        text_or_null(rule_id).alias("rule_id"),
-        F.col("alimentadorid").alias("feeder_id"),
-        text_or_null(element).alias("element"),
-        F.col("objectid").alias("object_id"),
-        text_or_null(detail_1).alias("detail_1"),
-        text_or_null(detail_2).alias("detail_2"),
-        F.col("usuarioregistro").alias("created_by"),
-        F.col("fecharegistro").alias("created_at"),
-        F.col("usuariomodificacionregistro").alias("modified_by"),
-        F.col("fechamodificacionregistro").alias("modified_at"),
-    )
-
-
-def summary_marks(rows: DataFrame, element: str, object_id: Column, detail_1: Column, detail_2: Column | None, rule_id: str, audit_date: T.DataType) -> DataFrame:
-    """The findings' own columns for rows that name no feeder, author or date."""
-    none = F.lit(None).cast("string")
-    return rows.select(
-        F.lit(rule_id).alias("rule_id"),
-        none.alias("feeder_id"),
-        F.lit(element).alias("element"),
-        object_id.cast("long").alias("object_id"),
-        detail_1.alias("detail_1"),
-        text_or_null(detail_2).alias("detail_2"),
-        none.alias("created_by"),
-        F.lit(None).cast(audit_date).alias("created_at"),
-        none.alias("modified_by"),
-        F.lit(None).cast(audit_date).alias("modified_at"),
+    flagged: str
+    detail_1: str = NO_TEXT
+    detail_2: str = NO_TEXT
+
+
+def marks(rows: DataFrame, rule_id: str, element: str, detail_1: str = NO_TEXT, detail_2: str = NO_TEXT) -> DataFrame:
+    """What a finding says about a feature, from rows with the feature's id, feeder and audit columns."""
+    texts = [f"{rule_id} as rule_id", f"{element} as element", f"{detail_1} as detail_1", f"{detail_2} as detail_2"]
+    return rows.selectExpr(*texts, *FEATURE)
+
+
+def summary_marks(rows: DataFrame, rule_id: str, element: str, object_id: str, detail_1: str, audit_date: str, detail_2: str = NO_TEXT) -> DataFrame:
+    """What a finding says that names no feeder, author or date."""
+    return rows.selectExpr(
+        f"{literal(rule_id)} as rule_id",
+        f"{literal(element)} as element",
+        f"{detail_1} as detail_1",
+        f"{detail_2} as detail_2",
+        f"{NO_TEXT} as feeder_id",
+        f"cast({object_id} as bigint) as object_id",
+        f"{NO_TEXT} as created_by",
+        f"cast(null as {audit_date}) as created_at",
+        f"{NO_TEXT} as modified_by",
+        f"cast(null as {audit_date}) as modified_at",
     )
 
 
 def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Marks of all checks in one pass over the rows; a row gives one mark per check it fails.
 
-    Clean rows leave at the filter. Texts are built only for the rows that stay.
+    Texts are built only for flagged rows. One short condition is a filter, which reaches the scan.
+    Others stand in a generator, below which Catalyst computes a derived column once instead of
+    repeating it per mention; the generated method stays small enough for the JVM to compile.
     """
-    if len(checks) == 1:
-        only = checks[0]
-        return marks(rows.where(only.flagged), only.element, only.detail_1, only.detail_2, only.rule_id)
-    failed = F.explode(F.array([F.when(c.flagged, F.lit(i)) for i, c in enumerate(checks)]))
-    hits = (
-        rows.where(reduce(or_, [c.flagged for c in checks]))
-        .select("*", failed.alias("_check"))
-        .where(F.col("_check").isNotNull())
+    only = checks[0]
+    if len(checks) == 1 and len(only.flagged) <= FILTER_LENGTH:
+        return marks(rows.where(only.flagged), literal(only.rule_id), literal(only.element), only.detail_1, only.detail_2)
+    failed = ", ".join(f"if({check.flagged}, {i}, null)" for i, check in enumerate(checks))
+    hits = rows.selectExpr("*", f"explode(array({failed})) as _check").where("_check is not null")
+
+    def constant(values: list[str]) -> str:
+        return literal(values[0]) if len(set(values)) == 1 else f"get(array({', '.join(map(literal, values))}), _check)"
+
+    def chosen(values: list[str]) -> str:
+        if len(set(values)) == 1:
+            return values[0]
+        return "case _check " + " ".join(f"when {i} then {value}" for i, value in enumerate(values)) + " end"
+
+    return marks(
+        hits,
+        constant([check.rule_id for check in checks]),
+        constant([check.element for check in checks]),
+        chosen([check.detail_1 for check in checks]),
+        chosen([check.detail_2 for check in checks]),
     )
 
-    def of_check(attribute: str) -> Column:
-        chain = F
-        for i, check in enumerate(checks):
-            chain = chain.when(F.col("_check") == i, text_or_null(getattr(check, attribute)))
-        return chain
-
-    return marks(hits, of_check("element"), of_check("detail_1"), of_check("detail_2"), of_check("rule_id"))
-
 
 def enrich_feeder(rows: DataFrame, feeders: Lookup) -> DataFrame:
     """Adds the feeder's name, NULL for an unknown feeder. Rows never multiply."""
     return feeders.join_value(rows, "feeder_id", "object_id", "feeder_name")
 
 
-def as_findings(rows: DataFrame, titles: dict[str, tuple[str, str]], feeders: Lookup, run_date: date, audit_date: T.DataType) -> DataFrame:
-    """Findings, with their `rule_id`, from marks."""
-    rule_ids = sorted(titles)
+def as_findings(rows: DataFrame, titles: Mapping[str, tuple[str, str]], feeders: Lookup, run_date: date, audit_date: str) -> DataFrame:
+    """Findings, with a leading `rule_id`, from marks."""
 
-    def title(part: int) -> Column:
-        if len(rule_ids) == 1:
-            return F.lit(titles[rule_ids[0]][part])
-        chain = F
-        for rule_id in rule_ids:
-            chain = chain.when(F.col("rule_id") == rule_id, titles[rule_id][part])
-        return chain
+    def title(part: int) -> str:
+        if len(titles) == 1:
+            return literal(next(iter(titles.values()))[part])
+        entries = ", ".join(f"{literal(rule_id)}, {literal(title[part])}" for rule_id, title in titles.items())
+        return f"element_at(map({entries}), rule_id)"
 
-    named = (
-        enrich_feeder(rows, feeders)
-        .withColumn("category", title(0))
-        .withColumn("rule", title(1))
-        .withColumn("run_date", F.lit(run_date).cast("date"))
-    )
-    return named.select("rule_id", *[F.col(f.name).cast(f.dataType) for f in findings_schema(audit_date)])
+    titled = rows.selectExpr("*", f"{title(0)} as category", f"{title(1)} as rule")
+    typed = {f.name: f.dataType.simpleString() for f in findings_schema(audit_date)}
+    columns = [f"cast({name} as {kind}) as {name}" for name, kind in typed.items() if name != "run_date"]
+    columns.insert(COLUMNS.index("run_date"), f"date '{run_date.isoformat()}' as run_date")
+    return enrich_feeder(titled, feeders).selectExpr("rule_id", *columns)

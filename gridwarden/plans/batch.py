@@ -18,7 +18,7 @@ log = logging.getLogger(__name__)
 
 
 def all_findings(network: Network, run_date: date, rules: Sequence[Rule] = BATCH) -> DataFrame:
-    """Findings of all rules as one lazy plan, each table scanned once for its row checks."""
+    """Findings of all rules as one lazy plan that reads each view once for all of its checks."""
     return findings_with_rule(network, rules, run_date).select(COLUMNS)
 
 

@@ -11,48 +11,43 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gridwarden.functions import values
-from gridwarden.functions.phases import letters_outside, mapped, phase_count, phase_letters, phases_outside
-from gridwarden.functions.text import joined, number_text, piece, to_power
+from gridwarden.functions.phases import letters_outside, phase_count, phase_letters, phases_outside
+from gridwarden.functions.text import joined, literal, mapped, number_text, piece, to_power
 from gridwarden.operators import checks as c
-from gridwarden.operators.children import (
-    child_count_mismatch,
-    child_sum_mismatch,
-    repeated_child_value,
-    with_child_totals,
-    with_children,
-    wrong_parent,
-)
+from gridwarden.operators.checks import Message
+from gridwarden.operators.children import repeated_child_value, with_child_totals, with_children, wrong_parent
 from gridwarden.operators.duplicates import conditional_summary, duplicate_key, matched_totals, rows_missing_key
 from gridwarden.operators.findings import COLUMNS, Check, as_findings, flag_rows, marks, summary_marks
 from gridwarden.operators.joins import inner_join
 from gridwarden.sources.network import AUDIT, Network
 
 PHASE = "faseconexion"
-MEDIUM_VIEWS = {"medium_overhead": "tramodistribucionaereo", "medium_underground": "tramodistribucionsubterraneo"}
-LOW_VIEWS = {"low_overhead": "tramobajatensionaereo", "low_underground": "tramobajatensionsubterraneo"}
+SWITCH, CAPACITOR, TRANSFORMER = "Seccionador Fusible", "Capacitor", "Puesto Transformador"
+CONNECTION = "Conexion Consumidor"
 
 
 # --- Views ----------------------------------------------------------------------------------
 
 
-def power(frame: DataFrame, column: str) -> Column:
+def power(frame: DataFrame, column: str) -> str:
     """A power column as a decimal, whether the source holds text or numbers."""
     kind = frame.schema[column].dataType
     if isinstance(kind, T.DecimalType):
-        return F.col(column)
-    return to_power(F.col(column)) if isinstance(kind, T.StringType) else F.col(column).try_cast("decimal(28,10)")
+        return column
+    return to_power(column) if isinstance(kind, T.StringType) else f"try_cast({column} as decimal(28,10))"
 
 
-def power_total(units: DataFrame) -> Column:
+def power_total(units: DataFrame) -> str:
     """Sum of the units' power, NULL counted as 0; NULL if any unit's text is no number."""
     value = power(units, "potencianominal")
-    unreadable = F.max(F.col("potencianominal").isNotNull() & value.isNull())
-    return F.when(~unreadable, F.sum(F.coalesce(value, F.lit(0))))
+    total = f"sum(coalesce({value}, 0))"
+    if value == "potencianominal":
+        return total
+    return f"if(max(potencianominal is not null and {value} is null), null, {total})"
 
 
 def transformer_units(network: Network) -> DataFrame:
@@ -62,9 +57,9 @@ def transformer_units(network: Network) -> DataFrame:
         "globalid",
         units,
         "puestotransfdistglobalid",
-        _rows=F.count(F.lit(1)),
-        _units=F.count("objectid"),
-        _phases=F.sum(F.coalesce(PHASE, F.lit(0))),
+        _rows="count(1)",
+        _units="count(objectid)",
+        _phases=f"sum(coalesce({PHASE}, 0))",
         _power=power_total(units),
     )
 
@@ -76,8 +71,8 @@ def capacitor_units(network: Network) -> DataFrame:
         "globalid",
         units,
         "puestocorrfacpotglobalid",
-        _rows=F.count(F.lit(1)),
-        _units=F.count("objectid"),
+        _rows="count(1)",
+        _units="count(objectid)",
         _power=power_total(units),
     )
 
@@ -88,7 +83,7 @@ def fuse_switch_units(network: Network) -> DataFrame:
         "globalid",
         network["unidadfusible"],
         "puestosecfusibleglobalid",
-        _units=F.count("objectid"),
+        _units="count(objectid)",
     )
 
 
@@ -139,16 +134,16 @@ def phase_vs_subtype(network: Network) -> Checks:
     ]
     found = []
     for view, element, phases_of in layers:
-        flagged, by_code, by_subtype = c.code_count_mismatch(F.col(PHASE), F.col("subtipo"), phases_of)
-        texts = joined(values.COUNT_BY_PHASE, by_code), joined(values.COUNT_BY_SUBTYPE, by_subtype)
+        flagged, by_code, by_subtype = c.code_count_mismatch(PHASE, "subtipo", phases_of)
+        texts = joined(literal(values.COUNT_BY_PHASE), by_code), joined(literal(values.COUNT_BY_SUBTYPE), by_subtype)
         found.append((view, Check("R01", element, flagged, *texts)))
     return found
 
 
 def feeder_info(network: Network) -> Checks:
-    flagged, expected = c.code_map_mismatch(F.col(PHASE), F.col("alimentadorinfo"), values.FEEDER_INFO)
+    flagged, expected = c.code_map_mismatch(PHASE, "alimentadorinfo", values.FEEDER_INFO)
     detail = joined(
-        "Fase=", phase_letters(F.col(PHASE)), " AlimentadorInfo esperado=", expected, " actual=", F.col("alimentadorinfo")
+        "'Fase='", phase_letters(PHASE), "' AlimentadorInfo esperado='", expected, "' actual='", "alimentadorinfo"
     )
     elements = {
         "low_overhead": "Tramo Baja Aereo",
@@ -157,130 +152,131 @@ def feeder_info(network: Network) -> Checks:
         "medium_underground": "Tramo Distribución Subterraneo",
         "light": "Luminaria",
         "transformer": "Transformador",
-        "fuse_switch": "Seccionador Fusible",
+        "fuse_switch": SWITCH,
     }
     found = [(view, Check("R03", element, flagged, detail)) for view, element in elements.items()]
-    metered = flagged & (F.col("subtipo") != values.TOTALIZER_LOAD)
+    metered = f"{flagged} and subtipo <> {values.TOTALIZER_LOAD}"
     return [*found, ("load_point", Check("R03", "Punto Carga", metered, detail))]
 
 
-def voltage_message(phases: Column) -> Column:
-    voltage = F.col("voltaje")
-    return c.messages(
-        ((phases == 1) & (voltage != values.SINGLE_PHASE_VOLTAGE), values.VOLTAGE_SINGLE),
-        (phases.isin(2, 3) & (voltage != values.MULTI_PHASE_VOLTAGE), values.VOLTAGE_MULTI),
-    )
+def by_phase_code(per_count: dict[int, str | int]) -> str:
+    """The value for the number of phases that the connection phase has."""
+    return mapped(PHASE, {code: per_count[n] for code, n in values.PHASE_COUNT.items()})
+
+
+def voltage_message() -> Message:
+    """The voltage is not the one for the number of phases."""
+    single, multi = values.SINGLE_PHASE_VOLTAGE, values.MULTI_PHASE_VOLTAGE
+    text = by_phase_code({1: values.VOLTAGE_SINGLE, 2: values.VOLTAGE_MULTI, 3: values.VOLTAGE_MULTI})
+    return Message(f"voltaje <> {by_phase_code({1: single, 2: multi, 3: multi})}", text)
+
+
+def digit_message(text: str, texts: dict[int, str]) -> Message:
+    """The text does not start with the number of phases."""
+    return Message(f"{piece(text, 1, 1)} <> {by_phase_code({1: '1', 2: '2', 3: '3'})}", by_phase_code(texts))
 
 
 def switch_structure(network: Network) -> Checks:
-    phases, subtype, structure = phase_count(F.col(PHASE)), F.col("subtipo"), F.col("_structure")
-    structure_phases = c.messages(
-        *[((phases == n) & (piece(structure, 1, 1) != str(n)), text) for n, text in values.STRUCTURE_PHASES.items()]
-    )
-    structure_letter = c.messages(
-        *[
-            ((subtype == s) & (piece(structure, 2, 1) != values.SWITCH_STRUCTURE_LETTER[s]), text)
-            for s, text in values.STRUCTURE_SUBTYPE.items()
-        ]
+    voltage = voltage_message()
+    phases = digit_message("_structure", values.STRUCTURE_PHASES)
+    letter = Message(
+        f"{piece('_structure', 2, 1)} <> {mapped('subtipo', values.SWITCH_STRUCTURE_LETTER)}",
+        mapped("subtipo", values.STRUCTURE_SUBTYPE),
     )
-    coded = F.trim(piece(structure, 3, 3))
+    amperes = f"trim(substring(_structure, 3, 3))"
     if isinstance(network["puestoseccionadorfusible"].schema["corriente"].dataType, T.StringType):
-        other_current = F.nullif(coded, F.lit("")) != F.nullif(F.trim("corriente"), F.lit(""))
+        differs = f"nullif({amperes}, '') <> nullif(trim(corriente), '')"
     else:
-        other_current = coded.try_cast("decimal(18,3)") != F.col("corriente")
-    structure_current = c.messages(*[((subtype == s) & other_current, text) for s, text in values.STRUCTURE_CURRENT.items()])
-    voltage = voltage_message(phases)
-    check = Check(
-        "R05",
-        "Seccionador Fusible",
-        c.conformance(voltage, structure_phases, structure_letter, structure_current),
-        c.message_pair(voltage, structure_phases),
-        c.message_pair(structure_letter, structure_current),
-    )
+        differs = f"try_cast({amperes} as decimal(18,3)) <> corriente"
+    listed = ", ".join(map(str, values.STRUCTURE_CURRENT))
+    current = Message(f"{differs} and subtipo in ({listed})", mapped("subtipo", values.STRUCTURE_CURRENT))
+    flagged = c.conformance(voltage, phases, letter, current)
+    check = Check("R05", SWITCH, flagged, c.message_pair(voltage, phases), c.message_pair(letter, current))
     return [("fuse_switch_structure", check)]
 
 
-def units_vs_phase(rule_id: str, view: str, element: str) -> Checks:
-    phases, units = phase_count(F.col(PHASE)), F.coalesce("_units", F.lit(0))
-    texts = joined(values.COUNT_BY_PHASE, phases), joined(values.COUNT_OF_UNITS, units)
-    return [(view, Check(rule_id, element, child_count_mismatch(phases, units), *texts))]
+def units_vs_phase(rule_id: str, view: str, element: str) -> Callable[[Network], Checks]:
+    phases, units = phase_count(PHASE), "coalesce(_units, 0)"
+    texts = joined(literal(values.COUNT_BY_PHASE), phases), joined(literal(values.COUNT_OF_UNITS), units)
+    check = Check(rule_id, element, c.child_count_mismatch(phases, "_units"), *texts)
+    return lambda network: [(view, check)]
+
 
+def unit_power(rule_id: str, view: str, element: str, station: str) -> Callable[[Network], Checks]:
+    def checks(network: Network) -> Checks:
+        own, units = power(network[station], "potenciakva"), "if(_rows is null, 0, _power)"
+        parts = literal(f"{values.POWER_DIFFERS}. Puesto = "), number_text(own), literal(" Unidad = "), number_text(units)
+        return [(view, Check(rule_id, element, c.child_sum_mismatch(own, units), joined(*parts)))]
 
-def unit_power(rule_id: str, view: str, element: str, station: DataFrame) -> Checks:
-    own = power(station, "potenciakva")
-    units = F.when(F.col("_rows").isNull(), F.lit(0)).otherwise(F.col("_power"))
-    detail = joined(values.POWER_DIFFERS, ". Puesto = ", number_text(own), " Unidad = ", number_text(units))
-    return [(view, Check(rule_id, element, child_sum_mismatch(own, units), detail))]
+    return checks
 
 
 def conductor_and_sequence(network: Network) -> Checks:
-    empty = c.missing([F.col("codigoconductorfase"), F.col("configuracionconductores"), F.col("secuenciafase")])
-    outside = letters_outside(F.col("secuenciafase"), F.col(PHASE))
+    empty = c.missing(["codigoconductorfase", "configuracionconductores", "secuenciafase"])
+    outside = letters_outside("secuenciafase", PHASE)
     found = []
     for view, element in {"medium_overhead": "TMA", "medium_underground": "TMS"}.items():
-        found.append((view, Check("R10", element, empty, values.CONDUCTOR_MISSING)))
-        found.append((view, Check("R10", element, outside, values.SEQUENCE_OUTSIDE)))
+        found.append((view, Check("R10", element, empty, literal(values.CONDUCTOR_MISSING))))
+        found.append((view, Check("R10", element, outside, literal(values.SEQUENCE_OUTSIDE))))
     return found
 
 
 def conductor_and_voltage(network: Network) -> Checks:
-    layout, neutral = F.col("configuracionconductores"), F.col("codigoconductorneutro")
-    complete = ~c.missing([F.col("codigoconductorfase"), neutral, F.col(PHASE), layout])
-    phases = F.coalesce(phase_count(F.col(PHASE)), F.lit(0))
-    wires = piece(layout, 2, 1).try_cast("int")
-    layout_phases = c.messages(
-        *[((phases == n) & (piece(layout, 1, 1) != str(n)), text) for n, text in values.LAYOUT_PHASES.items()]
+    layout, neutral = "configuracionconductores", "codigoconductorneutro"
+    complete = f"not {c.missing(['codigoconductorfase', neutral, PHASE, layout])}"
+    phases, wires = f"coalesce({phase_count(PHASE)}, 0)", f"try_cast(substring({layout}, 2, 1) as int)"
+    no_neutral = f"{neutral} = {literal(values.NO_NEUTRAL)}"
+    voltage = voltage_message()
+    digit = digit_message(layout, values.LAYOUT_PHASES)
+    wired = Message(
+        f"if({no_neutral}, {wires} <> {phases}, {wires} <= {phases})",
+        f"if({no_neutral}, {literal(values.LAYOUT_NO_NEUTRAL)}, {literal(values.LAYOUT_NEUTRAL)})",
     )
-    layout_neutral = c.messages(
-        ((neutral == values.NO_NEUTRAL) & (wires != phases), values.LAYOUT_NO_NEUTRAL),
-        ((neutral != values.NO_NEUTRAL) & (wires < phases + 1), values.LAYOUT_NEUTRAL),
-    )
-    voltage = voltage_message(phases)
-    flagged = complete & c.conformance(voltage, layout_phases, layout_neutral)
-    details = voltage, c.message_pair(layout_phases, layout_neutral)
+    flagged = f"({complete} and {c.conformance(voltage, digit, wired)})"
+    texts = voltage.value, c.message_pair(digit, wired)
     # The catalog adds no column; only a code that it repeats would repeat the findings.
     suffix = "" if network.structures.unique else "_structures"
     return [
-        ("medium_overhead" + suffix, Check("R11", "MTA", flagged, *details)),
-        ("medium_underground" + suffix, Check("R11", "MTS", flagged, *details)),
+        ("medium_overhead" + suffix, Check("R11", "MTA", flagged, *texts)),
+        ("medium_underground" + suffix, Check("R11", "MTS", flagged, *texts)),
     ]
 
 
 def breaker_values(network: Network) -> Checks:
-    current, short_circuit, phase, voltage = [
-        c.messages((F.col(column).isNull(), text))
-        for column, text in [
-            ("corriente", values.CURRENT_MISSING),
-            ("corrientemaxcortocircuito", values.SHORT_CIRCUIT_MISSING),
-            (PHASE, values.PHASE_MISSING),
-            ("voltaje", values.VOLTAGE_MISSING),
-        ]
-    ]
-    empty = c.missing([F.col(name) for name in ("corriente", "corrientemaxcortocircuito", PHASE, "voltaje")])
-    texts = c.message_pair(current, short_circuit), c.message_pair(phase, voltage)
-    return [("breaker", Check("R12", "Puesto Proteccion Dinámico", empty, *texts))]
+    texts = {
+        "corriente": values.CURRENT_MISSING,
+        "corrientemaxcortocircuito": values.SHORT_CIRCUIT_MISSING,
+        PHASE: values.PHASE_MISSING,
+        "voltaje": values.VOLTAGE_MISSING,
+    }
+    current, short_circuit, phase, voltage = [Message(f"{column} is null", literal(text)) for column, text in texts.items()]
+    pairs = c.message_pair(current, short_circuit), c.message_pair(phase, voltage)
+    return [("breaker", Check("R12", "Puesto Proteccion Dinámico", c.missing(list(texts)), *pairs))]
 
 
 def units_vs_subtype(network: Network) -> Checks:
-    required = mapped(F.col("subtipo"), values.TRANSFORMER_UNITS)
-    group = mapped(F.col("subtipo"), values.TRANSFORMER_GROUP)
-    flagged = F.col("_rows").isNotNull() & child_count_mismatch(required, F.col("_units"))
-    texts = joined(group, " creado con ", F.col("_units"), " unidad(es)"), joined("Debe tener ", required, " unidad(es)")
-    return [("transformer_units", Check("R14", "Puesto Transformador", flagged, *texts))]
+    required, group = mapped("subtipo", values.TRANSFORMER_UNITS), mapped("subtipo", values.TRANSFORMER_GROUP)
+    flagged = f"(_rows is not null and {c.child_count_mismatch(required, '_units')})"
+    texts = (
+        joined(group, "' creado con '", "_units", "' unidad(es)'"),
+        joined("'Debe tener '", required, "' unidad(es)'"),
+    )
+    return [("transformer_units", Check("R14", TRANSFORMER, flagged, *texts))]
 
 
 def station_vs_unit_phase(network: Network) -> Checks:
-    station, units = F.coalesce(PHASE, F.lit(0)), F.coalesce("_phases", F.lit(0))
+    station, units = f"coalesce({PHASE}, 0)", "coalesce(_phases, 0)"
     named = {0: values.NULL_PHASE, **values.PHASE_LETTERS}
     detail = joined(
-        mapped(F.col("subtipo"), values.TRANSFORMER_GROUP),
-        " no coinciden Fase de Conexión, Puesto=",
+        mapped("subtipo", values.TRANSFORMER_GROUP),
+        "' no coinciden Fase de Conexión, Puesto='",
         mapped(station, named),
-        "  Unidad=",
-        F.coalesce(mapped(units, named), F.lit(values.UNKNOWN_PHASE)),
+        "'  Unidad='",
+        f"coalesce({mapped(units, named)}, {literal(values.UNKNOWN_PHASE)})",
     )
-    note = c.messages(((phase_count(F.col(PHASE)) == 1) & (F.col("_units") > 1), values.PARALLEL_NOTE))
-    return [("transformer_units", Check("R15", "Puesto Transformador", (station != units) | (station == 0), detail, note))]
+    parallel = Message(f"{phase_count(PHASE)} = 1 and _units > 1", literal(values.PARALLEL_NOTE))
+    flagged = f"({station} <> {units} or {station} = 0)"
+    return [("transformer_units", Check("R15", TRANSFORMER, flagged, detail, parallel.value))]
 
 
 # --- Rules with a plan of their own -------------------------------------------------------------
@@ -294,126 +290,111 @@ def connected(load_points: DataFrame, connections: DataFrame) -> DataFrame:
 
 def feature_vs_transformer(network: Network) -> DataFrame:
     # A full ABC transformer lacks no phase, and a feature without a phase code is never flagged.
-    transformers = network["puestotransfdistribucion"].where(F.col(PHASE).between(1, 6))
-    transformers = transformers.select(
-        F.col("circuitsourceguid").alias("_source"),
-        F.col(PHASE).alias("_transformer_phase"),
-        F.col("alimentadorid").alias("_transformer_feeder"),
+    transformers = network["puestotransfdistribucion"].where(f"{PHASE} between 1 and 6")
+    transformers = transformers.selectExpr(
+        "circuitsourceguid as _source", f"{PHASE} as _transformer_phase", "alimentadorid as _transformer_feeder"
     )
+    texts = [
+        joined(literal(values.CLIENT_PHASE), phase_letters(PHASE)),
+        joined(literal(values.TRANSFORMER_PHASE), phase_letters("_transformer_phase")),
+    ]
 
-    def outside(features: DataFrame) -> DataFrame:
-        phased = features.where(F.col(PHASE).between(1, 7))
-        fed = with_children(phased, "parentcircuitsourceguid", transformers, "_source")
-        return fed.where(phases_outside(F.col(PHASE), F.col("_transformer_phase"))).withColumn(
-            "alimentadorid", F.col("_transformer_feeder")
-        )
-
-    def marked(features: DataFrame, element: str) -> DataFrame:
-        letters = phase_letters(F.col(PHASE)), phase_letters(F.col("_transformer_phase"))
-        texts = joined(values.CLIENT_PHASE, letters[0]), joined(values.TRANSFORMER_PHASE, letters[1])
-        return marks(features, element, *texts, "R02")
+    def outside(table: str, *extra: str) -> DataFrame:
+        features = network[table].where(f"{PHASE} between 1 and 7")
+        features = features.select("objectid", PHASE, "parentcircuitsourceguid", *AUDIT, *extra)
+        fed = inner_join(features, transformers, "parentcircuitsourceguid", "_source")
+        return fed.where(phases_outside(PHASE, "_transformer_phase")).withColumnRenamed("_transformer_feeder", "alimentadorid")
 
-    load_points = connected(outside(network["puntocarga"]), network["conexionconsumidor"].select("puntocargaglobalid"))
-    return marked(load_points, "Punto Carga").unionByName(marked(outside(network["luminaria"]), "Luminaria"))
+    load_points = connected(outside("puntocarga", "globalid"), network["conexionconsumidor"].select("puntocargaglobalid"))
+    lights = outside("luminaria")
+    return marks(load_points, "'R02'", "'Punto Carga'", *texts).union(marks(lights, "'R02'", "'Luminaria'", *texts))
 
 
 def fed_by_breaker(network: Network) -> DataFrame:
-    breakers = network["puestoprotecciondinamico"]
-    breakers = breakers.where(F.col("circuitsourceguid") == F.col("parentcircuitsourceguid"))
+    breakers = network["puestoprotecciondinamico"].where("circuitsourceguid = parentcircuitsourceguid")
     elements = {
         "tramobajatensionaereo": "Tramo Baja Aereo",
         "tramobajatensionsubterraneo": "Tramo Baja Subterraneo",
         "luminaria": "Luminaria",
     }
-    plain = [
-        network[table].select("objectid", "alimentadorid", "parentcircuitsourceguid", *AUDIT, F.lit(element).alias("_element"))
-        for table, element in elements.items()
-    ]
-    features = wrong_parent(reduce(DataFrame.unionByName, plain), "parentcircuitsourceguid", breakers, "circuitsourceguid")
-    loads = network["puntocarga"].where(F.col("subtipo") != values.MEDIUM_VOLTAGE_LOAD)
+    columns = ["objectid", "alimentadorid", "parentcircuitsourceguid", *AUDIT]
+    plain = [network[table].selectExpr(*columns, f"{literal(element)} as _element") for table, element in elements.items()]
+    features = wrong_parent(reduce(DataFrame.union, plain), "parentcircuitsourceguid", breakers, "circuitsourceguid")
+    loads = network["puntocarga"].where(f"subtipo <> {values.MEDIUM_VOLTAGE_LOAD}")
     loads = wrong_parent(loads, "parentcircuitsourceguid", breakers, "circuitsourceguid")
-    public_totalizer = (F.col("subtipo") == values.TOTALIZER_LOAD) & (F.col("proyectoconstruccion") == values.PUBLIC_PROJECT)
     loads = connected(loads, network["conexionconsumidor"].select("puntocargaglobalid", "proyectoconstruccion"))
-    return marks(features, F.col("_element"), None, None, "R04").unionByName(
-        marks(loads.where(~public_totalizer), "Punto Carga", None, None, "R04")
+    public_totalizer = f"(subtipo = {values.TOTALIZER_LOAD} and proyectoconstruccion = {literal(values.PUBLIC_PROJECT)})"
+    return marks(features, "'R04'", "_element").union(
+        marks(loads.where(f"not {public_totalizer}"), "'R04'", "'Punto Carga'")
     )
 
 
 def capacity_missing(network: Network) -> DataFrame:
-    units = network["unidadfusible"].where(F.col("capacidad").isNull()).select("puestosecfusibleglobalid")
+    units = network["unidadfusible"].where("capacidad is null").select("puestosecfusibleglobalid")
     switches = with_children(network["puestoseccionadorfusible"], "globalid", units, "puestosecfusibleglobalid")
-    return marks(switches, "Seccionador Fusible", values.CAPACITY_MISSING, None, "R07")
+    return marks(switches, "'R07'", literal(SWITCH), literal(values.CAPACITY_MISSING))
 
 
 def taps_and_sides(network: Network) -> DataFrame:
     units = network["unidadtransfdistribucion"].select("puestotransfdistglobalid", "tapnormal")
     pairs = with_children(network["puestotransfdistribucion"], "globalid", units, "puestotransfdistglobalid")
-    sides = c.missing([F.col("configuracionladobaja"), F.col("configuracionladomedia")])
+    taps = c.null_or_range("tapnormal", *values.TAP_RANGE)
+    sides = c.missing(["configuracionladobaja", "configuracionladomedia"])
     found = [
-        Check("R13", "Puesto Transformador", c.null_or_range(F.col("tapnormal"), *values.TAP_RANGE), values.TAP_INVALID),
-        Check("R13", "Puesto Transformador", sides, values.SIDE_MISSING),
+        Check("R13", TRANSFORMER, taps, literal(values.TAP_INVALID)),
+        Check("R13", TRANSFORMER, sides, literal(values.SIDE_MISSING)),
     ]
     return flag_rows(pairs, found)
 
 
 def bank_phases(network: Network) -> DataFrame:
-    banks = network["puestotransfdistribucion"].where(F.col("subtipo").isin(values.BANK_SUBTYPES))
-    repeated = repeated_child_value(
-        banks, "globalid", network["unidadtransfdistribucion"], "puestotransfdistglobalid", PHASE
-    )
-    station = joined(mapped(F.col("subtipo"), values.TRANSFORMER_GROUP), " tiene Fase Conexion = ", phase_letters(F.col(PHASE)))
+    banks = network["puestotransfdistribucion"].where(f"subtipo in ({', '.join(map(str, values.BANK_SUBTYPES))})")
+    units = network["unidadtransfdistribucion"]
+    repeated = repeated_child_value(banks, "globalid", units, "puestotransfdistglobalid", PHASE)
+    group = mapped("subtipo", values.TRANSFORMER_GROUP)
+    station = joined(group, "' tiene Fase Conexion = '", phase_letters(PHASE))
     unit = joined(
-        "Fase ", phase_letters(F.col("value")), " se repite en la unidad ", F.col("repeats"), " veces;", values.PARALLEL_NOTE
+        "'Fase '", phase_letters("value"), "' se repite en la unidad '", "repeats", literal(f" veces;{values.PARALLEL_NOTE}")
     )
-    return marks(repeated, "Puesto Transformador", station, unit, "R16")
+    return marks(repeated, "'R16'", literal(TRANSFORMER), station, unit)
 
 
 def repeated_code(rule_id: str, code: str, label: str) -> Callable[[Network], DataFrame]:
     def plan(network: Network) -> DataFrame:
         connections = network["conexionconsumidor"]
         groups = duplicate_key(connections, code, list(AUDIT)).withColumnRenamed(code, "_code")
-        members = connections.select("objectid", "puntocargaglobalid", code)
-        members = inner_join(members, groups, code, "_code")
-        points = network["puntocarga"].select(
-            F.col("globalid").alias("_point_key"), "alimentadorid", F.col("objectid").alias("_point")
-        )
+        members = inner_join(connections.select("objectid", "puntocargaglobalid", code), groups, code, "_code")
+        points = network["puntocarga"].selectExpr("globalid as _point_key", "alimentadorid", "objectid as _point")
         members = inner_join(members, points, "puntocargaglobalid", "_point_key")
-        accounts = network["atributosconsumidor"].select(F.col(code).alias("_account"))
+        accounts = network["atributosconsumidor"].selectExpr(f"{code} as _account")
         members = inner_join(members, accounts, code, "_account")
-        return marks(
-            members, "Conexion Consumidor", joined(label, F.col(code)), joined("ObjectIDPC = ", F.col("_point")), rule_id
-        )
+        texts = joined(literal(f"{label} = "), code), joined("'ObjectIDPC = '", "_point")
+        return marks(members, literal(rule_id), literal(CONNECTION), *texts)
 
     return plan
 
 
-def no_meter(network: Network) -> DataFrame:
-    unmetered = network["atributosconsumidor"].where(F.col("nummedidor").isNull())
-    counted = matched_totals(network["conexionconsumidor"], unmetered, "codigocliente", "edccod")
-    states = {name: F.col("edccod") == code for name, code in values.CONNECTION_STATES.items()}
-    summary = conditional_summary(counted, F.col("pairs"), states)
-    by_state = F.concat_ws("  ", *[joined(f"{name}=", F.col(f"`{name}`")) for name in states])
-    return summary_marks(
-        summary, "Conexion Consumidor", F.lit(0), records(F.col("total")), by_state, "R20", network.audit_date
-    )
+RECORDS = joined("'Existen '", "total", "' registros'")
 
 
-def records(total: Column) -> Column:
-    return joined("Existen ", total, " registros")
+def no_meter(network: Network) -> DataFrame:
+    unmetered = network["atributosconsumidor"].where("nummedidor is null")
+    counted = matched_totals(network["conexionconsumidor"], unmetered, "codigocliente", "edccod")
+    states = {name: f"edccod = {literal(code)}" for name, code in values.CONNECTION_STATES.items()}
+    summary = conditional_summary(counted, "pairs", states)
+    by_state = "concat_ws('  ', " + ", ".join(joined(literal(f"{name}="), f"`{name}`") for name in states) + ")"
+    return summary_marks(summary, "R20", CONNECTION, "0", RECORDS, network.audit_date, by_state)
 
 
 def no_client_code(network: Network) -> DataFrame:
-    total = network["conexionconsumidor"].where(F.col("codigocliente").isNull()).agg(F.count(F.lit(1)).alias("total"))
-    return summary_marks(
-        total, "Conexion Consumidor", F.lit(0), records(F.col("total")), None, "R21", network.audit_date
-    )
+    total = network["conexionconsumidor"].where("codigocliente is null").selectExpr("count(1) as total")
+    return summary_marks(total, "R21", CONNECTION, "0", RECORDS, network.audit_date)
 
 
-def missing_key(rule_id: str, key: str, extra: Callable[[], Column] | None = None) -> Callable[[Network], DataFrame]:
+def missing_key(rule_id: str, key: str, extra: str = "true") -> Callable[[Network], DataFrame]:
     def plan(network: Network) -> DataFrame:
-        missing = rows_missing_key(network["conexionconsumidor"], key, extra() if extra else None)
-        element, total = "Conexion Consumidor", records(F.col("total"))
-        return summary_marks(missing, element, F.col("objectid"), total, None, rule_id, network.audit_date)
+        missing = rows_missing_key(network["conexionconsumidor"], key, extra)
+        return summary_marks(missing, rule_id, CONNECTION, "objectid", RECORDS, network.audit_date)
 
     return plan
 
@@ -438,59 +419,41 @@ class Rule:
         return self.heading or values.RULE_TITLES[self.rule_id]
 
 
-def _switch_units(network: Network) -> Checks:
-    return units_vs_phase("R06", "fuse_switch_units", "Seccionador Fusible")
-
-
-def _capacitor_units(network: Network) -> Checks:
-    return units_vs_phase("R08", "capacitor_units", "Capacitor")
-
-
-def _capacitor_power(network: Network) -> Checks:
-    return unit_power("R09", "capacitor_units", "Capacitor", network["puestocorrectorfactorpotencia"])
-
-
-def _transformer_power(network: Network) -> Checks:
-    return unit_power("R17", "transformer_units", "Puesto Transformador", network["puestotransfdistribucion"])
-
-
-def _novelty_free() -> Column:
-    return F.col("novedades") == 0
-
+_STATION, _CAPACITOR = "puestotransfdistribucion", "puestocorrectorfactorpotencia"
 
 RULES: dict[str, Rule] = {
     rule.rule_id: rule
     for rule in [
-        Rule("R01", "phase_vs_subtype", checks=phase_vs_subtype),
+        Rule("R01", "phase_vs_subtype", phase_vs_subtype),
         Rule("R02", "feature_vs_transformer", plan=feature_vs_transformer),
-        Rule("R03", "feeder_info", checks=feeder_info),
+        Rule("R03", "feeder_info", feeder_info),
         Rule("R04", "fed_by_breaker", plan=fed_by_breaker),
-        Rule("R05", "switch_structure", checks=switch_structure),
-        Rule("R06", "switch_units_vs_phase", checks=_switch_units),
+        Rule("R05", "switch_structure", switch_structure),
+        Rule("R06", "switch_units_vs_phase", units_vs_phase("R06", "fuse_switch_units", SWITCH)),
         Rule("R07", "fuse_capacity_missing", plan=capacity_missing),
-        Rule("R08", "capacitor_units_vs_phase", checks=_capacitor_units),
-        Rule("R09", "capacitor_unit_power", checks=_capacitor_power),
-        Rule("R10", "conductor_and_sequence", checks=conductor_and_sequence),
-        Rule("R11", "conductor_and_voltage", checks=conductor_and_voltage),
-        Rule("R12", "breaker_values_missing", checks=breaker_values),
+        Rule("R08", "capacitor_units_vs_phase", units_vs_phase("R08", "capacitor_units", CAPACITOR)),
+        Rule("R09", "capacitor_unit_power", unit_power("R09", "capacitor_units", CAPACITOR, _CAPACITOR)),
+        Rule("R10", "conductor_and_sequence", conductor_and_sequence),
+        Rule("R11", "conductor_and_voltage", conductor_and_voltage),
+        Rule("R12", "breaker_values_missing", breaker_values),
         Rule("R13", "taps_and_sides", plan=taps_and_sides),
-        Rule("R14", "units_vs_subtype", checks=units_vs_subtype),
-        Rule("R15", "station_vs_unit_phase", checks=station_vs_unit_phase),
+        Rule("R14", "units_vs_subtype", units_vs_subtype),
+        Rule("R15", "station_vs_unit_phase", station_vs_unit_phase),
         Rule("R16", "bank_unit_phases", plan=bank_phases),
-        Rule("R17", "transformer_unit_power", checks=_transformer_power),
-        Rule("R18", "client_code_repeated", plan=repeated_code("R18", "codigocliente", "CodigoCliente = ")),
-        Rule("R19", "unique_code_repeated", plan=repeated_code("R19", "codigounico", "CodigoUnico = "), scheduled=False),
+        Rule("R17", "transformer_unit_power", unit_power("R17", "transformer_units", TRANSFORMER, _STATION)),
+        Rule("R18", "client_code_repeated", plan=repeated_code("R18", "codigocliente", "CodigoCliente")),
+        Rule("R19", "unique_code_repeated", plan=repeated_code("R19", "codigounico", "CodigoUnico"), scheduled=False),
         Rule("R20", "client_code_without_meter", plan=no_meter),
         Rule("R21", "client_code_missing", plan=no_client_code),
         Rule("R22", "client_code_and_meter_missing", plan=missing_key("R22", "codigocliente"), scheduled=False),
-        Rule("R23", "unique_code_missing", plan=missing_key("R23", "codigounico", _novelty_free), scheduled=False),
+        Rule("R23", "unique_code_missing", plan=missing_key("R23", "codigounico", "novedades = 0"), scheduled=False),
     ]
 }
 
 BATCH: list[Rule] = [rule for rule in RULES.values() if rule.scheduled]
 
 
-def rule_marks(network: Network, rules: Iterable[Rule], share_scans: bool = True) -> DataFrame:
+def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
     """Marks of the rules, each view read once for all of its checks."""
     by_view: dict[str, list[Check]] = {}
     plans = []
@@ -500,18 +463,18 @@ def rule_marks(network: Network, rules: Iterable[Rule], share_scans: bool = True
         else:
             for view, check in rule.checks(network):
                 by_view.setdefault(view, []).append(check)
-    if share_scans:
-        for narrow, wide in WIDER_VIEW.items():
-            if narrow in by_view and wide in by_view:
-                by_view[wide] = by_view.pop(narrow) + by_view[wide]
+    for narrow, wide in WIDER_VIEW.items():
+        if narrow in by_view and wide in by_view:
+            by_view[wide] = by_view.pop(narrow) + by_view[wide]
     flagged = [flag_rows(VIEWS[view](network), found) for view, found in by_view.items()]
-    return reduce(DataFrame.unionByName, [*flagged, *plans])
+    parts = [part.select(flagged[0].columns if flagged else plans[0].columns) for part in [*flagged, *plans]]
+    return reduce(DataFrame.union, parts)
 
 
-def findings_with_rule(network: Network, rules: Sequence[Rule], run_date: date, share_scans: bool = True) -> DataFrame:
+def findings_with_rule(network: Network, rules: Sequence[Rule], run_date: date) -> DataFrame:
     """Findings of the rules, with a leading `rule_id`."""
     titles = {rule.rule_id: rule.title for rule in rules}
-    return as_findings(rule_marks(network, rules, share_scans), titles, network.feeders, run_date, network.audit_date)
+    return as_findings(rule_marks(network, rules), titles, network.feeders, run_date, network.audit_date)
 
 
 def rule_findings(network: Network, rule: Rule | str, run_date: date) -> DataFrame:

@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from gridwarden.operators.joins import Lookup
 
-# Column kinds: long and string are cast; as_is keeps the source's type; audit_date is a date or a
-# timestamp, the same one in every table of a network.
+# Column kinds: long and string are cast; as_is keeps the source's type; audit_date is the network's.
 AUDIT = {
     "usuarioregistro": "string",
     "fecharegistro": "audit_date",
@@ -94,34 +91,32 @@ TABLES: dict[str, dict[str, str]] = {
 class Network:
     """The tables of one network, each with its declared columns and types.
 
-    `frames` maps table names to DataFrames and may lack tables: a rule fails only if it needs one
-    that is missing.
+    `load` gives a table by its name and is asked only for the tables that a rule needs, so a rule
+    fails only if a table of its own is missing. `audit_date` is `date` or `timestamp`: what the
+    audit columns hold.
     """
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
-        self.frames = {name.lower(): frame for name, frame in frames.items()}
+    def __init__(self, load: Callable[[str], DataFrame], audit_date: str = "date"):
+        self.load = cache(load)
+        self.audit_date = audit_date
         self._tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            if name not in self.frames:
-                raise KeyError(f"table {name} is not in the network")
-            frame = self.frames[name]
-            self._tables[name] = frame.select([self._column(frame, c, kind) for c, kind in TABLES[name].items()])
+            frame = self.load(name)
+            types = {f.name.lower(): f.dataType.simpleString() for f in frame.schema}
+            self._tables[name] = frame.selectExpr(*[self._column(name, c, k, types) for c, k in TABLES[name].items()])
         return self._tables[name]
 
-    def _column(self, frame: DataFrame, name: str, kind: str) -> Column:
-        target = {"long": T.LongType(), "string": T.StringType(), "audit_date": self.audit_date}.get(kind)
-        source = next((f.dataType for f in frame.schema if f.name.lower() == name), None)
-        if target is None or source == target:
-            return F.col(name)
-        return F.col(name).try_cast(target).alias(name)
-
-    @cached_property
-    def audit_date(self) -> T.DataType:
-        """Timestamp if any table records times of day, else date."""
-        dates = [f.dataType for frame in self.frames.values() for f in frame.schema if f.name.lower() == "fecharegistro"]
-        return T.TimestampType() if any(not isinstance(d, T.DateType) for d in dates) else T.DateType()
+    def _column(self, table: str, name: str, kind: str, types: Mapping[str, str]) -> str:
+        if name not in types:
+            raise KeyError(f"table {table} has no column {name}")
+        target = {"long": "bigint", "audit_date": self.audit_date}.get(kind, kind)
+        if kind == "as_is" or types[name] == target:
+            return name
+        if kind == "audit_date" and target == "date" and types[name].startswith("timestamp"):
+            raise ValueError(f"{table}.{name} holds times of day: read the network with audit_date='timestamp'")
+        return f"try_cast({name} as {target}) as {name}"
 
     @cached_property
     def feeders(self) -> Lookup:
@@ -132,25 +127,16 @@ class Network:
         return Lookup(self["catalogoestructura"], "codigoestructura", "descripcioncorta")
 
 
-def read_network(spark: SparkSession, location: str, fmt: str = "parquet", **options: str) -> Network:
-    """A network whose tables lie in folders or files `<location>/<table>` (with or without the format's suffix)."""
-    return _network(lambda name: _read(spark, f"{location}/{name}", fmt, options))
-
-
-def read_network_tables(spark: SparkSession, database: str) -> Network:
-    """A network whose tables are catalog tables or views of `database`."""
-    return _network(lambda name: spark.table(f"{database}.{name}"), lambda name: spark.catalog.tableExists(f"{database}.{name}"))
+def network_of(frames: Mapping[str, DataFrame], audit_date: str = "date") -> Network:
+    """A network of given DataFrames."""
+    return Network({name.lower(): frame for name, frame in frames.items()}.__getitem__, audit_date)
 
 
-def _network(load: Callable[[str], DataFrame | None], exists: Callable[[str], bool] = lambda name: True) -> Network:
-    frames = {name: load(name) for name in TABLES if exists(name)}
-    return Network({name: frame for name, frame in frames.items() if frame is not None})
+def read_network(spark: SparkSession, location: str, fmt: str = "parquet", audit_date: str = "date", **options: str) -> Network:
+    """A network whose tables lie in `<location>/<table>`, in any format that Spark reads."""
+    return Network(lambda name: spark.read.format(fmt).options(**options).load(f"{location}/{name}"), audit_date)
 
 
-def _read(spark: SparkSession, path: str, fmt: str, options: Mapping[str, str]) -> DataFrame | None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    for candidate in (path, f"{path}.{fmt}"):
-        target = hadoop(candidate)
-        if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-            return spark.read.format(fmt).options(**options).load(candidate)
-    return None
+def read_network_tables(spark: SparkSession, database: str, audit_date: str = "date") -> Network:
+    """A network whose tables are catalog tables or views of `database`."""
+    return Network(lambda name: spark.table(f"{database}.{name}"), audit_date)

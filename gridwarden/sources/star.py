@@ -1,157 +1,221 @@
 """Adapters that lay the network's tables over a TPC-H-like star schema.
 
 The tables of a real network are not public, so the queries run on views of star-schema tables. The
-SQL is the same for Spark and for any engine with `%`, `cast(x as string)` and date literals; see
-FIXTURES.md.
+expressions are the same for Spark and for any engine with `%`, `cast(x as string)` and date
+literals; see FIXTURES.md.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gridwarden.sources.network import Network
 
 
-def _audit(key: str) -> str:
-    return (
-        f"'u' || cast({key} % 3 as string) usuarioregistro, "
-        f"case when {key} % 2 = 0 then date '2015-01-01' else date '2015-02-04' end fecharegistro, "
-        "cast(null as string) usuariomodificacionregistro, "
-        f"case when {key} % 7 = 0 then date '2015-03-01' end fechamodificacionregistro"
-    )
+@dataclass(frozen=True)
+class Adapter:
+    """Columns over one star table, for the rows that meet a condition."""
+
+    star: str
+    columns: list[str]
+    where: str = "true"
+
+    @property
+    def sql(self) -> str:
+        return f"select {', '.join(self.columns)} from {self.star} where {self.where}"
+
+
+def _audit(key: str) -> list[str]:
+    return [
+        f"'u' || cast({key} % 3 as string) usuarioregistro",
+        f"case when {key} % 2 = 0 then date '2015-01-01' else date '2015-02-04' end fecharegistro",
+        "cast(null as string) usuariomodificacionregistro",
+        f"case when {key} % 7 = 0 then date '2015-03-01' end fechamodificacionregistro",
+    ]
+
+
+def _feature(key: str, feeder: str, phase: str) -> list[str]:
+    return [f"{key} objectid", f"cast({feeder} % 25 as string) alimentadorid", f"{phase} faseconexion"]
+
+
+def _info(key: str, phase: str) -> str:
+    info = "when 4 then 1 when 2 then 2 when 1 then 4 when 5 then 5 when 6 then 3 when 3 then 6 when 7 then 7"
+    return f"case when {key} % 5 = 0 then 9 else case {phase} {info} end end alimentadorinfo"
+
+
+def _ids(key: str, **prefixes: str) -> list[str]:
+    return [f"'{prefix}' || cast({key} as string) {name}" for name, prefix in prefixes.items()]
 
 
-def _layer(key: str, phase: str) -> str:
-    info = f"case {phase} when 4 then 1 when 2 then 2 when 1 then 4 when 5 then 5 when 6 then 3 when 3 then 6 when 7 then 7 end"
-    return f"{phase} faseconexion, case when {key} % 5 = 0 then 9 else {info} end alimentadorinfo"
+def _order(key: str, every: int) -> str:
+    return f"case when {key} % {every} = 0 then null else 'OT' || cast({key} as string) end ordentrabajo"
 
 
-def _span(quarter: int, columns: str) -> str:
-    return (
-        "select l_orderkey * 10 + l_linenumber objectid, cast(l_partkey % 25 as string) alimentadorid, "
-        f"{_layer('l_partkey', 'nullif(l_partkey % 9, 8)')}, cast(l_suppkey % 10 as int) subtipo, {columns}, "
-        f"{_audit('l_partkey')} from lineitem where l_orderkey % 4 = {quarter}"
-    )
+def _span(quarter: int, columns: list[str]) -> Adapter:
+    phase = "nullif(l_partkey % 9, 8)"
+    common = [
+        *_feature("l_orderkey * 10 + l_linenumber", "l_partkey", phase),
+        _info("l_partkey", phase),
+        "cast(l_suppkey % 10 as int) subtipo",
+    ]
+    return Adapter("lineitem", [*common, *columns, *_audit("l_partkey")], f"l_orderkey % 4 = {quarter}")
 
 
-_MEDIUM = (
-    "case when l_partkey % 2 = 0 then 7960 else 13800 end voltaje, "
-    "case when l_partkey % 11 = 0 then null else 'E' || cast(l_partkey % 45 as string) end codigoconductorfase, "
+_MEDIUM = [
+    "case when l_partkey % 2 = 0 then 7960 else 13800 end voltaje",
+    "case when l_partkey % 11 = 0 then null else 'E' || cast(l_partkey % 45 as string) end codigoconductorfase",
     "case l_partkey % 4 when 0 then 'COO0000' when 1 then null else 'E' || cast(l_partkey % 45 as string) end "
-    "codigoconductorneutro, "
+    "codigoconductorneutro",
     "case l_partkey % 10 when 0 then '11' when 1 then '12' when 2 then '22' when 3 then '23' when 4 then '33' "
-    "when 5 then '34' when 6 then '13' when 7 then '25' when 8 then '1' end configuracionconductores, "
+    "when 5 then '34' when 6 then '13' when 7 then '25' when 8 then '1' end configuracionconductores",
     "case l_suppkey % 8 when 0 then 'A' when 1 then 'B' when 2 then 'C' when 3 then 'AB' when 4 then 'CB' "
-    "when 5 then 'AC' when 6 then 'CBA' end secuenciafase"
-)
-_LOW = (
+    "when 5 then 'AC' when 6 then 'CBA' end secuenciafase",
+]
+_LOW = [
     "case when l_linenumber = 1 then 'PD' || cast(l_suppkey as string) else 'CS' || cast(l_orderkey as string) end "
     "parentcircuitsourceguid"
-)
-
-# Network table -> (star table, SQL over it).
-ADAPTERS: dict[str, tuple[str, str]] = {
-    "tramodistribucionaereo": ("lineitem", _span(0, _MEDIUM)),
-    "tramodistribucionsubterraneo": ("lineitem", _span(1, _MEDIUM)),
-    "tramobajatensionaereo": ("lineitem", _span(2, _LOW)),
-    "tramobajatensionsubterraneo": ("lineitem", _span(3, _LOW)),
-    "puestotransfdistribucion": (
+]
+
+ADAPTERS: dict[str, Adapter] = {
+    "tramodistribucionaereo": _span(0, _MEDIUM),
+    "tramodistribucionsubterraneo": _span(1, _MEDIUM),
+    "tramobajatensionaereo": _span(2, _LOW),
+    "tramobajatensionsubterraneo": _span(3, _LOW),
+    "puestotransfdistribucion": Adapter(
         "orders",
-        "select o_orderkey objectid, 'PT' || cast(o_orderkey as string) globalid, "
-        "'CS' || cast(o_orderkey as string) circuitsourceguid, cast(o_orderkey % 25 as string) alimentadorid, "
-        f"{_layer('o_orderkey', 'nullif(o_orderkey % 9, 8)')}, cast(o_custkey % 14 as int) subtipo, "
-        "cast(o_orderkey % 4 * 12.5 as decimal(18,3)) potenciakva, "
-        "case when o_orderkey % 17 = 0 then null else 1 end configuracionladobaja, "
-        "case when o_orderkey % 19 = 0 then null else 1 end configuracionladomedia, "
-        "case when o_orderkey % 3 = 0 then null else 'OT' || cast(o_orderkey as string) end ordentrabajo, "
-        f"{_audit('o_orderkey')} from orders",
+        [
+            *_feature("o_orderkey", "o_orderkey", "nullif(o_orderkey % 9, 8)"),
+            *_ids("o_orderkey", globalid="PT", circuitsourceguid="CS"),
+            _info("o_orderkey", "nullif(o_orderkey % 9, 8)"),
+            "cast(o_custkey % 14 as int) subtipo",
+            "cast(o_orderkey % 4 * 12.5 as decimal(18,3)) potenciakva",
+            "case when o_orderkey % 17 = 0 then null else 1 end configuracionladobaja",
+            "case when o_orderkey % 19 = 0 then null else 1 end configuracionladomedia",
+            _order("o_orderkey", 3),
+            *_audit("o_orderkey"),
+        ],
     ),
-    "unidadtransfdistribucion": (
+    "unidadtransfdistribucion": Adapter(
         "lineitem",
-        "select l_orderkey * 10 + l_linenumber objectid, 'PT' || cast(l_orderkey as string) puestotransfdistglobalid, "
-        "case l_partkey % 4 when 0 then 1 when 1 then 2 when 2 then 4 end faseconexion, "
-        "nullif(l_suppkey % 8, 7) tapnormal, "
-        "case when l_partkey % 6 = 0 then null else cast(12.5 as decimal(18,3)) end potencianominal "
-        "from lineitem where l_partkey % 2 = 0",
+        [
+            "l_orderkey * 10 + l_linenumber objectid",
+            *_ids("l_orderkey", puestotransfdistglobalid="PT"),
+            "case l_partkey % 4 when 0 then 1 when 1 then 2 when 2 then 4 end faseconexion",
+            "nullif(l_suppkey % 8, 7) tapnormal",
+            "case when l_partkey % 6 = 0 then null else cast(12.5 as decimal(18,3)) end potencianominal",
+        ],
+        "l_partkey % 2 = 0",
     ),
-    "puestoseccionadorfusible": (
+    "puestoseccionadorfusible": Adapter(
         "part",
-        "select p_partkey objectid, 'SF' || cast(p_partkey as string) globalid, "
-        f"cast(p_partkey % 25 as string) alimentadorid, {_layer('p_partkey', 'nullif(p_partkey % 9, 8)')}, "
-        "cast(p_partkey % 4 as int) subtipo, case when p_partkey % 2 = 0 then 7960 else 13800 end voltaje, "
-        "cast(p_partkey % 3 * 100 + 100 as string) corriente, "
-        "'E' || cast(p_partkey % 40 as string) codigoestructura, "
-        "case when p_partkey % 4 = 0 then null else 'OT' || cast(p_partkey as string) end ordentrabajo, "
-        f"{_audit('p_partkey')} from part",
+        [
+            *_feature("p_partkey", "p_partkey", "nullif(p_partkey % 9, 8)"),
+            *_ids("p_partkey", globalid="SF"),
+            _info("p_partkey", "nullif(p_partkey % 9, 8)"),
+            "cast(p_partkey % 4 as int) subtipo",
+            "case when p_partkey % 2 = 0 then 7960 else 13800 end voltaje",
+            "cast(p_partkey % 3 * 100 + 100 as string) corriente",
+            "'E' || cast(p_partkey % 40 as string) codigoestructura",
+            _order("p_partkey", 4),
+            *_audit("p_partkey"),
+        ],
     ),
-    "catalogoestructura": (
+    "catalogoestructura": Adapter(
         "part",
-        "select 'E' || cast(p_partkey as string) codigoestructura, "
-        "case when p_partkey % 10 = 0 then '1S' else cast(p_partkey % 3 + 1 as string) || "
-        "case p_partkey % 3 when 0 then 'S' when 1 then 'D' else 'E' end || "
-        "cast(p_partkey % 2 * 100 + 100 as string) end descripcioncorta from part where p_partkey <= 38",
+        [
+            *_ids("p_partkey", codigoestructura="E"),
+            "case when p_partkey % 10 = 0 then '1S' else cast(p_partkey % 3 + 1 as string) || "
+            "case p_partkey % 3 when 0 then 'S' when 1 then 'D' else 'E' end || "
+            "cast(p_partkey % 2 * 100 + 100 as string) end descripcioncorta",
+        ],
+        "p_partkey <= 38",
     ),
-    "unidadfusible": (
+    "unidadfusible": Adapter(
         "lineitem",
-        "select l_orderkey * 10 + l_linenumber objectid, 'SF' || cast(l_partkey as string) puestosecfusibleglobalid, "
-        "nullif(l_suppkey % 5, 0) capacidad from lineitem where l_orderkey % 16 = 0",
+        [
+            "l_orderkey * 10 + l_linenumber objectid",
+            *_ids("l_partkey", puestosecfusibleglobalid="SF"),
+            "nullif(l_suppkey % 5, 0) capacidad",
+        ],
+        "l_orderkey % 16 = 0",
     ),
-    "puestocorrectorfactorpotencia": (
+    "puestocorrectorfactorpotencia": Adapter(
         "customer",
-        "select c_custkey objectid, 'CA' || cast(c_custkey as string) globalid, "
-        "cast(c_custkey % 25 as string) alimentadorid, nullif(c_custkey % 9, 8) faseconexion, "
-        "cast(c_custkey % 4 * 12.5 as decimal(18,3)) potenciakva, "
-        f"{_audit('c_custkey')} from customer",
+        [
+            *_feature("c_custkey", "c_custkey", "nullif(c_custkey % 9, 8)"),
+            *_ids("c_custkey", globalid="CA"),
+            "cast(c_custkey % 4 * 12.5 as decimal(18,3)) potenciakva",
+            *_audit("c_custkey"),
+        ],
     ),
-    "unidadcapacitor": (
+    "unidadcapacitor": Adapter(
         "orders",
-        "select o_orderkey objectid, 'CA' || cast(o_custkey as string) puestocorrfacpotglobalid, "
-        "case o_orderkey % 3 when 0 then '12.5' when 1 then '12,5' end potencianominal "
-        "from orders where o_orderkey % 5 = 0",
+        [
+            "o_orderkey objectid",
+            *_ids("o_custkey", puestocorrfacpotglobalid="CA"),
+            "case o_orderkey % 3 when 0 then '12.5' when 1 then '12,5' end potencianominal",
+        ],
+        "o_orderkey % 5 = 0",
     ),
-    "puestoprotecciondinamico": (
+    "puestoprotecciondinamico": Adapter(
         "supplier",
-        "select s_suppkey objectid, cast(s_suppkey % 25 as string) alimentadorid, "
-        "'PD' || cast(s_suppkey as string) circuitsourceguid, "
-        "case when s_suppkey % 3 = 0 then 'PD' || cast(s_suppkey as string) else 'SUB' end parentcircuitsourceguid, "
-        "nullif(s_suppkey % 5, 0) corriente, nullif(s_suppkey % 7, 0) corrientemaxcortocircuito, "
-        "nullif(s_suppkey % 9, 8) faseconexion, nullif(s_suppkey % 4, 0) voltaje, "
-        f"{_audit('s_suppkey')} from supplier",
+        [
+            *_feature("s_suppkey", "s_suppkey", "nullif(s_suppkey % 9, 8)"),
+            *_ids("s_suppkey", circuitsourceguid="PD"),
+            "case when s_suppkey % 3 = 0 then 'PD' || cast(s_suppkey as string) else 'SUB' end parentcircuitsourceguid",
+            "nullif(s_suppkey % 5, 0) corriente",
+            "nullif(s_suppkey % 7, 0) corrientemaxcortocircuito",
+            "nullif(s_suppkey % 4, 0) voltaje",
+            *_audit("s_suppkey"),
+        ],
     ),
-    "puntocarga": (
+    "puntocarga": Adapter(
         "orders",
-        "select o_orderkey objectid, 'PC' || cast(o_orderkey as string) globalid, "
-        f"cast(o_custkey % 25 as string) alimentadorid, {_layer('o_orderkey', 'nullif(o_custkey % 8, 0)')}, "
-        "cast(o_orderkey % 7 as int) subtipo, "
-        "case when o_orderkey % 10 = 0 then 'PD' || cast(o_custkey % 10 as string) "
-        "else 'CS' || cast(o_orderkey as string) end parentcircuitsourceguid, "
-        f"{_audit('o_orderkey')} from orders",
+        [
+            *_feature("o_orderkey", "o_custkey", "nullif(o_custkey % 8, 0)"),
+            *_ids("o_orderkey", globalid="PC"),
+            _info("o_orderkey", "nullif(o_custkey % 8, 0)"),
+            "cast(o_orderkey % 7 as int) subtipo",
+            "case when o_orderkey % 10 = 0 then 'PD' || cast(o_custkey % 10 as string) "
+            "else 'CS' || cast(o_orderkey as string) end parentcircuitsourceguid",
+            *_audit("o_orderkey"),
+        ],
     ),
-    "conexionconsumidor": (
+    "conexionconsumidor": Adapter(
         "orders",
-        "select o_orderkey objectid, 'PC' || cast(o_orderkey as string) puntocargaglobalid, "
-        "case when o_custkey % 15 = 0 then null else 'C' || cast(o_custkey as string) end codigocliente, "
-        "case when o_custkey % 13 = 0 then null else 'U' || cast(o_custkey as string) end codigounico, "
-        "o_orderkey % 3 novedades, "
-        "case o_orderkey % 3 when 0 then 'FOPE' when 1 then 'OTRO' end proyectoconstruccion, "
-        f"{_audit('o_orderkey')} from orders",
+        [
+            "o_orderkey objectid",
+            *_ids("o_orderkey", puntocargaglobalid="PC"),
+            "case when o_custkey % 15 = 0 then null else 'C' || cast(o_custkey as string) end codigocliente",
+            "case when o_custkey % 13 = 0 then null else 'U' || cast(o_custkey as string) end codigounico",
+            "o_orderkey % 3 novedades",
+            "case o_orderkey % 3 when 0 then 'FOPE' when 1 then 'OTRO' end proyectoconstruccion",
+            *_audit("o_orderkey"),
+        ],
     ),
-    "atributosconsumidor": (
+    "atributosconsumidor": Adapter(
         "customer",
-        "select 'C' || cast(c_custkey as string) codigocliente, 'U' || cast(c_custkey as string) codigounico, "
-        "case when c_custkey % 4 = 0 then null else 'M' || cast(c_custkey as string) end nummedidor, "
-        "case c_custkey % 5 when 0 then 'A' when 1 then '1' when 2 then 'W' when 3 then 'X' end edccod from customer",
+        [
+            *_ids("c_custkey", codigocliente="C", codigounico="U"),
+            "case when c_custkey % 4 = 0 then null else 'M' || cast(c_custkey as string) end nummedidor",
+            "case c_custkey % 5 when 0 then 'A' when 1 then '1' when 2 then 'W' when 3 then 'X' end edccod",
+        ],
     ),
-    "luminaria": (
+    "luminaria": Adapter(
         "events",
-        "select event_id objectid, cast(event_id % 25 as string) alimentadorid, "
-        f"{_layer('event_id', 'nullif(user_id % 8, 0)')}, "
-        "case when event_id % 10 = 0 then 'PD' || cast(user_id % 10 as string) "
-        "else 'CS' || cast(event_id as string) end parentcircuitsourceguid, "
-        "case when event_id % 6 = 0 then null else 'OT' || cast(event_id as string) end ordentrabajo, "
-        f"{_audit('event_id')} from events",
+        [
+            *_feature("event_id", "event_id", "nullif(user_id % 8, 0)"),
+            _info("event_id", "nullif(user_id % 8, 0)"),
+            "case when event_id % 10 = 0 then 'PD' || cast(user_id % 10 as string) "
+            "else 'CS' || cast(event_id as string) end parentcircuitsourceguid",
+            _order("event_id", 6),
+            *_audit("event_id"),
+        ],
     ),
-    "alimentador": ("nation", "select cast(n_nationkey as string) alimentadorid, n_name descripcion from nation"),
+    "alimentador": Adapter("nation", ["cast(n_nationkey as string) alimentadorid", "n_name descripcion"]),
 }
 
 # A small catalog: three layers to keep, and one of each kind to leave out.
@@ -172,12 +236,13 @@ CATALOG: dict[str, str] = {
 
 def star_network(spark: SparkSession, sf_dir: str) -> Network:
     """The network over the star tables `<sf_dir>/<table>.parquet`."""
-    stars = {star: spark.read.parquet(f"{sf_dir}/{star}.parquet") for star in {s for s, _ in ADAPTERS.values()}}
+    star = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
-    def adapted(star: str, sql: str) -> DataFrame:
-        return spark.sql(sql.replace(f"from {star}", f"from {{{star}}}"), **{star: stars[star]})
+    def load(table: str) -> DataFrame:
+        adapter = ADAPTERS[table]
+        return star(adapter.star).where(adapter.where).selectExpr(*adapter.columns)
 
-    return Network({name: adapted(star, sql) for name, (star, sql) in ADAPTERS.items()})
+    return Network(load)
 
 
 def star_catalog(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:

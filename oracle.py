@@ -24,7 +24,7 @@ _GROUP = " union all ".join(
     for subtype, name in v.TRANSFORMER_GROUP.items()
 )
 _CTES = {
-    **{name: sql for name, (_, sql) in ADAPTERS.items()},
+    **{name: adapter.sql for name, adapter in ADAPTERS.items()},
     **CATALOG,
     "phase": _PHASE,
     "subtype_phases": _SUBTYPE,

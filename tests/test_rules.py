@@ -1,0 +1,497 @@
+"""Each rule's edges on hand-made rows."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from helpers import RUN_DATE, found, network, table
+
+from gridwarden import RULES, network_of, rule_findings
+from gridwarden.functions import values
+
+SPANS = {
+    name: []
+    for name in ("tramodistribucionaereo", "tramodistribucionsubterraneo", "tramobajatensionaereo", "tramobajatensionsubterraneo")
+}
+
+
+def test_phase_vs_subtype(spark):
+    net = network(
+        spark,
+        **{
+            **SPANS,
+            "tramodistribucionaereo": [
+                {"objectid": 1, "faseconexion": None, "subtipo": 1, "alimentadorid": "1"},
+                {"objectid": 2, "faseconexion": 4, "subtipo": 1},
+                {"objectid": 3, "faseconexion": 4, "subtipo": 99},
+                {"objectid": 4, "faseconexion": 4, "subtipo": None},
+                {"objectid": 5, "faseconexion": 8, "subtipo": 5},
+                {"objectid": 6, "faseconexion": 7, "subtipo": 7},
+                {"objectid": 7, "faseconexion": 2**32 + 7, "subtipo": 3},
+            ],
+            "tramobajatensionaereo": [{"objectid": 8, "faseconexion": 7, "subtipo": 7}],
+        },
+        puestotransfdistribucion=[{"objectid": 9, "faseconexion": 3, "subtipo": 13}, {"objectid": 10, "faseconexion": 3, "subtipo": 11}],
+    )
+    by_phase, by_subtype = values.COUNT_BY_PHASE, values.COUNT_BY_SUBTYPE
+    assert found(net, "R01", "element", "feeder_name", "detail_1", "detail_2") == sorted(
+        [
+            (1, "MTA", "Norte", f"{by_phase}0", f"{by_subtype}1"),
+            (5, "MTA", None, f"{by_phase}0", f"{by_subtype}2"),
+            (7, "MTA", None, f"{by_phase}0", f"{by_subtype}3"),
+            (8, "BTA", None, f"{by_phase}3", f"{by_subtype}1"),
+            (10, "Transformadores", None, f"{by_phase}2", f"{by_subtype}3"),
+        ],
+        key=str,
+    )
+
+
+def test_feature_vs_transformer(spark):
+    net = network(
+        spark,
+        puestotransfdistribucion=[
+            {"objectid": 1, "circuitsourceguid": "S7", "faseconexion": 7},
+            {"objectid": 2, "circuitsourceguid": "S4", "faseconexion": 4, "alimentadorid": "1"},
+            {"objectid": 3, "circuitsourceguid": "S0", "faseconexion": 0},
+            {"objectid": 4, "circuitsourceguid": "SN", "faseconexion": None},
+            {"objectid": 5, "circuitsourceguid": None, "faseconexion": 4},
+        ],
+        luminaria=[
+            {"objectid": 11, "parentcircuitsourceguid": "S7", "faseconexion": 4},
+            {"objectid": 12, "parentcircuitsourceguid": "S4", "faseconexion": 7},
+            {"objectid": 13, "parentcircuitsourceguid": "S4", "faseconexion": None},
+            {"objectid": 14, "parentcircuitsourceguid": "S4", "faseconexion": 8},
+            {"objectid": 15, "parentcircuitsourceguid": "S0", "faseconexion": 7},
+            {"objectid": 16, "parentcircuitsourceguid": "SN", "faseconexion": 7},
+            {"objectid": 17, "parentcircuitsourceguid": None, "faseconexion": 7},
+        ],
+        puntocarga=[
+            {"objectid": 21, "globalid": "P1", "parentcircuitsourceguid": "S4", "faseconexion": 3, "alimentadorid": "9"},
+            {"objectid": 22, "globalid": "P2", "parentcircuitsourceguid": "S4", "faseconexion": 3},
+        ],
+        conexionconsumidor=[{"objectid": 31, "puntocargaglobalid": "P1"}, {"objectid": 32, "puntocargaglobalid": "P1"}],
+    )
+    load_point = (21, "1", "Punto Carga", "FaseCliente=BC", "FaseTrafo=A")
+    assert found(net, "R02", "feeder_id", "element", "detail_1", "detail_2") == [
+        (12, "1", "Luminaria", "FaseCliente=ABC", "FaseTrafo=A"),
+        load_point,
+        load_point,
+    ]
+
+
+def test_feeder_info(spark):
+    codes = {1: (4, 1), 2: (4, 4), 3: (6, 3), 4: (3, 3), 5: (None, None), 6: (7, None), 7: (0, 9), 8: (0, None)}
+    net = network(
+        spark,
+        **SPANS,
+        puestotransfdistribucion=[],
+        puestoseccionadorfusible=[],
+        luminaria=[{"objectid": i, "faseconexion": p, "alimentadorinfo": a} for i, (p, a) in codes.items()],
+        puntocarga=[
+            {"objectid": 20 + i, "faseconexion": 4, "alimentadorinfo": 9, "subtipo": subtype}
+            for i, subtype in enumerate([1, 2, None])
+        ],
+    )
+    assert found(net, "R03", "element", "detail_1") == [
+        (2, "Luminaria", "Fase=A AlimentadorInfo esperado=1 actual=4"),
+        (21, "Punto Carga", "Fase=A AlimentadorInfo esperado=1 actual=9"),
+        (4, "Luminaria", "Fase=BC AlimentadorInfo esperado=6 actual=3"),
+        (6, "Luminaria", "Fase=ABC AlimentadorInfo esperado=7 actual="),
+        (8, "Luminaria", "Fase= AlimentadorInfo esperado= actual="),
+    ]
+
+
+def test_fed_by_breaker(spark):
+    loads = [(1, 2, "OTRO"), (2, 6, "OTRO"), (3, 1, "FOPE"), (4, 1, None), (5, None, "OTRO"), (6, 2, None), (7, 1, "OTRO")]
+    net = network(
+        spark,
+        puestoprotecciondinamico=[
+            {"objectid": 1, "circuitsourceguid": "D", "parentcircuitsourceguid": "D"},
+            {"objectid": 2, "circuitsourceguid": "D", "parentcircuitsourceguid": "D"},
+            {"objectid": 3, "circuitsourceguid": "E", "parentcircuitsourceguid": "D"},
+            {"objectid": 4, "circuitsourceguid": "F", "parentcircuitsourceguid": "F"},
+        ],
+        tramobajatensionaereo=[{"objectid": 11, "parentcircuitsourceguid": "D"}, {"objectid": 12, "parentcircuitsourceguid": "E"}],
+        tramobajatensionsubterraneo=[{"objectid": 13, "parentcircuitsourceguid": "F"}],
+        luminaria=[{"objectid": 14, "parentcircuitsourceguid": None}],
+        puntocarga=[
+            {"objectid": i, "globalid": f"P{i}", "parentcircuitsourceguid": "F", "subtipo": subtype} for i, subtype, _ in loads
+        ],
+        conexionconsumidor=[{"objectid": i, "puntocargaglobalid": f"P{i}", "proyectoconstruccion": p} for i, _, p in loads],
+    )
+    assert found(net, "R04", "element", "detail_1") == [
+        (1, "Punto Carga", None),
+        (11, "Tramo Baja Aereo", None),
+        (11, "Tramo Baja Aereo", None),
+        (13, "Tramo Baja Subterraneo", None),
+        (6, "Punto Carga", None),
+        (7, "Punto Carga", None),
+    ]
+
+
+CATALOG = [
+    {"codigoestructura": "OK", "descripcioncorta": "1S100"},
+    {"codigoestructura": "SHORT", "descripcioncorta": "1S"},
+    {"codigoestructura": "OTHER", "descripcioncorta": "2D200"},
+    {"codigoestructura": "TWICE", "descripcioncorta": "1S100"},
+    {"codigoestructura": "TWICE", "descripcioncorta": "3E300"},
+]
+
+
+def switch(object_id, code, phase=4, voltage=7960, subtype=1, current="100"):
+    return {
+        "objectid": object_id,
+        "codigoestructura": code,
+        "faseconexion": phase,
+        "voltaje": voltage,
+        "subtipo": subtype,
+        "corriente": current,
+    }
+
+
+def test_switch_structure(spark):
+    net = network(
+        spark,
+        catalogoestructura=CATALOG,
+        puestoseccionadorfusible=[
+            switch(1, "OK"),
+            switch(2, "SHORT", current="999"),
+            switch(3, "OTHER", voltage=13800),
+            switch(4, None, voltage=13800),
+            switch(5, "OTHER", phase=8, voltage=1, subtype=9),
+            switch(6, "OK", current=" 100 "),
+            switch(7, "TWICE"),
+            switch(8, "OK", phase=7, voltage=7960, subtype=2),
+        ],
+    )
+    letter, current = values.STRUCTURE_SUBTYPE, values.STRUCTURE_CURRENT
+    assert found(net, "R05", "detail_1", "detail_2") == [
+        (3, f"{values.VOLTAGE_SINGLE};{values.STRUCTURE_PHASES[1]}", f"{letter[1]};{current[1]}"),
+        (4, f"{values.VOLTAGE_SINGLE};", ";"),
+        (7, f";{values.STRUCTURE_PHASES[1]}", f"{letter[1]};{current[1]}"),
+        (8, f"{values.VOLTAGE_MULTI};{values.STRUCTURE_PHASES[3]}", f"{letter[2]};"),
+    ]
+
+
+def test_switch_current_as_number(spark):
+    rows = [switch(1, "OK", current=Decimal(100)), switch(2, "OK", current=Decimal(50)), switch(3, "OK", current=None)]
+    switches = table(spark, "puestoseccionadorfusible", rows, corriente="decimal(10,2)")
+    net = network(spark, catalogoestructura=CATALOG, puestoseccionadorfusible=switches)
+    assert found(net, "R05", "detail_2") == [(2, f";{values.STRUCTURE_CURRENT[1]}")]
+
+
+def test_switch_units(spark):
+    net = network(
+        spark,
+        puestoseccionadorfusible=[
+            {"objectid": 1, "globalid": "A", "faseconexion": 4},
+            {"objectid": 2, "globalid": "B", "faseconexion": 4},
+            {"objectid": 3, "globalid": None, "faseconexion": 6},
+            {"objectid": 4, "globalid": "D", "faseconexion": None},
+        ],
+        unidadfusible=[
+            {"objectid": 1, "puestosecfusibleglobalid": "A", "capacidad": 5},
+            {"objectid": 2, "puestosecfusibleglobalid": "B"},
+            {"objectid": 3, "puestosecfusibleglobalid": "B"},
+            {"objectid": 4, "puestosecfusibleglobalid": None},
+        ],
+    )
+    assert found(net, "R06", "detail_1", "detail_2") == [
+        (2, f"{values.COUNT_BY_PHASE}1", f"{values.COUNT_OF_UNITS}2"),
+        (3, f"{values.COUNT_BY_PHASE}2", f"{values.COUNT_OF_UNITS}0"),
+    ]
+    assert found(net, "R07", "detail_1") == [(2, values.CAPACITY_MISSING), (2, values.CAPACITY_MISSING)]
+
+
+def test_capacitor_units_and_power(spark):
+    units = [
+        {"objectid": 1, "puestocorrfacpotglobalid": "A", "potencianominal": "12,5"},
+        {"objectid": 2, "puestocorrfacpotglobalid": "A", "potencianominal": "12.5"},
+        {"objectid": 3, "puestocorrfacpotglobalid": "C", "potencianominal": "x"},
+        {"objectid": 4, "puestocorrfacpotglobalid": "D", "potencianominal": None},
+        {"objectid": 5, "puestocorrfacpotglobalid": "E", "potencianominal": "0.005"},
+    ]
+    net = network(
+        spark,
+        puestocorrectorfactorpotencia=[
+            {"objectid": i, "globalid": g, "faseconexion": phase, "potenciakva": kva and Decimal(kva)}
+            for i, g, phase, kva in [
+                (1, "A", 6, "25"),
+                (2, "B", 4, "12.5"),
+                (3, "C", 4, "1"),
+                (4, "D", 4, "100.004"),
+                (5, "E", 4, "0.01"),
+                (6, "F", 8, None),
+            ]
+        ],
+        unidadcapacitor=table(spark, "unidadcapacitor", units, potencianominal="string"),
+    )
+    assert found(net, "R08", "detail_2") == [(2, f"{values.COUNT_OF_UNITS}0")]
+    assert found(net, "R09", "detail_1") == [
+        (2, f"{values.POWER_DIFFERS}. Puesto = 12.5 Unidad = 0"),
+        (4, f"{values.POWER_DIFFERS}. Puesto = 100 Unidad = 0"),
+    ]
+
+
+def span(object_id, **columns):
+    full = {
+        "codigoconductorfase": "OK",
+        "codigoconductorneutro": "N",
+        "configuracionconductores": "12",
+        "secuenciafase": "A",
+        "faseconexion": 4,
+        "voltaje": 7960,
+    }
+    return {**full, **columns, "objectid": object_id}
+
+
+def test_conductor_and_sequence(spark):
+    spans = [
+        span(1),
+        span(2, secuenciafase=None),
+        span(3, secuenciafase="AB"),
+        span(4, secuenciafase="BA", faseconexion=6),
+        span(5, secuenciafase="B", faseconexion=8),
+        span(6, secuenciafase="B", faseconexion=None),
+        span(7, secuenciafase="A X"),
+        span(8, secuenciafase=" A "),
+        span(9, secuenciafase="C", codigoconductorfase=None),
+    ]
+    net = network(spark, tramodistribucionaereo=spans, tramodistribucionsubterraneo=[span(20, configuracionconductores=None)])
+    assert found(net, "R10", "element", "detail_1") == sorted(
+        [
+            (2, "TMA", values.CONDUCTOR_MISSING),
+            (20, "TMS", values.CONDUCTOR_MISSING),
+            (3, "TMA", values.SEQUENCE_OUTSIDE),
+            (7, "TMA", values.SEQUENCE_OUTSIDE),
+            (9, "TMA", values.CONDUCTOR_MISSING),
+            (9, "TMA", values.SEQUENCE_OUTSIDE),
+        ],
+        key=str,
+    )
+
+
+@pytest.mark.parametrize("catalog", [CATALOG[:3], CATALOG])
+def test_conductor_and_voltage(spark, catalog):
+    spans = [
+        span(1),
+        span(2, configuracionconductores="1", voltaje=13800),
+        span(3, configuracionconductores="11"),
+        span(4, configuracionconductores="12", codigoconductorneutro=values.NO_NEUTRAL),
+        span(5, configuracionconductores="22"),
+        span(6, faseconexion=8, configuracionconductores="10", voltaje=1),
+        span(7, faseconexion=None, voltaje=1),
+        span(8, configuracionconductores="1x"),
+        span(9, codigoconductorneutro=None, voltaje=1),
+        span(10, codigoconductorfase="TWICE", codigoconductorneutro="TWICE", voltaje=1),
+    ]
+    net = network(spark, tramodistribucionaereo=spans, tramodistribucionsubterraneo=[], catalogoestructura=catalog)
+    copies = 4 if len(catalog) > 3 else 1
+    assert found(net, "R11", "detail_1", "detail_2") == sorted(
+        [
+            (2, values.VOLTAGE_SINGLE, ";"),
+            (3, None, f";{values.LAYOUT_NEUTRAL}"),
+            (4, None, f";{values.LAYOUT_NO_NEUTRAL}"),
+            (5, None, f"{values.LAYOUT_PHASES[1]};"),
+            (6, None, f";{values.LAYOUT_NEUTRAL}"),
+            *[(10, values.VOLTAGE_SINGLE, ";")] * copies,
+        ],
+        key=str,
+    )
+
+
+def test_breaker_values(spark):
+    full = {"corriente": 1, "corrientemaxcortocircuito": 1, "faseconexion": 1, "voltaje": 1}
+    rows = [{**full, "objectid": 1}, {**full, "objectid": 2, "voltaje": None}, {"objectid": 3}]
+    net = network(spark, puestoprotecciondinamico=table(spark, "puestoprotecciondinamico", rows, corriente="bigint"))
+    assert found(net, "R12", "detail_1", "detail_2") == [
+        (2, ";", f";{values.VOLTAGE_MISSING}"),
+        (3, f"{values.CURRENT_MISSING};{values.SHORT_CIRCUIT_MISSING}", f"{values.PHASE_MISSING};{values.VOLTAGE_MISSING}"),
+    ]
+
+
+def test_transformer_units(spark):
+    def station(object_id, subtype, phase, kva="25", low=1):
+        key = f"T{object_id}"
+        kva = kva and Decimal(kva)
+        return {
+            "objectid": object_id,
+            "globalid": key,
+            "subtipo": subtype,
+            "faseconexion": phase,
+            "potenciakva": kva,
+            "configuracionladobaja": low,
+            "configuracionladomedia": 1,
+        }
+
+    def unit(station_id, phase, tap=3, power="12.5"):
+        return {
+            "objectid": 1,
+            "puestotransfdistglobalid": f"T{station_id}",
+            "faseconexion": phase,
+            "tapnormal": tap,
+            "potencianominal": power and Decimal(power),
+        }
+
+    net = network(
+        spark,
+        puestotransfdistribucion=[
+            station(1, 1, 4),
+            station(2, 9, 6),
+            station(3, 11, None, kva=None, low=None),
+            station(4, 10, 4, kva="0"),
+            station(5, 99, 8),
+            station(6, 12, 7),
+        ],
+        unidadtransfdistribucion=[
+            unit(1, 4, tap=None),
+            unit(1, 4, tap=6),
+            unit(2, 4),
+            unit(2, 2),
+            unit(3, None, tap=0),
+            unit(3, None, tap=5, power=None),
+            unit(6, 4),
+            unit(6, 2),
+            unit(6, 1),
+            unit(6, 9),
+            unit(6, 9),
+        ],
+    )
+    assert found(net, "R13", "detail_1") == sorted(
+        [(1, values.TAP_INVALID), (1, values.TAP_INVALID), (3, values.TAP_INVALID), (3, values.SIDE_MISSING), (3, values.SIDE_MISSING)],
+        key=str,
+    )
+    assert found(net, "R14", "detail_1", "detail_2") == [
+        (1, "Monofasico creado con 2 unidad(es)", "Debe tener 1 unidad(es)"),
+        (3, "Banco 3 Transformadores creado con 2 unidad(es)", "Debe tener 3 unidad(es)"),
+        (6, "Banco 3 Transformadores creado con 5 unidad(es)", "Debe tener 3 unidad(es)"),
+    ]
+    differ = " no coinciden Fase de Conexión, Puesto="
+    assert found(net, "R15", "detail_1", "detail_2") == [
+        (1, f"Monofasico{differ}A  Unidad=--", values.PARALLEL_NOTE),
+        (3, f"Banco 3 Transformadores{differ}Fase NULL  Unidad=Fase NULL", None),
+        (4, f"Banco 2 Transformadores{differ}A  Unidad=Fase NULL", None),
+        (5, f"{differ}  Unidad=Fase NULL", None),
+        (6, f"Banco 3 Transformadores{differ}ABC  Unidad=--", None),
+    ]
+    note = values.PARALLEL_NOTE
+    assert found(net, "R16", "detail_1", "detail_2") == [
+        (3, "Banco 3 Transformadores tiene Fase Conexion = ", f"Fase  se repite en la unidad 2 veces;{note}"),
+        (6, "Banco 3 Transformadores tiene Fase Conexion = ABC", f"Fase  se repite en la unidad 2 veces;{note}"),
+    ]
+    assert found(net, "R17", "detail_1") == [
+        (5, f"{values.POWER_DIFFERS}. Puesto = 25 Unidad = 0"),
+        (6, f"{values.POWER_DIFFERS}. Puesto = 25 Unidad = 62.5"),
+    ]
+
+
+def connection(object_id, code=None, unique=None, point="P", user="u", **columns):
+    return {
+        "objectid": object_id,
+        "codigocliente": code,
+        "codigounico": unique,
+        "puntocargaglobalid": point,
+        "usuarioregistro": user,
+        **columns,
+    }
+
+
+def test_repeated_codes(spark):
+    net = network(
+        spark,
+        conexionconsumidor=[
+            connection(1, "C1", "U1"),
+            connection(2, "C1", "U2"),
+            connection(3, "C1", "U3", user="v"),
+            connection(4, "C2", "U2", user="v"),
+            connection(5, "C2", "U2", user="w"),
+            connection(6),
+            connection(7),
+            connection(8, "C3", "U4", point=None),
+            connection(9, "C3", "U4", point=None),
+        ],
+        puntocarga=[{"objectid": 50, "globalid": "P", "alimentadorid": "1"}],
+        atributosconsumidor=[
+            {"codigocliente": "C1", "codigounico": "U1"},
+            {"codigocliente": "C1", "codigounico": "U2"},
+            {"codigocliente": "C3"},
+            {"codigocliente": None},
+        ],
+    )
+    once = [(i, "CodigoCliente = C1", "ObjectIDPC = 50", "u", "Norte") for i in (1, 2, 3)]
+    assert found(net, "R18", "detail_1", "detail_2", "created_by", "feeder_name") == sorted(once * 2, key=str)
+    assert found(net, "R19", "detail_1") == []
+    repeated = network(
+        spark,
+        conexionconsumidor=[connection(1, "C1", "U1"), connection(2, "C2", "U1")],
+        puntocarga=[{"objectid": 50, "globalid": "P"}],
+        atributosconsumidor=[{"codigounico": "U1"}],
+    )
+    assert found(repeated, "R19", "detail_1") == [(1, "CodigoUnico = U1"), (2, "CodigoUnico = U1")]
+
+
+def test_connection_summaries(spark):
+    net = network(
+        spark,
+        conexionconsumidor=[
+            connection(1, "C1"),
+            connection(2, "C1"),
+            connection(3, "C2"),
+            connection(4, None, novedades=0),
+            connection(4, None, novedades=0),
+            connection(5, None, novedades=1),
+            connection(6, None, novedades=None),
+            connection(7, None, "U1", novedades=0),
+        ],
+        atributosconsumidor=[
+            {"codigocliente": "C1", "edccod": "A"},
+            {"codigocliente": "C1", "edccod": "W"},
+            {"codigocliente": "C1", "edccod": "A", "nummedidor": "M"},
+            {"codigocliente": "C2", "edccod": None},
+            {"codigocliente": None, "edccod": "A"},
+        ],
+    )
+    assert found(net, "R20", "detail_1", "detail_2", "feeder_id", "created_at") == [
+        (0, "Existen 5 registros", "Activos=2  Gestion Comercial=0  Inactivo=2", None, None)
+    ]
+    assert found(net, "R21", "detail_1") == [(0, "Existen 5 registros")]
+    assert found(net, "R22", "detail_1") == [
+        (4, "Existen 2 registros"),
+        (5, "Existen 1 registros"),
+        (6, "Existen 1 registros"),
+        (7, "Existen 1 registros"),
+    ]
+    assert found(net, "R23", "category", "detail_1") == [(4, "CIM", "Existen 2 registros")]
+
+
+def test_summaries_of_nothing(spark):
+    net = network(spark, conexionconsumidor=[], atributosconsumidor=[])
+    blank = "Activos=  Gestion Comercial=  Inactivo="
+    assert found(net, "R20", "detail_1", "detail_2") == [(0, "Existen  registros", blank)]
+    assert found(net, "R21", "detail_1") == [(0, "Existen 0 registros")]
+    assert found(net, "R22") == []
+
+
+def test_times_of_day_are_kept(spark):
+    at = datetime(2015, 1, 2, 3, 4, 5)
+    rows = [{"objectid": 1, "fecharegistro": at}]
+    frame = table(spark, "puestoprotecciondinamico", rows, fecharegistro="timestamp", fechamodificacionregistro="timestamp")
+    feeders = table(spark, "alimentador", [])
+    frames = {"puestoprotecciondinamico": frame, "alimentador": feeders}
+    assert found(network_of(frames, audit_date="timestamp"), "R12", "created_at", "run_date") == [(1, at, RUN_DATE)]
+    with pytest.raises(ValueError, match="times of day"):
+        rule_findings(network_of(frames), "R12", RUN_DATE)
+
+
+def test_feeder_lookup_with_repeats_adds_no_rows(spark):
+    feeders = [{"alimentadorid": "1", "descripcion": name} for name in ("Sur", "Norte")]
+    net = network(spark, alimentador=feeders, puestoprotecciondinamico=[{"objectid": 1, "alimentadorid": "1"}])
+    assert found(net, "R12", "feeder_name") == [(1, "Norte")]
+
+
+def test_schema_is_the_same_for_every_rule(spark):
+    from __spark_entry__ import star_network
+
+    net = star_network(spark, "/root/testdata/sf0.001")
+    schemas = {rule_findings(net, rule, date(2015, 4, 2)).schema.simpleString() for rule in RULES}
+    assert len(schemas) == 1
