@@ -1,4 +1,4 @@
-"""Parents against their children: totals, pairs and repeats.
+"""Parents against their children: totals, repeats and wrong parents.
 
 Children are summed up by foreign key before they meet their parents. A parent with a third of all
 children then costs one row per map task, and the join sees one row per parent.
@@ -12,19 +12,18 @@ from pyspark.sql import functions as F
 from gridwarden.operators.joins import inner_join, left_join
 
 
-def with_child_totals(parents: DataFrame, key: str, children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
-    """Every parent once, with the children's totals; NULL totals for a parent without children."""
-    summed = (
+def child_totals(children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
+    """The totals per parent key, which is named `_child_key`."""
+    return (
         children.where(f"{foreign_key} is not null")
         .groupBy(F.col(foreign_key).alias("_child_key"))
         .agg(*[F.expr(total).alias(name) for name, total in totals.items()])
     )
-    return left_join(parents, summed, key, "_child_key", "objectid")
 
 
-def with_children(parents: DataFrame, key: str, children: DataFrame, foreign_key: str) -> DataFrame:
-    """One row per child, with its parent's columns. `children` brings the key and its own columns."""
-    return inner_join(parents, children, key, foreign_key)
+def with_child_totals(parents: DataFrame, key: str, children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
+    """Every parent once, with the children's totals; NULL totals for a parent without children."""
+    return left_join(parents, child_totals(children, foreign_key, **totals), key, "_child_key", "objectid")
 
 
 def repeated_child_value(parents: DataFrame, key: str, children: DataFrame, foreign_key: str, value: str) -> DataFrame:
@@ -35,7 +34,7 @@ def repeated_child_value(parents: DataFrame, key: str, children: DataFrame, fore
         .agg(F.count(F.lit(1)).alias("repeats"))
         .where("repeats > 1")
     )
-    return with_children(parents, key, repeated, "_child_key")
+    return inner_join(parents, repeated, key, "_child_key")
 
 
 def wrong_parent(children: DataFrame, parent_key: str, parents: DataFrame, key: str) -> DataFrame:

@@ -35,6 +35,7 @@ FEATURE = [
     "usuariomodificacionregistro as modified_by",
     "fechamodificacionregistro as modified_at",
 ]
+MARKS = ["rule_id", "element", "detail_1", "detail_2", *[column.split(" as ")[1] for column in FEATURE]]
 NO_TEXT = "cast(null as string)"
 FILTER_LENGTH = 500
 
@@ -48,19 +49,23 @@ def findings_schema(audit_date: str = "date") -> T.StructType:
 
 @dataclass(frozen=True)
 class Check:
-    """A condition on the rows of one table, and the finding it makes; details are expressions."""
+    """A condition on the rows of one table, and the finding it makes; details are expressions.
+
+    `copies` is how often a flagged row is reported, such as once per child.
+    """
 
     rule_id: str
     element: str
     flagged: str
     detail_1: str = NO_TEXT
     detail_2: str = NO_TEXT
+    copies: str = "1L"
 
 
-def marks(rows: DataFrame, rule_id: str, element: str, detail_1: str = NO_TEXT, detail_2: str = NO_TEXT) -> DataFrame:
+def marks(rows: DataFrame, rule_id: str, element: str, detail_1: str = NO_TEXT, detail_2: str = NO_TEXT, *extra: str) -> DataFrame:
     """What a finding says about a feature, from rows with the feature's id, feeder and audit columns."""
     texts = [f"{rule_id} as rule_id", f"{element} as element", f"{detail_1} as detail_1", f"{detail_2} as detail_2"]
-    return rows.selectExpr(*texts, *FEATURE)
+    return rows.selectExpr(*texts, *FEATURE, *extra)
 
 
 def summary_marks(rows: DataFrame, rule_id: str, element: str, object_id: str, detail_1: str, audit_date: str, detail_2: str = NO_TEXT) -> DataFrame:
@@ -82,13 +87,17 @@ def summary_marks(rows: DataFrame, rule_id: str, element: str, object_id: str, d
 def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Marks of all checks in one pass over the rows; a row gives one mark per check it fails.
 
+    The marks have a column `copies` if a check reports rows more than once.
+
     Texts are built only for flagged rows. One short condition is a filter, which reaches the scan.
     Others stand in a generator, below which Catalyst computes a derived column once instead of
     repeating it per mention; the generated method stays small enough for the JVM to compile.
     """
     only = checks[0]
+    repeated = any(check.copies != Check.copies for check in checks)
     if len(checks) == 1 and len(only.flagged) <= FILTER_LENGTH:
-        return marks(rows.where(only.flagged), literal(only.rule_id), literal(only.element), only.detail_1, only.detail_2)
+        texts = literal(only.rule_id), literal(only.element), only.detail_1, only.detail_2
+        return marks(rows.where(only.flagged), *texts, *([f"{only.copies} as copies"] if repeated else []))
     failed = ", ".join(f"if({check.flagged}, {i}, null)" for i, check in enumerate(checks))
     hits = rows.selectExpr("*", f"explode(array({failed})) as _check").where("_check is not null")
 
@@ -106,6 +115,7 @@ def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
         constant([check.element for check in checks]),
         chosen([check.detail_1 for check in checks]),
         chosen([check.detail_2 for check in checks]),
+        *([f"{chosen([check.copies for check in checks])} as copies"] if repeated else []),
     )
 
 

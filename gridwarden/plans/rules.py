@@ -1,7 +1,8 @@
 """The validation rules R01..R23.
 
 A rule is either a list of checks per view, where a view is a table with what its rows need to be
-judged alone, or a relational plan of its own. Checks of several rules on one view share its scan.
+judged alone, or a relational plan of its own. Checks of several rules on one view share its scan
+and its shuffles.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from gridwarden.functions.phases import letters_outside, phase_count, phase_lett
 from gridwarden.functions.text import joined, literal, mapped, number_text, piece, to_power
 from gridwarden.operators import checks as c
 from gridwarden.operators.checks import Message
-from gridwarden.operators.children import repeated_child_value, with_child_totals, with_children, wrong_parent
+from gridwarden.operators.children import child_totals, repeated_child_value, with_child_totals, wrong_parent
 from gridwarden.operators.duplicates import conditional_summary, duplicate_key, matched_totals, rows_missing_key
-from gridwarden.operators.findings import COLUMNS, Check, as_findings, flag_rows, marks, summary_marks
-from gridwarden.operators.joins import inner_join
+from gridwarden.operators.findings import COLUMNS, MARKS, NO_TEXT, Check, as_findings, flag_rows, marks, summary_marks
+from gridwarden.operators.joins import inner_join, repeat_rows
 from gridwarden.sources.network import AUDIT, Network
 
 PHASE = "faseconexion"
@@ -61,6 +62,7 @@ def transformer_units(network: Network) -> DataFrame:
         _units="count(objectid)",
         _phases=f"sum(coalesce({PHASE}, 0))",
         _power=power_total(units),
+        _bad_taps=f"count_if({c.null_or_range('tapnormal', *values.TAP_RANGE)})",
     )
 
 
@@ -84,6 +86,7 @@ def fuse_switch_units(network: Network) -> DataFrame:
         network["unidadfusible"],
         "puestosecfusibleglobalid",
         _units="count(objectid)",
+        _no_capacity="count_if(capacidad is null)",
     )
 
 
@@ -183,7 +186,7 @@ def switch_structure(network: Network) -> Checks:
         f"{piece('_structure', 2, 1)} <> {mapped('subtipo', values.SWITCH_STRUCTURE_LETTER)}",
         mapped("subtipo", values.STRUCTURE_SUBTYPE),
     )
-    amperes = f"trim(substring(_structure, 3, 3))"
+    amperes = "trim(substring(_structure, 3, 3))"
     if isinstance(network["puestoseccionadorfusible"].schema["corriente"].dataType, T.StringType):
         differs = f"nullif({amperes}, '') <> nullif(trim(corriente), '')"
     else:
@@ -202,6 +205,11 @@ def units_vs_phase(rule_id: str, view: str, element: str) -> Callable[[Network],
     return lambda network: [(view, check)]
 
 
+def capacity_missing(network: Network) -> Checks:
+    check = Check("R07", SWITCH, "_no_capacity > 0", literal(values.CAPACITY_MISSING), copies="_no_capacity")
+    return [("fuse_switch_units", check)]
+
+
 def unit_power(rule_id: str, view: str, element: str, station: str) -> Callable[[Network], Checks]:
     def checks(network: Network) -> Checks:
         own, units = power(network[station], "potenciakva"), "if(_rows is null, 0, _power)"
@@ -254,6 +262,15 @@ def breaker_values(network: Network) -> Checks:
     return [("breaker", Check("R12", "Puesto Proteccion Dinámico", c.missing(list(texts)), *pairs))]
 
 
+def taps_and_sides(network: Network) -> Checks:
+    sides = f"(_rows > 0 and {c.missing(['configuracionladobaja', 'configuracionladomedia'])})"
+    found = [
+        Check("R13", TRANSFORMER, "_bad_taps > 0", literal(values.TAP_INVALID), copies="_bad_taps"),
+        Check("R13", TRANSFORMER, sides, literal(values.SIDE_MISSING), copies="_rows"),
+    ]
+    return [("transformer_units", check) for check in found]
+
+
 def units_vs_subtype(network: Network) -> Checks:
     required, group = mapped("subtipo", values.TRANSFORMER_UNITS), mapped("subtipo", values.TRANSFORMER_GROUP)
     flagged = f"(_rows is not null and {c.child_count_mismatch(required, '_units')})"
@@ -282,36 +299,36 @@ def station_vs_unit_phase(network: Network) -> Checks:
 # --- Rules with a plan of their own -------------------------------------------------------------
 
 
-def connected(load_points: DataFrame, connections: DataFrame) -> DataFrame:
-    """Load points once per customer connection, with the connection's other columns."""
-    renamed = connections.withColumnRenamed("puntocargaglobalid", "_connection_key")
-    return inner_join(load_points, renamed, "globalid", "_connection_key")
-
-
-def feature_vs_transformer(network: Network) -> DataFrame:
+def misphased(network: Network, table: str, element: str, *key: str) -> DataFrame:
+    """Marks of the table's features with a phase that their transformer lacks."""
     # A full ABC transformer lacks no phase, and a feature without a phase code is never flagged.
     transformers = network["puestotransfdistribucion"].where(f"{PHASE} between 1 and 6")
     transformers = transformers.selectExpr(
         "circuitsourceguid as _source", f"{PHASE} as _transformer_phase", "alimentadorid as _transformer_feeder"
     )
+    features = network[table].where(f"{PHASE} between 1 and 7").drop("alimentadorid")
+    fed = inner_join(features, transformers, "parentcircuitsourceguid", "_source")
+    fed = fed.where(phases_outside(PHASE, "_transformer_phase")).withColumnRenamed("_transformer_feeder", "alimentadorid")
     texts = [
         joined(literal(values.CLIENT_PHASE), phase_letters(PHASE)),
         joined(literal(values.TRANSFORMER_PHASE), phase_letters("_transformer_phase")),
     ]
+    return marks(fed, "'R02'", literal(element), *texts, *key)
+
+
+def misphased_lights(network: Network) -> DataFrame:
+    return misphased(network, "luminaria", "Luminaria")
 
-    def outside(table: str, *extra: str) -> DataFrame:
-        features = network[table].where(f"{PHASE} between 1 and 7")
-        features = features.select("objectid", PHASE, "parentcircuitsourceguid", *AUDIT, *extra)
-        fed = inner_join(features, transformers, "parentcircuitsourceguid", "_source")
-        return fed.where(phases_outside(PHASE, "_transformer_phase")).withColumnRenamed("_transformer_feeder", "alimentadorid")
 
-    load_points = connected(outside("puntocarga", "globalid"), network["conexionconsumidor"].select("puntocargaglobalid"))
-    lights = outside("luminaria")
-    return marks(load_points, "'R02'", "'Punto Carga'", *texts).union(marks(lights, "'R02'", "'Luminaria'", *texts))
+def misphased_loads(network: Network) -> DataFrame:
+    return misphased(network, "puntocarga", "Punto Carga", "globalid", "false as private_only")
 
 
-def fed_by_breaker(network: Network) -> DataFrame:
-    breakers = network["puestoprotecciondinamico"].where("circuitsourceguid = parentcircuitsourceguid")
+def own_parents(network: Network) -> DataFrame:
+    return network["puestoprotecciondinamico"].where("circuitsourceguid = parentcircuitsourceguid")
+
+
+def breaker_fed_features(network: Network) -> DataFrame:
     elements = {
         "tramobajatensionaereo": "Tramo Baja Aereo",
         "tramobajatensionsubterraneo": "Tramo Baja Subterraneo",
@@ -319,32 +336,27 @@ def fed_by_breaker(network: Network) -> DataFrame:
     }
     columns = ["objectid", "alimentadorid", "parentcircuitsourceguid", *AUDIT]
     plain = [network[table].selectExpr(*columns, f"{literal(element)} as _element") for table, element in elements.items()]
-    features = wrong_parent(reduce(DataFrame.union, plain), "parentcircuitsourceguid", breakers, "circuitsourceguid")
-    loads = network["puntocarga"].where(f"subtipo <> {values.MEDIUM_VOLTAGE_LOAD}")
-    loads = wrong_parent(loads, "parentcircuitsourceguid", breakers, "circuitsourceguid")
-    loads = connected(loads, network["conexionconsumidor"].select("puntocargaglobalid", "proyectoconstruccion"))
-    public_totalizer = f"(subtipo = {values.TOTALIZER_LOAD} and proyectoconstruccion = {literal(values.PUBLIC_PROJECT)})"
-    return marks(features, "'R04'", "_element").union(
-        marks(loads.where(f"not {public_totalizer}"), "'R04'", "'Punto Carga'")
-    )
+    fed = wrong_parent(reduce(DataFrame.union, plain), "parentcircuitsourceguid", own_parents(network), "circuitsourceguid")
+    return marks(fed, "'R04'", "_element")
 
 
-def capacity_missing(network: Network) -> DataFrame:
-    units = network["unidadfusible"].where("capacidad is null").select("puestosecfusibleglobalid")
-    switches = with_children(network["puestoseccionadorfusible"], "globalid", units, "puestosecfusibleglobalid")
-    return marks(switches, "'R07'", literal(SWITCH), literal(values.CAPACITY_MISSING))
+def breaker_fed_loads(network: Network) -> DataFrame:
+    loads = network["puntocarga"].where(f"subtipo <> {values.MEDIUM_VOLTAGE_LOAD}")
+    fed = wrong_parent(loads, "parentcircuitsourceguid", own_parents(network), "circuitsourceguid")
+    private_only = f"subtipo = {values.TOTALIZER_LOAD} as private_only"
+    return marks(fed, "'R04'", "'Punto Carga'", NO_TEXT, NO_TEXT, "globalid", private_only)
 
 
-def taps_and_sides(network: Network) -> DataFrame:
-    units = network["unidadtransfdistribucion"].select("puestotransfdistglobalid", "tapnormal")
-    pairs = with_children(network["puestotransfdistribucion"], "globalid", units, "puestotransfdistglobalid")
-    taps = c.null_or_range("tapnormal", *values.TAP_RANGE)
-    sides = c.missing(["configuracionladobaja", "configuracionladomedia"])
-    found = [
-        Check("R13", TRANSFORMER, taps, literal(values.TAP_INVALID)),
-        Check("R13", TRANSFORMER, sides, literal(values.SIDE_MISSING)),
-    ]
-    return flag_rows(pairs, found)
+def per_connection(loads: DataFrame, network: Network) -> DataFrame:
+    """Marks of load points with, as `copies`, the number of their connections that count.
+
+    Where `private_only`, a connection of a public project, or of none, does not count.
+    """
+    private = f"count_if(proyectoconstruccion <> {literal(values.PUBLIC_PROJECT)})"
+    totals = child_totals(network["conexionconsumidor"], "puntocargaglobalid", _all="count(1)", _private=private)
+    counted = inner_join(loads, totals, "globalid", "_child_key")
+    copies = "if(private_only, _private, _all) as copies"
+    return counted.selectExpr(*[name for name in loads.columns if name not in ("globalid", "private_only")], copies)
 
 
 def bank_phases(network: Network) -> DataFrame:
@@ -404,12 +416,17 @@ def missing_key(rule_id: str, key: str, extra: str = "true") -> Callable[[Networ
 
 @dataclass(frozen=True)
 class Rule:
-    """One rule: `checks` or `plan`. Rules with `scheduled` unset run only when named."""
+    """One rule. Rules with `scheduled` unset run only when named.
+
+    `checks` judge the rows of views, `plan` gives marks, and `load_points` gives marks of load
+    points that stand for one finding per customer connection.
+    """
 
     rule_id: str
     name: str
     checks: Callable[[Network], Checks] | None = None
     plan: Callable[[Network], DataFrame] | None = None
+    load_points: Callable[[Network], DataFrame] | None = None
     scheduled: bool = True
     heading: tuple[str, str] | None = None
 
@@ -425,18 +442,18 @@ RULES: dict[str, Rule] = {
     rule.rule_id: rule
     for rule in [
         Rule("R01", "phase_vs_subtype", phase_vs_subtype),
-        Rule("R02", "feature_vs_transformer", plan=feature_vs_transformer),
+        Rule("R02", "feature_vs_transformer", plan=misphased_lights, load_points=misphased_loads),
         Rule("R03", "feeder_info", feeder_info),
-        Rule("R04", "fed_by_breaker", plan=fed_by_breaker),
+        Rule("R04", "fed_by_breaker", plan=breaker_fed_features, load_points=breaker_fed_loads),
         Rule("R05", "switch_structure", switch_structure),
         Rule("R06", "switch_units_vs_phase", units_vs_phase("R06", "fuse_switch_units", SWITCH)),
-        Rule("R07", "fuse_capacity_missing", plan=capacity_missing),
+        Rule("R07", "fuse_capacity_missing", capacity_missing),
         Rule("R08", "capacitor_units_vs_phase", units_vs_phase("R08", "capacitor_units", CAPACITOR)),
         Rule("R09", "capacitor_unit_power", unit_power("R09", "capacitor_units", CAPACITOR, _CAPACITOR)),
         Rule("R10", "conductor_and_sequence", conductor_and_sequence),
         Rule("R11", "conductor_and_voltage", conductor_and_voltage),
         Rule("R12", "breaker_values_missing", breaker_values),
-        Rule("R13", "taps_and_sides", plan=taps_and_sides),
+        Rule("R13", "taps_and_sides", taps_and_sides),
         Rule("R14", "units_vs_subtype", units_vs_subtype),
         Rule("R15", "station_vs_unit_phase", station_vs_unit_phase),
         Rule("R16", "bank_unit_phases", plan=bank_phases),
@@ -454,21 +471,25 @@ BATCH: list[Rule] = [rule for rule in RULES.values() if rule.scheduled]
 
 
 def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
-    """Marks of the rules, each view read once for all of its checks."""
+    """Marks of the rules, with one pass per view and one over the connections for all rules."""
+    rules = list(rules)
     by_view: dict[str, list[Check]] = {}
-    plans = []
     for rule in rules:
-        if rule.plan:
-            plans.append(rule.plan(network))
-        else:
-            for view, check in rule.checks(network):
-                by_view.setdefault(view, []).append(check)
+        for view, check in rule.checks(network) if rule.checks else []:
+            by_view.setdefault(view, []).append(check)
     for narrow, wide in WIDER_VIEW.items():
         if narrow in by_view and wide in by_view:
             by_view[wide] = by_view.pop(narrow) + by_view[wide]
-    flagged = [flag_rows(VIEWS[view](network), found) for view, found in by_view.items()]
-    parts = [part.select(flagged[0].columns if flagged else plans[0].columns) for part in [*flagged, *plans]]
-    return reduce(DataFrame.union, parts)
+    parts = [flag_rows(VIEWS[view](network), found) for view, found in by_view.items()]
+    loads = [rule.load_points(network) for rule in rules if rule.load_points]
+    if loads:
+        parts.append(per_connection(reduce(DataFrame.unionByName, loads), network))
+    parts += [rule.plan(network) for rule in rules if rule.plan]
+    repeated = [part for part in parts if "copies" in part.columns]
+    plain = [part for part in parts if "copies" not in part.columns]
+    if repeated:
+        plain.append(repeat_rows(reduce(DataFrame.unionByName, repeated), "copies"))
+    return reduce(DataFrame.union, [part.select(MARKS) for part in plain])
 
 
 def findings_with_rule(network: Network, rules: Sequence[Rule], run_date: date) -> DataFrame:
