@@ -68,20 +68,27 @@ def run_validation(
         writer.partitionBy("rule_id").parquet(path)
 
     start()
-    failures = _broken_rules(network, rules, run_date)
+    shared, failures = None, {}
+    try:
+        shared = findings_with_rule(network, rules, run_date)
+    except Exception:
+        log.exception("some rule cannot be built, such as for a missing table")
+        failures = _broken_rules(network, rules, run_date)
     sound = [rule for rule in rules if rule.rule_id not in failures]
-    if sound:
-        try:
-            findings_with_rule(network, sound, run_date).write.mode("append").partitionBy("rule_id").parquet(path)
-        except Exception:
-            log.exception("the shared job failed; running its %d rules one by one", len(sound))
-            start()
-            for rule in sound:
-                try:
-                    _replace_rule(findings_with_rule(network, [rule], run_date), path, rule.rule_id)
-                except Exception as error:
-                    log.exception("rule %s failed", rule.rule_id)
-                    failures[rule.rule_id] = error
+    try:
+        if sound:
+            shared = shared or findings_with_rule(network, sound, run_date)
+            # Gathered by rule: few files of good size, and AQE splits a rule with very many findings.
+            shared.hint("rebalance", "rule_id").write.mode("append").partitionBy("rule_id").parquet(path)
+    except Exception:
+        log.exception("the shared job failed; running its %d rules one by one", len(sound))
+        start()
+        for rule in sound:
+            try:
+                _replace_rule(findings_with_rule(network, [rule], run_date), path, rule.rule_id)
+            except Exception as error:
+                log.exception("rule %s failed", rule.rule_id)
+                failures[rule.rule_id] = error
     for rule in rules:
         if rule.rule_id in failures:
             row = failure_row(spark, network, rule, failures[rule.rule_id], run_date)
@@ -94,12 +101,7 @@ def run_validation(
 
 
 def _broken_rules(network: Network, rules: Sequence[Rule], run_date: date) -> dict[str, Exception]:
-    """Which rules cannot even be built, such as for a missing table, and why."""
-    try:
-        findings_with_rule(network, rules, run_date)
-        return {}
-    except Exception:
-        log.exception("some rule cannot be built")
+    """The rules that cannot be built even alone, and why."""
     errors: dict[str, Exception] = {}
     for rule in rules:
         try:
