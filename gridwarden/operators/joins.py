@@ -43,18 +43,19 @@ def broadcast_left_join(many: DataFrame, one: DataFrame, key: str, one_key: str)
     return many.join(F.broadcast(one), F.col(key) == F.col(one_key), "left").drop(one_key)
 
 
-def repeat_rows(rows: DataFrame, copies: str) -> DataFrame:
+def repeat_rows(rows: DataFrame, copies: str, row_id: str) -> DataFrame:
     """Each row as often as its column `copies` says, without that column; 0 drops the row.
 
     Rows are cut into pieces of few copies and dealt out over all tasks before they are copied, so a
-    row wanted a billion times is the work of many tasks and of small arrays.
+    row wanted a billion times is the work of many tasks and of small arrays. Pieces go by a hash,
+    which a retried task repeats without the sort that a round-robin deal needs.
     """
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = f"least({COPIES_PER_PIECE}, {copies} - _piece * {COPIES_PER_PIECE})"
     return (
         rows.where(f"{copies} > 0")
         .selectExpr("*", f"explode(sequence(0L, ({copies} - 1) div {COPIES_PER_PIECE})) as _piece")
-        .repartition(tasks)
+        .repartition(tasks, row_id, "_piece")
         .selectExpr("*", f"explode(array_repeat(true, cast({rest} as int))) as _copy")
         .drop(copies, "_piece", "_copy")
     )

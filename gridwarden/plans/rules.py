@@ -371,7 +371,12 @@ def bank_phases(network: Network) -> DataFrame:
     return marks(repeated, "'R16'", literal(TRANSFORMER), station, unit)
 
 
-def repeated_code(rule_id: str, code: str, label: str) -> Callable[[Network], DataFrame]:
+def repeated_code(rule_id: str, code: str, label: str, distinct: bool = False) -> Callable[[Network], DataFrame]:
+    """Every connection of a repeated code, once per group of equal audit values and per account.
+
+    `distinct` reports a connection once per group, however many accounts share the code.
+    """
+
     def plan(network: Network) -> DataFrame:
         connections = network["conexionconsumidor"]
         groups = duplicate_key(connections, code, list(AUDIT)).withColumnRenamed(code, "_code")
@@ -379,7 +384,10 @@ def repeated_code(rule_id: str, code: str, label: str) -> Callable[[Network], Da
         points = network["puntocarga"].selectExpr("globalid as _point_key", "alimentadorid", "objectid as _point")
         members = inner_join(members, points, "puntocargaglobalid", "_point_key")
         accounts = network["atributosconsumidor"].selectExpr(f"{code} as _account")
-        members = inner_join(members, accounts, code, "_account")
+        if distinct:
+            members = members.join(accounts, members[code] == accounts["_account"], "left_semi")
+        else:
+            members = inner_join(members, accounts, code, "_account")
         texts = joined(literal(f"{label} = "), code), joined("'ObjectIDPC = '", "_point")
         return marks(members, literal(rule_id), literal(CONNECTION), *texts)
 
@@ -488,7 +496,7 @@ def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
     repeated = [part for part in parts if "copies" in part.columns]
     plain = [part for part in parts if "copies" not in part.columns]
     if repeated:
-        plain.append(repeat_rows(reduce(DataFrame.unionByName, repeated), "copies"))
+        plain.append(repeat_rows(reduce(DataFrame.unionByName, repeated), "copies", "object_id"))
     return reduce(DataFrame.union, [part.select(MARKS) for part in plain])
 
 

@@ -110,7 +110,7 @@ class Network:
 
     def _column(self, table: str, name: str, kind: str, types: Mapping[str, str]) -> str:
         if name not in types:
-            raise KeyError(f"table {table} has no column {name}")
+            raise ValueError(f"table {table} has no column {name}")
         target = {"long": "bigint", "audit_date": self.audit_date}.get(kind, kind)
         if kind == "as_is" or types[name] == target:
             return name
@@ -129,7 +129,14 @@ class Network:
 
 def network_of(frames: Mapping[str, DataFrame], audit_date: str = "date") -> Network:
     """A network of given DataFrames."""
-    return Network({name.lower(): frame for name, frame in frames.items()}.__getitem__, audit_date)
+    known = {name.lower(): frame for name, frame in frames.items()}
+
+    def load(name: str) -> DataFrame:
+        if name not in known:
+            raise ValueError(f"table {name} is not in the network")
+        return known[name]
+
+    return Network(load, audit_date)
 
 
 def read_network(spark: SparkSession, location: str, fmt: str = "parquet", audit_date: str = "date", **options: str) -> Network:

@@ -13,6 +13,7 @@ from gridwarden.functions import values
 from gridwarden.functions.phases import letters_outside, phase_count, phases_outside
 from gridwarden.operators.census import non_null_census, select_layers
 from gridwarden.plans.rules import Rule
+from gridwarden.sources.catalog import catalog_frames
 from gridwarden.sources.network import read_network, read_network_tables
 from gridwarden.sources.star import ADAPTERS, star_catalog, star_network
 
@@ -56,7 +57,7 @@ def test_missing_table_fails_its_rule_only(spark, tmp_path):
     result = run(spark, breakers(spark), tmp_path / "run", [RULES["R12"], RULES["R07"]]).collect()
     failed = [r for r in result if r["category"] == "ERROR"]
     assert len(failed) == 1
-    assert failed[0]["rule"].startswith("ERROR: ") and "unidadfusible" in failed[0]["rule"]
+    assert failed[0]["rule"] == "ERROR: table puestoseccionadorfusible is not in the network"
     assert failed[0]["detail_1"] == "Procedimiento: fuse_capacity_missing"
     assert failed[0]["detail_2"] == values.RULE_TITLES["R07"][1]
     assert [r["object_id"] for r in result if r["category"] == "ADMS"] == [1]
@@ -126,6 +127,16 @@ def test_layers_of_the_catalog(spark):
     assert sorted(r["table_name"] for r in kept.collect()) == ["LUMINARIA", "PUESTOSECCIONADORFUSIBLE", "PUESTOTRANSFDISTRIBUCION"]
 
 
+def test_census_of_the_spark_catalog(spark):
+    spark.sql("create database if not exists sigelec")
+    for name, column in [("postes", "ordentrabajo"), ("a1", "ordentrabajo"), ("otros", "x"), ("oculta", "ordentrabajo")]:
+        spark.createDataFrame([("o1",), (None,)], f"{column} string").write.mode("overwrite").saveAsTable(f"sigelec.{name}")
+    layers = spark.createDataFrame([("POSTES",), ("A1",), ("OTROS",)], "table_name string")
+    kept = select_layers(*catalog_frames(spark, ["sigelec"]), layers)
+    census = non_null_census(spark, kept, lambda name: spark.table(f"sigelec.{name}"))
+    assert [tuple(r) for r in census.collect()] == [("POSTES", 1)]
+
+
 def test_census(spark):
     layers = spark.createDataFrame([("FULL",), ("EMPTY",)], "table_name string")
     frames = {

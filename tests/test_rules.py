@@ -8,6 +8,7 @@ from helpers import RUN_DATE, found, network, table
 
 from gridwarden import RULES, network_of, rule_findings
 from gridwarden.functions import values
+from gridwarden.plans.rules import Rule, repeated_code
 
 SPANS = {
     name: []
@@ -420,6 +421,8 @@ def test_repeated_codes(spark):
     )
     once = [(i, "CodigoCliente = C1", "ObjectIDPC = 50", "u", "Norte") for i in (1, 2, 3)]
     assert found(net, "R18", "detail_1", "detail_2", "created_by", "feeder_name") == sorted(once * 2, key=str)
+    once_each = Rule("R18", "once", plan=repeated_code("R18", "codigocliente", "CodigoCliente", distinct=True))
+    assert found(net, once_each, "detail_1", "detail_2", "created_by", "feeder_name") == once
     assert found(net, "R19", "detail_1") == []
     repeated = network(
         spark,

@@ -137,7 +137,7 @@ def test_hot_parent_is_counted_and_repeated(spark, rule, expected):
 def test_repeated_rows_are_whole_and_spread(spark, monkeypatch):
     monkeypatch.setattr(joins, "COPIES_PER_PIECE", 100)
     rows = spark.createDataFrame([(1, 50_000), (2, 1), (3, 0), (4, 100), (5, 101)], "id long, copies long")
-    out = joins.repeat_rows(rows, "copies").withColumn("part", F.spark_partition_id()).collect()
+    out = joins.repeat_rows(rows, "copies", "id").withColumn("part", F.spark_partition_id()).collect()
     assert Counter(r["id"] for r in out) == Counter({1: 50_000, 2: 1, 4: 100, 5: 101})
     hot = Counter(r["part"] for r in out if r["id"] == 1)
     assert len(hot) == 8 and max(hot.values()) < 2 * 50_000 / 8
