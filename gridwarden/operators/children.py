@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwarden.operators.joins import inner_join, left_join
+from gridwarden.operators.joins import inner_join, spread_join
 
 
 def child_totals(children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
@@ -23,7 +23,7 @@ def child_totals(children: DataFrame, foreign_key: str, **totals: str) -> DataFr
 
 def with_child_totals(parents: DataFrame, key: str, children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
     """Every parent once, with the children's totals; NULL totals for a parent without children."""
-    return left_join(parents, child_totals(children, foreign_key, **totals), key, "_child_key", "objectid")
+    return spread_join(parents, child_totals(children, foreign_key, **totals), key, "_child_key", "objectid")
 
 
 def repeated_child_value(parents: DataFrame, key: str, children: DataFrame, foreign_key: str, value: str) -> DataFrame:

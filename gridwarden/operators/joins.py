@@ -1,14 +1,14 @@
 """Joins that stay whole and spread out when one key, or NULL, holds much of a table.
 
-Plain inner joins need no help here: both sides reach them through a fresh shuffle, so AQE splits a
-hot key over tasks. What AQE cannot split is handled below.
+Plain inner joins need no help: both sides reach them through a fresh shuffle, so AQE splits a hot
+key over tasks. What AQE cannot split by itself is handled below.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COPIES_PER_PIECE = 10_000
@@ -18,28 +18,25 @@ SALTS = 32
 NULL_SPREAD = 4096
 
 
-def spread_null_key(key: str, row_id: str) -> Column:
-    """The key, with NULLs replaced by many placeholders so that no one task gets all NULL rows.
-
-    A left join must pair it with `key IS NOT NULL`, so that a placeholder never matches.
-    """
-    bucket = F.pmod(F.xxhash64(F.col(row_id)), F.lit(NULL_SPREAD)).cast("string")
-    return F.coalesce(F.col(key), F.concat(F.lit("\0"), bucket))
-
-
 def inner_join(left: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:
     """Pairs of rows with equal keys, without the right side's key column."""
     return left.join(right, F.col(key) == F.col(right_key)).drop(right_key)
 
 
-def left_join(many: DataFrame, one: DataFrame, key: str, one_key: str, row_id: str) -> DataFrame:
-    """`many` with the matching rows of `one`, whose key column is dropped."""
-    condition = (spread_null_key(key, row_id) == F.col(one_key)) & F.col(key).isNotNull()
-    return many.join(one, condition, "left").drop(one_key)
+def spread_join(many: DataFrame, one: DataFrame, key: str, one_key: str, row_id: str, how: str = "left") -> DataFrame:
+    """`many` with the matching rows of `one`, for a `one` that may be an aggregate by its key.
+
+    Both sides are joined on a second key as well, which is 0 wherever the first can match. It deals
+    the rows with a NULL key over many tasks. And since no aggregate is partitioned by both keys,
+    both sides get a fresh shuffle, so AQE can split a hot key of `many` too.
+    """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+    zero = F.pmod(F.xxhash64(one_key), F.lit(1))
+    return many.join(one, (F.col(key) == F.col(one_key)) & (spread == zero), how).drop(one_key)
 
 
 def broadcast_left_join(many: DataFrame, one: DataFrame, key: str, one_key: str) -> DataFrame:
-    """As `left_join`, for a right side known to be small: no shuffle, so nothing to spread."""
+    """As `spread_join`, for a right side known to be small: no shuffle, so nothing to spread."""
     return many.join(F.broadcast(one), F.col(key) == F.col(one_key), "left").drop(one_key)
 
 
@@ -99,7 +96,7 @@ class Lookup:
         one = self.frame.select(F.col(self.key).alias("_lookup_key"), F.col(self.value).alias(value))
         if self.fits:
             return broadcast_left_join(many, one, key, "_lookup_key")
-        return left_join(many, one, key, "_lookup_key", row_id)
+        return spread_join(many, one, key, "_lookup_key", row_id)
 
     def join_value(self, many: DataFrame, key: str, row_id: str, value: str) -> DataFrame:
         """`many` with one value per key, so that no row repeats.
@@ -114,11 +111,6 @@ class Lookup:
         )
         if self.fits:
             return broadcast_left_join(many, one, key, "_lookup_key")
-        salted = one.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64(F.col(row_id)), F.lit(SALTS)).cast("int")
-        condition = (
-            (spread_null_key(key, row_id) == F.col("_lookup_key"))
-            & (salt == F.col("_lookup_salt"))
-            & F.col(key).isNotNull()
-        )
-        return many.join(salted, condition, "left").drop("_lookup_key", "_lookup_salt")
+        salted = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
+        return many.join(salted, (F.col(key) == F.col("_lookup_key")) & (salt == F.col("_salt")), "left").drop("_lookup_key", "_salt")

@@ -23,7 +23,7 @@ from gridwarden.operators.checks import Message
 from gridwarden.operators.children import child_totals, repeated_child_value, with_child_totals, wrong_parent
 from gridwarden.operators.duplicates import conditional_summary, duplicate_key, matched_totals, rows_missing_key
 from gridwarden.operators.findings import COLUMNS, MARKS, NO_TEXT, Check, as_findings, flag_rows, marks, summary_marks
-from gridwarden.operators.joins import inner_join, repeat_rows
+from gridwarden.operators.joins import inner_join, repeat_rows, spread_join
 from gridwarden.sources.network import AUDIT, Network
 
 PHASE = "faseconexion"
@@ -354,7 +354,7 @@ def per_connection(loads: DataFrame, network: Network) -> DataFrame:
     """
     private = f"count_if(proyectoconstruccion <> {literal(values.PUBLIC_PROJECT)})"
     totals = child_totals(network["conexionconsumidor"], "puntocargaglobalid", _all="count(1)", _private=private)
-    counted = inner_join(loads, totals, "globalid", "_child_key")
+    counted = spread_join(loads, totals, "globalid", "_child_key", "object_id", "inner")
     copies = "if(private_only, _private, _all) as copies"
     return counted.selectExpr(*[name for name in loads.columns if name not in ("globalid", "private_only")], copies)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridwarden import RULES, all_findings, rule_findings
 from gridwarden.operators import joins
-from gridwarden.operators.joins import Lookup, left_join
+from gridwarden.operators.joins import Lookup, spread_join
 from gridwarden.sources.star import star_network
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -127,6 +127,20 @@ def test_hot_key_is_split(spark, rule, expected):
     assert "skew=true" in plan
 
 
+def test_hot_parent_key_is_split(spark):
+    """Many stations under one id meet totals that are already aggregated by that id."""
+    phase = F.lit(4).cast("long")
+    net = network(
+        spark,
+        puestoseccionadorfusible=complete(spark, "puestoseccionadorfusible", hot_frame(spark, "globalid", faseconexion=phase)),
+        unidadfusible=keyed(spark, "unidadfusible", "puestosecfusibleglobalid").where("objectid >= 250"),
+    )
+    with settings(spark, **SPLIT_EARLY):
+        count, plan = final_plan(rule_findings(net, "R06", RUN_DATE))
+    assert count == sum(1 for i in range(HOT + COLD) if i % 6 == 0 and i % 500 < 250)
+    assert "skew=true" in plan
+
+
 @pytest.mark.parametrize(("rule", "expected"), [("R07", HOT + COLD), ("R13", 2 * (HOT + COLD))])
 def test_hot_parent_is_counted_and_repeated(spark, rule, expected):
     frame = rule_findings(hot_network(spark), rule, RUN_DATE)
@@ -154,7 +168,7 @@ def test_null_keys_are_spread(spark):
     many = spark.range(0, 8000, 1, 4).selectExpr("id as objectid", "if(id % 10 = 0, cast(id as string), null) as k")
     one = spark.range(8000).selectExpr("cast(id as string) as _k", "id as v")
     with settings(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
-        joined = left_join(many, one, "k", "_k", "objectid").withColumn("part", F.spark_partition_id())
+        joined = spread_join(many, one, "k", "_k", "objectid").withColumn("part", F.spark_partition_id())
         rows = joined.collect()
     assert len(rows) == 8000
     assert all((r["v"] is None) == (r["k"] is None) for r in rows)
