@@ -163,6 +163,7 @@ def test_switch_structure(spark):
             switch(6, "OK", current=" 100 "),
             switch(7, "TWICE"),
             switch(8, "OK", phase=7, voltage=7960, subtype=2),
+            switch(9, "OK", current=""),
         ],
     )
     letter, current = values.STRUCTURE_SUBTYPE, values.STRUCTURE_CURRENT
