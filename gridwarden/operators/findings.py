@@ -62,13 +62,23 @@ class Check:
     copies: str = "1L"
 
 
-def marks(rows: DataFrame, rule_id: str, element: str, detail_1: str = NO_TEXT, detail_2: str = NO_TEXT, *extra: str) -> DataFrame:
+def marks(
+    rows: DataFrame, rule_id: str, element: str, detail_1: str = NO_TEXT, detail_2: str = NO_TEXT, *extra: str
+) -> DataFrame:
     """What a finding says about a feature, from rows with the feature's id, feeder and audit columns."""
     texts = [f"{rule_id} as rule_id", f"{element} as element", f"{detail_1} as detail_1", f"{detail_2} as detail_2"]
     return rows.selectExpr(*texts, *FEATURE, *extra)
 
 
-def summary_marks(rows: DataFrame, rule_id: str, element: str, object_id: str, detail_1: str, audit_date: str, detail_2: str = NO_TEXT) -> DataFrame:
+def summary_marks(
+    rows: DataFrame,
+    rule_id: str,
+    element: str,
+    object_id: str,
+    detail_1: str,
+    audit_date: str,
+    detail_2: str = NO_TEXT,
+) -> DataFrame:
     """What a finding says that names no feeder, author or date."""
     return rows.selectExpr(
         f"{literal(rule_id)} as rule_id",
@@ -124,7 +134,9 @@ def enrich_feeder(rows: DataFrame, feeders: Lookup) -> DataFrame:
     return feeders.join_value(rows, "feeder_id", "object_id", "feeder_name")
 
 
-def as_findings(rows: DataFrame, titles: Mapping[str, tuple[str, str]], feeders: Lookup, run_date: date, audit_date: str) -> DataFrame:
+def as_findings(
+    rows: DataFrame, titles: Mapping[str, tuple[str, str]], feeders: Lookup, run_date: date, audit_date: str
+) -> DataFrame:
     """Findings, with a leading `rule_id`, from marks."""
 
     def title(part: int) -> str:

@@ -22,7 +22,16 @@ def all_findings(network: Network, run_date: date, rules: Sequence[Rule] = BATCH
     return findings_with_rule(network, rules, run_date).select(COLUMNS)
 
 
-def message_row(spark: SparkSession, network: Network, rule_id: str, category: str, rule: str, detail_1: str, detail_2: str | None, run_date: date) -> DataFrame:
+def message_row(
+    spark: SparkSession,
+    network: Network,
+    rule_id: str,
+    category: str,
+    rule: str,
+    detail_1: str,
+    detail_2: str | None,
+    run_date: date,
+) -> DataFrame:
     """One row about the run itself: object 0, a blank element, no feeder and no audit values."""
     texts = {"category": category, "rule": rule, "element": " ", "detail_1": detail_1, "detail_2": detail_2}
     known = {**texts, "object_id": 0, "run_date": run_date}

@@ -13,7 +13,10 @@ from gridwarden.sources.star import ADAPTERS, CATALOG
 RUN_DATE = "2015-04-02"
 
 # One row per phase code: phases, letters.
-_PHASE = "select * from (values (1, 1, 'C'), (2, 1, 'B'), (3, 2, 'BC'), (4, 1, 'A'), (5, 2, 'AC'), (6, 2, 'AB'), (7, 3, 'ABC')) t(code, n, letters)"
+_PHASE = (
+    "select * from (values (1, 1, 'C'), (2, 1, 'B'), (3, 2, 'BC'), (4, 1, 'A'), (5, 2, 'AC'), (6, 2, 'AB'), (7, 3, 'ABC')) "
+    "t(code, n, letters)"
+)
 _SUBTYPE = " union all ".join(
     f"select '{kind}' kind, {subtype} subtype, {n} n"
     for kind, table in [("MT", v.MEDIUM_VOLTAGE_PHASES), ("BT", v.LOW_VOLTAGE_PHASES), ("TR", v.TRANSFORMER_PHASES)]

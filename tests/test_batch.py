@@ -5,7 +5,7 @@ from datetime import date, datetime
 from itertools import product
 
 import pytest
-from helpers import RUN_DATE, network, table
+from helpers import RUN_DATE, network
 
 import __spark_entry__ as entry
 from gridwarden import BATCH, RULES, all_findings, read_findings, report, rule_findings, run_date_of, run_validation
