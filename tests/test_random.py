@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from helpers import AS_IS, KINDS, RUN_DATE, network, table
 
-import oracle
+import gridwarden_oracle as oracle
 from gridwarden import RULES
 from gridwarden.operators import joins
 from gridwarden.operators.findings import COLUMNS
