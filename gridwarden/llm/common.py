@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Words of the decontamination contract: runs of anything but ASCII signs, blanks and controls.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before lower-casing, and what lies between words.
+CASED_WORD, BETWEEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Broadcast on our word only what was measured to hold at most this many rows of a few dozen bytes.
 BROADCAST_ROWS = 500_000
@@ -44,7 +46,7 @@ def ascii_lower(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """The lower-cased words of a text in order; null and texts without words have none."""
-    blanked = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    blanked = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), f"{BETWEEN}+", " "))
     return F.when(blanked == "", F.array().cast("array<string>")).otherwise(F.split(blanked, " "))
 
 

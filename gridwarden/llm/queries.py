@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import chat, warc
+from gridwarden.llm import chat, decontaminate, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_benchmark_decontamination": decontaminate.decontamination_query,
         "op9_chat_formatting": chat.chat_query,
         "op10_warc": warc.warc_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_formatting": chat.ORACLE}
+    return {
+        "op4_benchmark_decontamination": decontaminate.ORACLE,
+        "op9_chat_formatting": chat.ORACLE,
+    }
