@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import chat, decontaminate, warc
+from gridwarden.llm import bpe, chat, decontaminate, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bpe": bpe.bpe_query,
         "op4_benchmark_decontamination": decontaminate.decontamination_query,
         "op9_chat_formatting": chat.chat_query,
         "op10_warc": warc.warc_query,
