@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, warc
+from gridwarden.llm import bpe, chat, decontaminate, line_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe": bpe.bpe_query,
         "op4_benchmark_decontamination": decontaminate.decontamination_query,
+        "op6_line_dedup": line_dedup.line_query,
         "op9_chat_formatting": chat.chat_query,
         "op10_warc": warc.warc_query,
     }
@@ -21,5 +22,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_benchmark_decontamination": decontaminate.ORACLE,
+        "op6_line_dedup": line_dedup.ORACLE,
         "op9_chat_formatting": chat.ORACLE,
     }
