@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, line_dedup, warc
+from gridwarden.llm import bpe, chat, decontaminate, line_dedup, ngram_join, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": bpe.bpe_query,
         "op4_benchmark_decontamination": decontaminate.decontamination_query,
         "op6_line_dedup": line_dedup.line_query,
+        "op7_ngram_jaccard_join": ngram_join.join_query,
         "op9_chat_formatting": chat.chat_query,
         "op10_warc": warc.warc_query,
     }
