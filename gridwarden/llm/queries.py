@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, line_dedup, ngram_join, warc
+from gridwarden.llm import bpe, chat, decontaminate, line_dedup, ngram_join, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_benchmark_decontamination": decontaminate.decontamination_query,
         "op6_line_dedup": line_dedup.line_query,
         "op7_ngram_jaccard_join": ngram_join.join_query,
+        "op8_exact_top_k": topk.top_k_query,
         "op9_chat_formatting": chat.chat_query,
         "op10_warc": warc.warc_query,
     }
@@ -24,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_benchmark_decontamination": decontaminate.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
+        "op8_exact_top_k": topk.ORACLE,
         "op9_chat_formatting": chat.ORACLE,
     }
