@@ -178,15 +178,15 @@ class Network:
             dv += summed @ self.p[f"x{side}"].T
         return g, dv
 
-    def fit(self, words: Words, begin: np.ndarray, text: np.ndarray, target: np.ndarray, epochs: int, rate: float = 0.01, batch: int = 512, seed: int = 3) -> None:
+    def fit(self, words: Words, begin: np.ndarray, text: np.ndarray, target: np.ndarray, steps: int, rate: float = 0.01, batch: int = 512, seed: int = 3) -> None:
         """Adam over the given windows; known words are hidden at random, so that characters are learned too."""
         make = np.random.default_rng(seed)
         weight = np.where(target > 0, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6)).astype(np.float32)
         moments = {name: [np.zeros_like(value), np.zeros_like(value)] for name, value in self.p.items()}
         word_row, count = self.word_rows(words.hashes), 0
-        for _ in range(epochs):
+        while count < steps:
             order = make.permutation(len(begin))
-            for at in range(0, len(order), batch):
+            for at in range(0, min(len(order), batch * (steps - count)), batch):
                 chosen = order[at : at + batch]
                 place = begin[chosen][None, :] + np.arange(WINDOW)[:, None]
                 mask = place < words.offsets[text[chosen] + 1][None, :]

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, line_dedup, ngram_join, topk, toxicity, warc
+from gridwarden.llm import bpe, chat, decontaminate, language, line_dedup, ngram_join, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity.toxicity_query,
+        "op2_language_id": language.language_query,
         "op3_bpe": bpe.bpe_query,
         "op4_benchmark_decontamination": decontaminate.decontamination_query,
         "op6_line_dedup": line_dedup.line_query,

@@ -29,10 +29,12 @@ SAMPLE = 2500
 MOST_TRAIN_CHARS = 20_000
 WINDOWS_OF_TEXT = 12
 SEEN_IN_TEXTS = 4
+STEPS = (160, 260)
 THRESHOLD = 0.3
 BATCH_BYTES = 1 << 20
 LONG_WORDS = 1 << 16
 NO_EVIDENCE = -8.0
+PRIOR_WEIGHTS, HOLD = np.array([1.0, 0.3, -0.5, -1.0]), 3.0
 
 
 def held_out() -> Column:
@@ -68,12 +70,12 @@ def top_two(logits: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
 
 
 def calibrated(features: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression, by Newton's method with a small penalty."""
-    x, weights = np.hstack([features, np.ones((len(features), 1))]).astype(np.float64), np.zeros(features.shape[1] + 1)
+    """Weights of a logistic regression by Newton's method, held near PRIOR_WEIGHTS where there is little data."""
+    x, weights = np.hstack([features, np.ones((len(features), 1))]).astype(np.float64), PRIOR_WEIGHTS.copy()
     for _ in range(30):
         p = sigmoid(x @ weights)
-        gradient = x.T @ (p - target) + 0.1 * weights
-        weights -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 0.1 * np.eye(len(weights)), gradient)
+        gradient = x.T @ (p - target) + HOLD * (weights - PRIOR_WEIGHTS)
+        weights -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + HOLD * np.eye(len(weights)), gradient)
     return weights
 
 
@@ -97,7 +99,7 @@ class Model:
         in_texts = np.unique(np.stack([np.repeat(np.arange(len(texts)), np.diff(words.offsets)), words.index]), axis=1)
         seen = np.bincount(in_texts[1], minlength=len(words.hashes))
         self.network = Network(words.hashes[seen >= SEEN_IN_TEXTS])
-        self.network.fit(words, begin[chosen], text[chosen], toxic[text[chosen]], epochs=2)
+        self.network.fit(words, begin[chosen], text[chosen], toxic[text[chosen]], steps=STEPS[0])
         logits, _ = self.network.logits(words)
         best = np.lexsort((-logits, text))
         place = np.empty(len(begin), np.int64)
@@ -105,7 +107,7 @@ class Model:
         positive = (toxic[text] == 1) & (place < 3) & (logits > np.quantile(logits[toxic[text] == 0], 0.9))
         negative = (toxic[text] == 0) & ((rank < WINDOWS_OF_TEXT) | (place < 4))
         chosen = np.flatnonzero((positive | negative) & ~apart[text])
-        self.network.fit(words, begin[chosen], text[chosen], toxic[text[chosen]], epochs=4, rate=0.006)
+        self.network.fit(words, begin[chosen], text[chosen], toxic[text[chosen]], steps=STEPS[1], rate=0.006)
         logits, _ = self.network.logits(words)
         features = top_two(logits, text, len(texts))
         self.weights = calibrated(features[apart], toxic[apart])
