@@ -8,9 +8,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words of the decontamination contract: runs of anything but ASCII signs, blanks and controls.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same before lower-casing, and what lies between words.
+#: Words are runs of anything but ASCII signs, blanks and controls; and what lies between them.
 CASED_WORD, BETWEEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Broadcast on our word only what was measured to hold at most this many rows of a few dozen bytes.
@@ -44,10 +42,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
-def words_of(text: Column) -> Column:
-    """The lower-cased words of a text in order; null and texts without words have none."""
-    blanked = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), f"{BETWEEN}+", " "))
-    return F.when(blanked == "", F.array().cast("array<string>")).otherwise(F.split(blanked, " "))
+def with_words(df: DataFrame, *kept: str) -> DataFrame:
+    """The kept columns and `words`: the words of `text` in order, as they are written; null texts have none."""
+    parts = F.split(F.coalesce(F.col("text"), F.lit("")), f"{BETWEEN}+", -1)
+    cut = df.select(*kept, parts.alias("words"))
+    lead = (F.element_at("words", 1) == "").cast("int")
+    trail = ((F.size("words") > 1) & (F.element_at("words", -1) == "")).cast("int")
+    return cut.withColumn("words", F.slice("words", lead + 1, F.size("words") - lead - trail))
 
 
 def salted(key: Column, salts: int, *spread: Column) -> Column:

@@ -23,30 +23,36 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwarden.llm.common import BETWEEN, BROADCAST_ROWS, CASED_WORD, stored, table, words_of
+from gridwarden.llm.common import BETWEEN, BROADCAST_ROWS, CASED_WORD, ascii_lower, stored, table, with_words
 
 N = 10
 
 
-def windows_at(words: Column, length: Column) -> Column:
-    """All runs of `length` words, in order of their positions."""
-    return F.when(
-        F.size(words) >= length,
-        F.transform(F.sequence(F.lit(1), F.size(words) - length + 1), lambda i: F.slice(words, i, length)),
-    )
+def hashes_of(words: Column) -> Column:
+    """A hash per word. It lower-cases more than A-Z, so unequal words may share one; matches are compared in full."""
+    return F.transform(words, lambda word: F.xxhash64(F.lower(word)))
+
+
+def window_hashes(hashes: Column, n: int) -> Column:
+    """The hash of each run of n words; none if there are fewer."""
+    begins = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - n + 1, F.lit(0)))
+    return F.transform(begins, lambda first, i: F.xxhash64(first, *[F.get(hashes, i + k) for k in range(1, n)]))
 
 
-def window_hashes(words: Column, length: int) -> Column:
-    """The hashes of those runs, without keeping the runs themselves."""
-    starts = F.sequence(F.lit(1), F.size(words) - length + 1)
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, F.lit(length))))
+def window_text(words: Column, at: Column, length: Column) -> Column:
+    """Lower-cased words with blanks between. No lambda: those would keep the join out of generated code."""
+    return ascii_lower(F.array_join(F.slice(words, at, length), " "))
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
-    """(item_id, window, hash) for every window of every item, without repetitions."""
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    window = F.explode(windows_at(F.col("words"), F.least(F.size("words"), F.lit(n))))
-    return items.select("item_id", window.alias("window")).withColumn("hash", F.xxhash64("window")).distinct()
+    """(item_id, window, length, hash) for every window of every item, without repetitions."""
+    words = with_words(benchmark, "item_id").where(F.size("words") > 0)
+    length = F.least(F.size("words"), F.lit(n))
+    placed = words.select("item_id", "words", length.alias("length"), F.explode(F.sequence(F.lit(1), F.size("words") - length + 1)).alias("at"))
+    text = window_text(F.col("words"), F.col("at"), F.col("length"))
+    # an array's hash is that of its elements in turn, as in window_hashes
+    hashed = F.xxhash64(hashes_of(F.slice("words", F.col("at"), F.col("length"))))
+    return placed.select("item_id", text.alias("window"), "length", hashed.alias("hash")).distinct()
 
 
 def row_key() -> Column:
@@ -56,17 +62,20 @@ def row_key() -> Column:
 
 def matches(docs: DataFrame, windows: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """(key, at, length, hash) for each window of a document that equals one of the benchmark."""
-    distinct = windows.groupBy("hash", "window").agg(F.size("window").alias("length"))
+    distinct = windows.select("hash", "window", "length").distinct()
     sizes = distinct.groupBy("length").count().collect()  # one row per length, N at most
     parts = max(1, math.ceil(sum(row["count"] for row in sizes) / bound))
-    words = docs.select(row_key().alias("key"), words_of(F.col("text")).alias("words"))
+    words = with_words(docs.select(row_key().alias("key"), "text"), "key")
+    words = words.withColumn("hashes", hashes_of(F.col("words")))
     found = None
     for length in sorted(row["length"] for row in sizes):
-        hashes = window_hashes(F.col("words"), length)
-        scanned = words.where(F.size("words") >= length).select("key", "words", F.posexplode(hashes).alias("at", "hash"))
+        # hashes are a column of their own, so that generator and join run in one generated loop; the outer generator
+        # keeps the optimizer from testing their number below, which would compute them twice
+        hashed = words.select("key", "words", window_hashes(F.col("hashes"), length).alias("windows"))
+        scanned = hashed.select("key", "words", F.posexplode_outer("windows").alias("at", "hash"))
         for part in range(parts):
             own = distinct.where((F.col("length") == length) & (F.pmod("hash", F.lit(parts)) == part))
-            same = F.slice("words", F.col("at") + 1, F.lit(length))
+            same = window_text(F.col("words"), F.col("at") + 1, F.lit(length))
             # two bounds for equality: the join's key stays the hash, and words are compared for its matches only
             hit = scanned.join(F.broadcast(own.drop("length")), "hash").where(
                 (same <= F.col("window")) & (same >= F.col("window"))
@@ -94,20 +103,27 @@ def merged_spans(hits: Column) -> Column:
     return F.aggregate(hits, empty, add)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
-    """The documents with `spans` of hit words and the ids of the `items` that hit them; null where there are none."""
+def hit_rows(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+    """(hit_key, spans, items) for each key with hits: spans of hit words, ids of the items that hit them."""
     windows = benchmark_windows(benchmark, n)
     found = stored(matches(docs, windows), "matches")
     spans = found.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("at", "length"))).alias("hits"))
-    items = (
-        found.select("key", "hash").distinct().join(windows.select("hash", "item_id").distinct(), "hash")
-        .where("item_id is not null").select("key", F.col("item_id").cast("string").alias("item_id")).distinct()
-        .groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
-    )
-    per_key = spans.select("key", merged_spans(F.col("hits")).alias("spans")).join(items, "key", "left")
-    per_key = per_key.select(F.col("key").alias("hit_key"), "spans", "items")
-    keyed = docs.withColumn("row_key__", row_key())
-    return keyed.join(per_key, F.col("row_key__").eqNullSafe(F.col("hit_key")), "left").drop("row_key__", "hit_key")
+    ids = windows.where("item_id is not null").select("hash", F.col("item_id").cast("string").alias("item_id")).distinct()
+    pairs = found.select("key", "hash").distinct().join(ids, "hash").select("key", "item_id").distinct()
+    items = pairs.groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+    joined = spans.select("key", merged_spans(F.col("hits")).alias("spans")).join(items, "key", "left")
+    return joined.withColumnRenamed("key", "hit_key")
+
+
+def with_hits(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows that hold `row_key__` with `spans` and `items`; null where there are none."""
+    joined = keyed.join(found, F.col("row_key__").eqNullSafe(F.col("hit_key")), "left")
+    return joined.drop("row_key__", "hit_key")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+    """The documents with `spans` of hit words and the ids of the `items` that hit them; null where there are none."""
+    return with_hits(docs.withColumn("row_key__", row_key()), hit_rows(docs, benchmark, n))
 
 
 def without_spans(text: Column, spans: Column) -> Column:
@@ -134,12 +150,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = hit_rows(docs, table(spark, sf_dir, "benchmark"))
+    counted = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(CASED_WORD)).cast("long")
+    judged = with_hits(docs.select("doc_id", row_key().alias("row_key__"), counted.alias("n_words")), found)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     items = F.coalesce("items", F.array().cast("array<string>"))
     return judged.select(
         "doc_id",
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(CASED_WORD)).cast("long").alias("n_words"),
+        "n_words",
         F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
