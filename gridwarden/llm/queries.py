@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, language, line_dedup, ngram_join, topk, toxicity, warc
+from gridwarden.llm import bpe, chat, decontaminate, html_main, language, line_dedup, ngram_join, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": language.language_query,
         "op3_bpe": bpe.bpe_query,
         "op4_benchmark_decontamination": decontaminate.decontamination_query,
+        "op5_html_extraction": html_main.html_query,
         "op6_line_dedup": line_dedup.line_query,
         "op7_ngram_jaccard_join": ngram_join.join_query,
         "op8_exact_top_k": topk.top_k_query,
