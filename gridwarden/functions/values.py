@@ -95,6 +95,7 @@ STRUCTURE_CURRENT = {
     3: "Codigo estructura incorrecto (Corriente), Secc Fusible Unipolar Abierto con Rompe arco",
 }
 CAPACITY_MISSING = "Ingresar Capacidad en unidad fusible"
+UNREADABLE_POWER = "Potencias no legibles = "
 POWER_DIFFERS = "Potencia kva del Puesto es diferente al de la Unidad"
 CONDUCTOR_MISSING = "Ingresar valor en Código Conductor Fase, configuración y secuencia de fase"
 SEQUENCE_OUTSIDE = "Atributo SECUENCIAFASE tiene un valor que no corresponde con la FASE definida en el Tramo"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwarden.operators.joins import inner_join, spread_join
+from gridwarden.operators.joins import Lookup, inner_join, spread_join
 
 
 def child_totals(children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
@@ -37,6 +37,7 @@ def repeated_child_value(parents: DataFrame, key: str, children: DataFrame, fore
     return inner_join(parents, repeated, key, "_child_key")
 
 
-def wrong_parent(children: DataFrame, parent_key: str, parents: DataFrame, key: str) -> DataFrame:
+def wrong_parent(children: DataFrame, parent_key: str, parents: Lookup) -> DataFrame:
     """The children that hang from one of `parents`, once per such parent."""
-    return inner_join(children, parents.selectExpr(f"{key} as _parent_key"), parent_key, "_parent_key")
+    found = parents.frame.select(F.col(parents.key).alias("_parent_key"))
+    return inner_join(children, F.broadcast(found) if parents.fits else found, parent_key, "_parent_key")

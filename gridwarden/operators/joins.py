@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COPIES_PER_PIECE = 10_000
+COPIES_PER_PIECE = 1_000
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
@@ -43,9 +43,10 @@ def broadcast_left_join(many: DataFrame, one: DataFrame, key: str, one_key: str)
 def repeat_rows(rows: DataFrame, copies: str, row_id: str) -> DataFrame:
     """Each row as often as its column `copies` says, without that column; 0 drops the row.
 
-    Rows are cut into pieces of few copies and dealt out over all tasks before they are copied, so a
-    row wanted a billion times is the work of many tasks and of small arrays. Pieces go by a hash,
-    which a retried task repeats without the sort that a round-robin deal needs.
+    Rows are cut into pieces of few copies and dealt out before they are copied, so a row wanted a billion times is
+    the work of many tasks and of small arrays. Pieces go by a hash, which a retried task repeats without the sort that
+    a round-robin deal needs. The number of tasks is given: AQE sees the pieces' size, not that of their copies, and
+    would merge them into one task.
     """
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = f"least({COPIES_PER_PIECE}, {copies} - _piece * {COPIES_PER_PIECE})"
@@ -67,29 +68,19 @@ class Lookup:
         self.value = value
 
     @cached_property
-    def _measured(self) -> tuple[bool, bool]:
-        size = F.coalesce(F.octet_length(self.key), F.lit(0)) + F.coalesce(F.octet_length(self.value), F.lit(0))
+    def fits(self) -> bool:
+        """Whether the whole table is within the broadcast bounds."""
+        texts = [F.octet_length(F.col(name).cast("string")) for name in (self.key, self.value)]
+        size = F.coalesce(texts[0], F.lit(0)) + F.coalesce(texts[1], F.lit(0))
         row = (
             self.frame.limit(BROADCAST_ROWS + 1)
             .agg(
                 F.count(F.lit(1)).alias("n"),
                 F.coalesce(F.sum(size), F.lit(0)).alias("size"),
-                F.count_distinct(self.key).alias("keys"),
             )
             .first()
         )
-        fits = row["n"] <= BROADCAST_ROWS and row["size"] <= BROADCAST_BYTES
-        return fits, fits and row["keys"] == row["n"]
-
-    @property
-    def fits(self) -> bool:
-        """Whether the whole table is within the broadcast bounds."""
-        return self._measured[0]
-
-    @property
-    def unique(self) -> bool:
-        """Whether no key is known to repeat; False also for a table too large to tell cheaply."""
-        return self._measured[1]
+        return row["n"] <= BROADCAST_ROWS and row["size"] <= BROADCAST_BYTES
 
     def join_rows(self, many: DataFrame, key: str, row_id: str, value: str) -> DataFrame:
         """`many` with each matching row's value as `value`; a repeated lookup key repeats the row."""
@@ -104,11 +95,15 @@ class Lookup:
         A lookup beyond the broadcast bounds is copied once per salt, and a hot key's rows go to as
         many tasks as there are salts.
         """
-        one = (
-            self.frame.groupBy(F.col(self.key).alias("_lookup_key")).agg(F.min(self.value).alias(value))
-            if not self.unique
-            else self.frame.select(F.col(self.key).alias("_lookup_key"), F.col(self.value).alias(value))
-        )
+        return self._join_one(many, key, row_id, F.min(self.value).alias(value))
+
+    def join_count(self, many: DataFrame, key: str, row_id: str, count: str) -> DataFrame:
+        """`many` with how often the lookup holds each row's key, 1 if not at all. Rows never multiply."""
+        joined = self._join_one(many, key, row_id, F.count(F.lit(1)).alias(count))
+        return joined.withColumn(count, F.coalesce(F.col(count), F.lit(1)))
+
+    def _join_one(self, many: DataFrame, key: str, row_id: str, value: Column) -> DataFrame:
+        one = self.frame.groupBy(F.col(self.key).alias("_lookup_key")).agg(value)
         if self.fits:
             return broadcast_left_join(many, one, key, "_lookup_key")
         salted = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -42,13 +42,11 @@ def power(frame: DataFrame, column: str) -> str:
     return to_power(column) if isinstance(kind, T.StringType) else f"try_cast({column} as decimal(28,10))"
 
 
-def power_total(units: DataFrame) -> str:
-    """Sum of the units' power, NULL counted as 0; NULL if any unit's text is no number."""
+def power_totals(units: DataFrame) -> dict[str, str]:
+    """The sum of the units' power, where NULL and unreadable texts count as 0, and how many are unreadable."""
     value = power(units, "potencianominal")
-    total = f"sum(coalesce({value}, 0))"
-    if value == "potencianominal":
-        return total
-    return f"if(max(potencianominal is not null and {value} is null), null, {total})"
+    unreadable = "0L" if value == "potencianominal" else f"count_if(potencianominal is not null and {value} is null)"
+    return {"_power": f"sum(coalesce({value}, 0))", "_unreadable": unreadable if unreadable != "0L" else "cast(sum(0) as bigint)"}
 
 
 def transformer_units(network: Network) -> DataFrame:
@@ -61,7 +59,7 @@ def transformer_units(network: Network) -> DataFrame:
         _rows="count(1)",
         _units="count(objectid)",
         _phases=f"sum(coalesce({PHASE}, 0))",
-        _power=power_total(units),
+        **power_totals(units),
         _bad_taps=f"count_if({c.null_or_range('tapnormal', *values.TAP_RANGE)})",
     )
 
@@ -75,7 +73,7 @@ def capacitor_units(network: Network) -> DataFrame:
         "puestocorrfacpotglobalid",
         _rows="count(1)",
         _units="count(objectid)",
-        _power=power_total(units),
+        **power_totals(units),
     )
 
 
@@ -95,9 +93,9 @@ def fuse_switch_structure(network: Network) -> DataFrame:
 
 
 def with_structures(network: Network, table: str) -> DataFrame:
-    """Spans, repeated as often as their two conductor codes repeat in the catalog."""
-    spans = network.structures.join_rows(network[table], "codigoconductorfase", "objectid", "_phase_structure")
-    return network.structures.join_rows(spans, "codigoconductorneutro", "objectid", "_neutral_structure")
+    """Spans with how often their two conductor codes are in the catalog, 1 for a code that it lacks."""
+    spans = network.structures.join_count(network[table], "codigoconductorfase", "objectid", "_phase_entries")
+    return network.structures.join_count(spans, "codigoconductorneutro", "objectid", "_neutral_entries")
 
 
 VIEWS: dict[str, Callable[[Network], DataFrame]] = {
@@ -119,7 +117,12 @@ VIEWS: dict[str, Callable[[Network], DataFrame]] = {
 }
 
 # Views with the same rows and more columns: a batch that needs both reads only the wider one.
-WIDER_VIEW = {"transformer": "transformer_units", "fuse_switch": "fuse_switch_units"}
+WIDER_VIEW = {
+    "transformer": "transformer_units",
+    "fuse_switch": "fuse_switch_units",
+    "medium_overhead": "medium_overhead_structures",
+    "medium_underground": "medium_underground_structures",
+}
 
 Checks = list[tuple[str, Check]]
 
@@ -214,7 +217,11 @@ def unit_power(rule_id: str, view: str, element: str, station: str) -> Callable[
     def checks(network: Network) -> Checks:
         own, units = power(network[station], "potenciakva"), "if(_rows is null, 0, _power)"
         parts = literal(f"{values.POWER_DIFFERS}. Puesto = "), number_text(own), literal(" Unidad = "), number_text(units)
-        return [(view, Check(rule_id, element, c.child_sum_mismatch(own, units), joined(*parts)))]
+        # A station with an unreadable unit can't be judged; it is reported with the texts that were not read.
+        unread = "coalesce(_unreadable, 0) > 0"
+        flagged = f"({own} is not null and ({unread} or {c.child_sum_mismatch(own, units)}))"
+        note = f"if({unread}, {joined(literal(values.UNREADABLE_POWER), '_unreadable')}, null)"
+        return [(view, Check(rule_id, element, flagged, joined(*parts), note))]
 
     return checks
 
@@ -242,11 +249,11 @@ def conductor_and_voltage(network: Network) -> Checks:
     )
     flagged = f"({complete} and {c.conformance(voltage, digit, wired)})"
     texts = voltage.value, c.message_pair(digit, wired)
-    # The catalog adds no column; only a code that it repeats would repeat the findings.
-    suffix = "" if network.structures.unique else "_structures"
+    # The catalog adds no column; a code that it repeats repeats the findings.
+    copies = "_phase_entries * _neutral_entries"
     return [
-        ("medium_overhead" + suffix, Check("R11", "MTA", flagged, *texts)),
-        ("medium_underground" + suffix, Check("R11", "MTS", flagged, *texts)),
+        ("medium_overhead_structures", Check("R11", "MTA", flagged, *texts, copies=copies)),
+        ("medium_underground_structures", Check("R11", "MTS", flagged, *texts, copies=copies)),
     ]
 
 
@@ -324,10 +331,6 @@ def misphased_loads(network: Network) -> DataFrame:
     return misphased(network, "puntocarga", "Punto Carga", "globalid", "false as private_only")
 
 
-def own_parents(network: Network) -> DataFrame:
-    return network["puestoprotecciondinamico"].where("circuitsourceguid = parentcircuitsourceguid")
-
-
 def breaker_fed_features(network: Network) -> DataFrame:
     elements = {
         "tramobajatensionaereo": "Tramo Baja Aereo",
@@ -336,13 +339,13 @@ def breaker_fed_features(network: Network) -> DataFrame:
     }
     columns = ["objectid", "alimentadorid", "parentcircuitsourceguid", *AUDIT]
     plain = [network[table].selectExpr(*columns, f"{literal(element)} as _element") for table, element in elements.items()]
-    fed = wrong_parent(reduce(DataFrame.union, plain), "parentcircuitsourceguid", own_parents(network), "circuitsourceguid")
+    fed = wrong_parent(reduce(DataFrame.union, plain), "parentcircuitsourceguid", network.own_parents)
     return marks(fed, "'R04'", "_element")
 
 
 def breaker_fed_loads(network: Network) -> DataFrame:
     loads = network["puntocarga"].where(f"subtipo <> {values.MEDIUM_VOLTAGE_LOAD}")
-    fed = wrong_parent(loads, "parentcircuitsourceguid", own_parents(network), "circuitsourceguid")
+    fed = wrong_parent(loads, "parentcircuitsourceguid", network.own_parents)
     private_only = f"subtipo = {values.TOTALIZER_LOAD} as private_only"
     return marks(fed, "'R04'", "'Punto Carga'", NO_TEXT, NO_TEXT, "globalid", private_only)
 
@@ -383,13 +386,11 @@ def repeated_code(rule_id: str, code: str, label: str, distinct: bool = False) -
         members = inner_join(connections.select("objectid", "puntocargaglobalid", code), groups, code, "_code")
         points = network["puntocarga"].selectExpr("globalid as _point_key", "alimentadorid", "objectid as _point")
         members = inner_join(members, points, "puntocargaglobalid", "_point_key")
-        accounts = network["atributosconsumidor"].selectExpr(f"{code} as _account")
-        if distinct:
-            members = members.join(accounts, members[code] == accounts["_account"], "left_semi")
-        else:
-            members = inner_join(members, accounts, code, "_account")
+        accounts = child_totals(network["atributosconsumidor"], code, _accounts="count(1)")
+        members = spread_join(members, accounts, code, "_child_key", "objectid", "inner")
         texts = joined(literal(f"{label} = "), code), joined("'ObjectIDPC = '", "_point")
-        return marks(members, literal(rule_id), literal(CONNECTION), *texts)
+        copies = "1L as copies" if distinct else "_accounts as copies"
+        return marks(members, literal(rule_id), literal(CONNECTION), *texts, copies)
 
     return plan
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from functools import cache, cached_property
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridwarden.operators.joins import Lookup
 
-# Column kinds: long and string are cast; as_is keeps the source's type; audit_date is the network's.
+# Column kinds: long and string are cast; number and as_is keep the source's numeric type, and a number's text becomes
+# a decimal; audit_date is the network's. An empty text is NULL, as in the source of the rules.
 AUDIT = {
     "usuarioregistro": "string",
     "fecharegistro": "audit_date",
@@ -20,7 +22,7 @@ FEATURE = {"objectid": "long", "alimentadorid": "string", "faseconexion": "long"
 LAYER = {**FEATURE, "alimentadorinfo": "long", "subtipo": "long"}
 MEDIUM_SPAN = {
     **LAYER,
-    "voltaje": "long",
+    "voltaje": "number",
     "codigoconductorfase": "string",
     "codigoconductorneutro": "string",
     "configuracionconductores": "string",
@@ -45,13 +47,13 @@ TABLES: dict[str, dict[str, str]] = {
         "objectid": "long",
         "puestotransfdistglobalid": "string",
         "faseconexion": "long",
-        "tapnormal": "long",
+        "tapnormal": "number",
         "potencianominal": "as_is",
     },
     "puestoseccionadorfusible": {
         **LAYER,
         "globalid": "string",
-        "voltaje": "long",
+        "voltaje": "number",
         "corriente": "as_is",
         "codigoestructura": "string",
     },
@@ -64,7 +66,7 @@ TABLES: dict[str, dict[str, str]] = {
         "parentcircuitsourceguid": "string",
         "corriente": "as_is",
         "corrientemaxcortocircuito": "as_is",
-        "voltaje": "long",
+        "voltaje": "number",
     },
     "puntocarga": {**LAYER, "globalid": "string", "parentcircuitsourceguid": "string"},
     "conexionconsumidor": {
@@ -72,7 +74,7 @@ TABLES: dict[str, dict[str, str]] = {
         "puntocargaglobalid": "string",
         "codigocliente": "string",
         "codigounico": "string",
-        "novedades": "long",
+        "novedades": "number",
         "proyectoconstruccion": "string",
         **AUDIT,
     },
@@ -111,17 +113,32 @@ class Network:
     def _column(self, table: str, name: str, kind: str, types: Mapping[str, str]) -> str:
         if name not in types:
             raise ValueError(f"table {table} has no column {name}")
-        target = {"long": "bigint", "audit_date": self.audit_date}.get(kind, kind)
-        if kind == "as_is" or types[name] == target:
-            return name
-        if kind == "audit_date" and target == "date" and types[name].startswith("timestamp"):
-            raise ValueError(f"{table}.{name} holds times of day: read the network with audit_date='timestamp'")
-        return f"try_cast({name} as {target}) as {name}"
+        target = {"long": "bigint", "number": "decimal(28,10)", "audit_date": self.audit_date}.get(kind, kind)
+        is_text = types[name] == "string"
+        held = f"nullif({name}, '')" if is_text else name
+        if kind == "as_is" or (kind == "number" and not is_text):
+            return f"{held} as {name}"
+        if kind == "long" and (types[name] in ("float", "double") or re.fullmatch(r"decimal\(\d+,[1-9]\d*\)", types[name])):
+            raise ValueError(f"{table}.{name} is a code, but its type {types[name]} can hold fractions")
+        if kind == "audit_date" and target == "date":
+            message = f"{table}.{name} holds times of day: read the network with audit_date='timestamp'"
+            if types[name].startswith("timestamp"):
+                raise ValueError(message)
+            if is_text:
+                at = f"try_cast({held} as timestamp)"
+                return f"if({at} <> date_trunc('day', {at}), cast(raise_error('{message.replace(chr(39), '')}') as date), cast({at} as date)) as {name}"
+        return f"{held} as {name}" if types[name] == target else f"try_cast({held} as {target}) as {name}"
 
     @cached_property
     def feeders(self) -> Lookup:
         return Lookup(self["alimentador"], "alimentadorid", "descripcion")
 
+    @cached_property
+    def own_parents(self) -> Lookup:
+        """The circuits whose breaker names its own circuit as its parent."""
+        breakers = self["puestoprotecciondinamico"].where("circuitsourceguid = parentcircuitsourceguid")
+        return Lookup(breakers, "circuitsourceguid", "objectid")
+
     @cached_property
     def structures(self) -> Lookup:
         return Lookup(self["catalogoestructura"], "codigoestructura", "descripcioncorta")

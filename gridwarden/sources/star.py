@@ -65,9 +65,10 @@ def _span(quarter: int, columns: list[str]) -> Adapter:
 
 
 _MEDIUM = [
-    "case when l_partkey % 2 = 0 then 7960 else 13800 end voltaje",
-    "case when l_partkey % 11 = 0 then null else 'E' || cast(l_partkey % 45 as string) end codigoconductorfase",
-    "case l_partkey % 4 when 0 then 'COO0000' when 1 then null else 'E' || cast(l_partkey % 45 as string) end "
+    "case when l_partkey % 23 = 0 then 7960.5 when l_partkey % 2 = 0 then 7960 else 13800 end voltaje",
+    "case when l_partkey % 11 = 0 then null when l_partkey % 29 = 0 then '' else 'E' || cast(l_partkey as string) end "
+    "codigoconductorfase",
+    "case l_partkey % 4 when 0 then 'COO0000' when 1 then null else 'E' || cast(l_partkey as string) end "
     "codigoconductorneutro",
     "case l_partkey % 10 when 0 then '11' when 1 then '12' when 2 then '22' when 3 then '23' when 4 then '33' "
     "when 5 then '34' when 6 then '13' when 7 then '25' when 8 then '1' end configuracionconductores",
@@ -102,12 +103,11 @@ ADAPTERS: dict[str, Adapter] = {
         "lineitem",
         [
             "l_orderkey * 10 + l_linenumber objectid",
-            *_ids("l_orderkey", puestotransfdistglobalid="PT"),
+            "case when l_partkey % 2 = 0 then 'PT' else 'XT' end || cast(l_orderkey as string) puestotransfdistglobalid",
             "case l_partkey % 4 when 0 then 1 when 1 then 2 when 2 then 4 end faseconexion",
-            "nullif(l_suppkey % 8, 7) tapnormal",
+            "case when l_suppkey % 8 = 6 then 5.5 else nullif(l_suppkey % 8, 7) end tapnormal",
             "case when l_partkey % 6 = 0 then null else cast(12.5 as decimal(18,3)) end potencianominal",
         ],
-        "l_partkey % 2 = 0",
     ),
     "puestoseccionadorfusible": Adapter(
         "part",
@@ -116,9 +116,9 @@ ADAPTERS: dict[str, Adapter] = {
             *_ids("p_partkey", globalid="SF"),
             _info("p_partkey", "nullif(p_partkey % 9, 8)"),
             "cast(p_partkey % 4 as int) subtipo",
-            "case when p_partkey % 2 = 0 then 7960 else 13800 end voltaje",
+            "case when p_partkey % 23 = 0 then 13800.4 when p_partkey % 2 = 0 then 7960 else 13800 end voltaje",
             "cast(p_partkey % 3 * 100 + 100 as string) corriente",
-            "'E' || cast(p_partkey % 40 as string) codigoestructura",
+            "'E' || cast(p_partkey as string) codigoestructura",
             _order("p_partkey", 4),
             *_audit("p_partkey"),
         ],
@@ -126,21 +126,19 @@ ADAPTERS: dict[str, Adapter] = {
     "catalogoestructura": Adapter(
         "part",
         [
-            *_ids("p_partkey", codigoestructura="E"),
+            "case when p_partkey % 43 in (39, 40) then 'N' else 'E' end || cast(p_partkey as string) codigoestructura",
             "case when p_partkey % 10 = 0 then '1S' else cast(p_partkey % 3 + 1 as string) || "
             "case p_partkey % 3 when 0 then 'S' when 1 then 'D' else 'E' end || "
             "cast(p_partkey % 2 * 100 + 100 as string) end descripcioncorta",
         ],
-        "p_partkey <= 38",
     ),
     "unidadfusible": Adapter(
         "lineitem",
         [
             "l_orderkey * 10 + l_linenumber objectid",
-            *_ids("l_partkey", puestosecfusibleglobalid="SF"),
-            "nullif(l_suppkey % 5, 0) capacidad",
+            "case when l_orderkey % 16 = 0 then 'SF' else 'XF' end || cast(l_partkey as string) puestosecfusibleglobalid",
+            "case l_suppkey % 5 when 0 then '' when 1 then null else cast(l_suppkey % 5 as string) end capacidad",
         ],
-        "l_orderkey % 16 = 0",
     ),
     "puestocorrectorfactorpotencia": Adapter(
         "customer",
@@ -155,10 +153,10 @@ ADAPTERS: dict[str, Adapter] = {
         "orders",
         [
             "o_orderkey objectid",
-            *_ids("o_custkey", puestocorrfacpotglobalid="CA"),
-            "case o_orderkey % 3 when 0 then '12.5' when 1 then '12,5' end potencianominal",
+            "case when o_orderkey % 5 = 0 then 'CA' else 'XA' end || cast(o_custkey as string) puestocorrfacpotglobalid",
+            "case when o_orderkey % 97 = 0 then '12 kVA' when o_orderkey % 3 = 0 then '12.5' when o_orderkey % 3 = 1 then '12,5' "
+            "when o_orderkey % 7 = 0 then '' end potencianominal",
         ],
-        "o_orderkey % 5 = 0",
     ),
     "puestoprotecciondinamico": Adapter(
         "supplier",
@@ -166,7 +164,7 @@ ADAPTERS: dict[str, Adapter] = {
             *_feature("s_suppkey", "s_suppkey", "nullif(s_suppkey % 9, 8)"),
             *_ids("s_suppkey", circuitsourceguid="PD"),
             "case when s_suppkey % 3 = 0 then 'PD' || cast(s_suppkey as string) else 'SUB' end parentcircuitsourceguid",
-            "nullif(s_suppkey % 5, 0) corriente",
+            "case s_suppkey % 5 when 0 then '' when 1 then null else '100' end corriente",
             "nullif(s_suppkey % 7, 0) corrientemaxcortocircuito",
             "nullif(s_suppkey % 4, 0) voltaje",
             *_audit("s_suppkey"),
@@ -189,9 +187,11 @@ ADAPTERS: dict[str, Adapter] = {
         [
             "o_orderkey objectid",
             *_ids("o_orderkey", puntocargaglobalid="PC"),
-            "case when o_custkey % 15 = 0 then null else 'C' || cast(o_custkey as string) end codigocliente",
-            "case when o_custkey % 13 = 0 then null else 'U' || cast(o_custkey as string) end codigounico",
-            "o_orderkey % 3 novedades",
+            "case when o_custkey % 15 = 0 then null when o_custkey % 31 = 0 then '' else 'C' || cast(o_custkey as string) end "
+            "codigocliente",
+            "case when o_custkey % 13 = 0 then null when o_custkey % 31 = 0 then '' else 'U' || cast(o_custkey as string) end "
+            "codigounico",
+            "case when o_orderkey % 9 = 0 then 0.4 else o_orderkey % 3 end novedades",
             "case o_orderkey % 3 when 0 then 'FOPE' when 1 then 'OTRO' end proyectoconstruccion",
             *_audit("o_orderkey"),
         ],
@@ -200,7 +200,7 @@ ADAPTERS: dict[str, Adapter] = {
         "customer",
         [
             *_ids("c_custkey", codigocliente="C", codigounico="U"),
-            "case when c_custkey % 4 = 0 then null else 'M' || cast(c_custkey as string) end nummedidor",
+            "case when c_custkey % 4 = 0 then null when c_custkey % 9 = 0 then '' else 'M' || cast(c_custkey as string) end nummedidor",
             "case c_custkey % 5 when 0 then 'A' when 1 then '1' when 2 then 'W' when 3 then 'X' end edccod",
         ],
     ),

@@ -26,8 +26,21 @@ _GROUP = " union all ".join(
     f"select {subtype} subtype, '{name}' label, {v.TRANSFORMER_UNITS[subtype]} required"
     for subtype, name in v.TRANSFORMER_GROUP.items()
 )
+# An empty text is a missing value.
+_NO_EMPTY = {
+    **dict.fromkeys(
+        ("tramodistribucionaereo", "tramodistribucionsubterraneo"),
+        "* replace (nullif(codigoconductorfase, '') as codigoconductorfase)",
+    ),
+    "unidadfusible": "* replace (nullif(capacidad, '') as capacidad)",
+    "unidadcapacitor": "* replace (nullif(potencianominal, '') as potencianominal)",
+    "puestoprotecciondinamico": "* replace (nullif(corriente, '') as corriente)",
+    "conexionconsumidor": "* replace (nullif(codigocliente, '') as codigocliente, nullif(codigounico, '') as codigounico)",
+    "atributosconsumidor": "* replace (nullif(nummedidor, '') as nummedidor)",
+}
 _CTES = {
-    **{name: adapter.sql for name, adapter in ADAPTERS.items()},
+    **{f"raw_{name}": adapter.sql for name, adapter in ADAPTERS.items()},
+    **{name: f"select {_NO_EMPTY.get(name, '*')} from raw_{name}" for name in ADAPTERS},
     **CATALOG,
     "phase": _PHASE,
     "subtype_phases": _SUBTYPE,
@@ -168,10 +181,17 @@ def _unit_count(parent: str, child: str, key: str, element: str) -> str:
 
 
 def _unit_power(parent: str, child: str, key: str, element: str, power: str) -> str:
+    unread = f"select count(*) from {child} u where u.{key} = s.globalid and u.potencianominal is not null and {power} is null"
     return (
-        _mark("g", f"'{element}'", f"concat('{v.POWER_DIFFERS}. Puesto = ', {_number('g.own')}, ' Unidad = ', {_number('g.units')})")
-        + f" from (select s.*, s.potenciakva own, coalesce((select sum({power}) from {child} u where u.{key} = s.globalid), 0) "
-        f"units from {parent} s) g where round(g.own, 2) <> round(g.units, 2)"
+        _mark(
+            "g",
+            f"'{element}'",
+            f"concat('{v.POWER_DIFFERS}. Puesto = ', {_number('g.own')}, ' Unidad = ', {_number('g.units')})",
+            "case when g.unread > 0 then 'Potencias no legibles = ' || g.unread end",
+        )
+        + f" from (select s.*, s.potenciakva own, coalesce((select sum(coalesce({power}, 0)) from {child} u "
+        f"where u.{key} = s.globalid), 0) units, ({unread}) unread from {parent} s) g "
+        "where g.own is not null and (g.unread > 0 or round(g.own, 2) <> round(g.units, 2))"
     )
 
 
@@ -187,7 +207,7 @@ _R09 = _unit_power(
     "unidadcapacitor",
     "puestocorrfacpotglobalid",
     "Capacitor",
-    "coalesce(try_cast(replace(u.potencianominal, ',', '.') as decimal(28, 10)), 0)",
+    "try_cast(replace(u.potencianominal, ',', '.') as decimal(28, 10))",
 )
 _R10 = _union(
     _mark("s", f"'{element}'", f"'{text}'") + f" from {table} s {condition}"
@@ -228,7 +248,7 @@ _R12 = (
         f"concat({_if_null('corriente', v.CURRENT_MISSING)}, ';', {_if_null('corrientemaxcortocircuito', v.SHORT_CIRCUIT_MISSING)})",
         f"concat({_if_null('faseconexion', v.PHASE_MISSING)}, ';', {_if_null('voltaje', v.VOLTAGE_MISSING)})",
     )
-    + " from puestoprotecciondinamico s where (s.corriente + s.corrientemaxcortocircuito + s.faseconexion + s.voltaje) is null"
+    + " from puestoprotecciondinamico s where (s.corriente is null or s.corrientemaxcortocircuito is null or s.faseconexion is null or s.voltaje is null)"
 )
 _R13 = _union(
     _mark("s", "'Puesto Transformador'", f"'{text}'")
@@ -281,7 +301,7 @@ _R17 = _unit_power(
     "unidadtransfdistribucion",
     "puestotransfdistglobalid",
     "Puesto Transformador",
-    "coalesce(u.potencianominal, 0)",
+    "u.potencianominal",
 )
 
 

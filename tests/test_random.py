@@ -77,7 +77,8 @@ def duck_tables(rows):
         connection.execute(f"create table {name} ({', '.join(f'{c} {kind}' for c, kind in kinds.items())})")
         if content:
             marks = ", ".join("?" for _ in kinds)
-            connection.executemany(f"insert into {name} values ({marks})", [[row.get(c) for c in kinds] for row in content])
+            held = [[None if row.get(c) == "" else row.get(c) for c in kinds] for row in content]  # an empty text is missing
+            connection.executemany(f"insert into {name} values ({marks})", held)
     return connection
 
 

@@ -231,8 +231,11 @@ def test_capacitor_units_and_power(spark):
     assert found(net, "R08", "detail_2") == [(2, f"{values.COUNT_OF_UNITS}0")]
     assert found(net, "R09", "detail_1") == [
         (2, f"{values.POWER_DIFFERS}. Puesto = 12.5 Unidad = 0"),
+        (3, f"{values.POWER_DIFFERS}. Puesto = 1 Unidad = 0"),
         (4, f"{values.POWER_DIFFERS}. Puesto = 100 Unidad = 0"),
     ]
+    notes = [note for _, note in found(net, "R09", "detail_2")]
+    assert notes == [None, f"{values.UNREADABLE_POWER}1", None]
 
 
 def span(object_id, **columns):

@@ -119,7 +119,8 @@ def hot_network(spark):
     ("rule", "expected"),
     [("R02", HOT + COLD), ("R04", 2 * (HOT + COLD)), ("R18", HOT + COLD)],
 )
-def test_hot_key_is_split(spark, rule, expected):
+def test_hot_key_is_split(spark, monkeypatch, rule, expected):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     net = hot_network(spark)
     with settings(spark, **SPLIT_EARLY):
         count, plan = final_plan(rule_findings(net, rule, RUN_DATE))
@@ -182,9 +183,28 @@ def test_lookup_gives_one_value_per_row(spark, monkeypatch, rows):
     names = spark.createDataFrame([("a", "x"), ("a", "w"), ("b", "y"), (None, "z")], "k string, v string")
     many = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c"), (5, "a")], "id long, key string")
     lookup = Lookup(names, "k", "v")
-    assert lookup.fits == (rows > 0) and not lookup.unique
+    assert lookup.fits == (rows > 0)
     result = lookup.join_value(many, "key", "id", "name").collect()
     assert sorted((r["id"], r["name"]) for r in result if r["name"]) == [(1, "w"), (2, "y"), (5, "w")]
     assert len(result) == 5
     repeated = lookup.join_rows(many, "key", "id", "name").collect()
     assert len(repeated) == 7
+    counted = lookup.join_count(many, "key", "id", "n").collect()
+    assert sorted((r["id"], r["n"]) for r in counted) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 2)]
+
+
+def test_few_breakers_need_no_shuffle_of_spans(spark):
+    """Spans and lights meet the few own-parent breakers where they are read."""
+    with settings(spark, **NO_BROADCAST):
+        plan = RULES["R04"].plan(star_network(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
+def test_catalog_size_does_not_change_what_r11_reads(spark, monkeypatch):
+    """Only how the catalog travels depends on its size."""
+    shapes = []
+    for rows in (0, 200_000):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", rows)
+        plan = rule_findings(star_network(spark, SF_DIR), "R11", RUN_DATE)._jdf.queryExecution().optimizedPlan().toString()
+        shapes.append((plan.count("Relation ["), plan.count("Aggregate [")))
+    assert shapes[0] == shapes[1]
