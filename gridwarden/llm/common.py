@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,13 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's `spark.checkpoint.dir`. A local session without it gets one of its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A new folder below the cluster's `spark.checkpoint.dir`, or else below the session's warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
 
 

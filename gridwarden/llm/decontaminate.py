@@ -122,8 +122,12 @@ def with_hits(keyed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
-    """The documents with `spans` of hit words and the ids of the `items` that hit them; null where there are none."""
-    return with_hits(docs.withColumn("row_key__", row_key()), hit_rows(docs, benchmark, n))
+    """The documents with `spans` of hit words and the ids of the `items` that hit them; null where there are none.
+
+    Columns of these names are replaced.
+    """
+    kept = docs.drop("spans", "items")
+    return with_hits(kept.withColumn("row_key__", row_key()), hit_rows(docs, benchmark, n))
 
 
 def without_spans(text: Column, spans: Column) -> Column:
@@ -139,12 +143,14 @@ def without_spans(text: Column, spans: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = N) -> DataFrame:
     """The documents without contaminated ones, or with `remove="spans"` without the hit words."""
     columns = docs.columns
-    judged = contamination(docs, benchmark, n)
+    found = hit_rows(docs, benchmark, n).select("hit_key", F.col("spans").alias("spans__"))
+    judged = with_hits(docs.withColumn("row_key__", row_key()), found)
     if remove == "documents":
-        return judged.where("spans is null").select(columns)
+        return judged.where("spans__ is null").select(columns)
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
-    cleaned = F.when(F.col("spans").isNull(), F.col("text")).otherwise(without_spans(F.col("text"), F.col("spans")))
+    cut = without_spans(F.col("text"), F.col("spans__"))
+    cleaned = F.when(F.col("spans__").isNull(), F.col("text")).otherwise(cut)
     return judged.withColumn("text", cleaned).select(columns)
 
 

@@ -250,16 +250,16 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
         .join(stays.where("n > 1"), "class")
         .withColumn("goes", F.struct("doc_id", "row_hash") != F.col("stays"))
         .where("goes or times > 1")
-        .select(F.col("doc_id").alias("id__"), F.col("row_hash").alias("hash__"), "goes", "times")
+        .select(F.col("doc_id").alias("id__"), F.col("row_hash").alias("hash__"), F.col("goes").alias("goes__"), F.col("times").alias("times__"))
     )
     goes = stored(goes, "decisions")
     hashed = docs.withColumn("row_hash__", row_hash(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("id__")) & (F.col("row_hash__") == F.col("hash__"))
-    if goes.where("not goes").limit(1).count() == 0:
+    if goes.where("not goes__").limit(1).count() == 0:
         return hashed.join(goes, same, "left_anti").select(docs.columns)
     rank = F.row_number().over(Window.partitionBy("doc_id", "row_hash__").orderBy(F.lit(0)))
-    joined = hashed.join(goes, same, "left").where("goes is null or not goes").withColumn("rank__", rank)
-    return joined.where("times is null or rank__ = 1").select(docs.columns)
+    joined = hashed.join(goes, same, "left").where("goes__ is null or not goes__").withColumn("rank__", rank)
+    return joined.where("times__ is null or rank__ = 1").select(docs.columns)
 
 
 def join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
