@@ -48,12 +48,7 @@ def failure_row(spark: SparkSession, network: Network, rule: Rule, error: Except
 
 def error_text(error: Exception) -> str:
     """The first line of what went wrong at the root; stack traces are left to the log."""
-    text = str(error)
-    cause = getattr(error, "_origin", None)
-    while cause is not None:
-        text = cause.getMessage() or text
-        cause = cause.getCause()
-    return text.strip().split("\n")[0]
+    return str(error).strip().split("\n")[0]
 
 
 def run_validation(
