@@ -14,6 +14,8 @@ from gridwarden.llm.hashing import WordHasher, mixed
 WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 12, 8
 GRAM_BUCKETS = 1 << 15
+#: Words projected at once.
+SLAB = 8192
 #: Stands for what lies before and after a word.
 EDGE = np.uint64(8)
 
@@ -32,12 +34,31 @@ class Words:
         stops = np.flatnonzero(np.diff(np.concatenate([inside, [False]]).astype(np.int8)) == -1) + 1
         self.grams, self.gram_offsets = character_grams(raw, begin[first], stops[first])
 
+    @classmethod
+    def of_many(cls, texts: list[bytes], hasher: WordHasher, size: int = 1 << 20) -> Words:
+        """The same for any number of texts, worked through in groups of bounded size."""
+        ends = np.cumsum([len(text) for text in texts]) // size
+        groups = np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1)
+        parts = [cls([texts[at] for at in group], hasher) for group in groups]
+        out = cls.__new__(cls)
+        begins = np.cumsum([0, *(len(part.hashes) for part in parts)])
+        out.hashes, first, place = np.unique(np.concatenate([part.hashes for part in parts]), return_index=True, return_inverse=True)
+        out.index = np.concatenate([place[begin + part.index] for begin, part in zip(begins, parts, strict=False)])
+        out.offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(part.offsets) for part in parts]))])
+        lengths = np.concatenate([np.diff(part.gram_offsets) for part in parts])
+        starts = (np.cumsum(lengths) - lengths)[first]
+        lengths = lengths[first]
+        out.gram_offsets = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(starts - out.gram_offsets[:-1], lengths) + np.arange(out.gram_offsets[-1])
+        out.grams = np.concatenate([part.grams for part in parts])[at]
+        return out
+
 
 def character_grams(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the three- and four-grams around each byte of the given words, ends of words included."""
     length = end - begin
     if not len(length):
-        return np.empty(0, np.int64), np.zeros(1, np.int64)
+        return np.empty(0, np.uint16), np.zeros(1, np.int64)
     first = np.concatenate([[0], np.cumsum(length + 1)])  # a word of n bytes has n + 1 places, the last its end
     place = np.arange(first[-1]) - np.repeat(first[:-1], length + 1)
     at, size = np.repeat(begin, length + 1) + place, np.repeat(length, length + 1)
@@ -46,7 +67,7 @@ def character_grams(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> t
     three = mixed(b * np.uint64(3) + c * np.uint64(5) + d * np.uint64(7))
     four = mixed(three + a * np.uint64(11) + np.uint64(1))
     grams = np.stack([three, four], axis=1).reshape(-1) % np.uint64(GRAM_BUCKETS)
-    return grams.astype(np.int64), 2 * first
+    return grams.astype(np.uint16), 2 * first
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -95,8 +116,11 @@ class Network:
             table = self.p["words"].copy()
             table[-1] = 0
             vectors[:, :WORD_DIM] = table[self.word_rows(words.hashes)]
-            sums = np.add.reduceat(self.p["chars"][words.grams], words.gram_offsets[:-1], axis=0)
-            vectors[:, WORD_DIM:] = sums / np.sqrt(np.diff(words.gram_offsets))[:, None]
+            offsets = words.gram_offsets
+            for at in range(0, len(words.hashes), SLAB):  # the gathered rows are many times larger than their sums
+                own = offsets[at : at + SLAB + 1]
+                sums = np.add.reduceat(self.p["chars"][words.grams[own[0] : own[-1]]], own[:-1] - own[0], axis=0)
+                vectors[at : at + SLAB, WORD_DIM:] = sums / np.sqrt(np.diff(own))[:, None]
         return vectors
 
     def scan(self, side: str, rows: np.ndarray, mask: np.ndarray, keep: bool):
