@@ -213,7 +213,7 @@ def composed_page(make: random.Random) -> str:
     letters = "abcdefghijklmnopqrstuvwxyzéüñ"
     word = lambda: "".join(make.choice(letters) for _ in range(make.randint(1, 10)))
     words = lambda low, high: " ".join(word() for _ in range(make.randint(low, high)))
-    sentence = lambda: words(3, 18).capitalize() + make.choice([".", ".", ".", "?", " |", ""])
+    sentence = lambda: words(*make.choice([(1, 3), (3, 18), (3, 18)])).capitalize() + make.choice([".", ".", ".", "?", " |", ""])
     prose = lambda most=8: " ".join(sentence() for _ in range(make.randint(1, most)))
     links = lambda tag="li": "".join(f"<{tag}><a href='/{word()}'>{words(1, 4)}</a></{tag}>" for _ in range(make.randint(2, 9)))
 
