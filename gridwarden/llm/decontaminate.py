@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwarden.llm.common import BETWEEN, BROADCAST_ROWS, CASED_WORD, ascii_lower, stored, table, with_words
+from gridwarden.llm.common import BETWEEN, BROADCAST_ROWS, CASED_WORD, ascii_lower, is_small, stored, table, with_words
 
 N = 10
 
@@ -143,10 +143,13 @@ def without_spans(text: Column, spans: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = N) -> DataFrame:
     """The documents without contaminated ones, or with `remove="spans"` without the hit words."""
     columns = docs.columns
+    keyed = docs.withColumn("row_key__", row_key())
+    if remove == "documents":  # only the keys of contaminated documents travel, if few to every task
+        keys = stored(matches(docs, benchmark_windows(benchmark, n)).select(F.col("key").alias("hit_key")).distinct(), "hits")
+        keys = F.broadcast(keys) if is_small(keys) else keys
+        return keyed.join(keys, F.col("row_key__").eqNullSafe(F.col("hit_key")), "left_anti").select(columns)
     found = hit_rows(docs, benchmark, n).select("hit_key", F.col("spans").alias("spans__"))
-    judged = with_hits(docs.withColumn("row_key__", row_key()), found)
-    if remove == "documents":
-        return judged.where("spans__ is null").select(columns)
+    judged = with_hits(keyed, found)
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
     cut = without_spans(F.col("text"), F.col("spans__"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwarden.llm.components import connected_components
-from gridwarden.llm.common import stored, table
+from gridwarden.llm.common import is_small, stored, table
 from gridwarden.llm.hashing import BASE, WordHasher, mixed, shingles
 
 THRESHOLD = 0.8
@@ -255,6 +255,8 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
     goes = stored(goes, "decisions")
     hashed = docs.withColumn("row_hash__", row_hash(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("id__")) & (F.col("row_hash__") == F.col("hash__"))
+    if is_small(goes):  # texts then stay where they are read
+        goes = F.broadcast(goes)
     if goes.where("not goes__").limit(1).count() == 0:
         return hashed.join(goes, same, "left_anti").select(docs.columns)
     rank = F.row_number().over(Window.partitionBy("doc_id", "row_hash__").orderBy(F.lit(0)))
