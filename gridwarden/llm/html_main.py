@@ -63,8 +63,9 @@ BATCH_CHARS = 4 << 20
 class Page(HTMLParser):
     """The block elements of a page in order: parents, tags, named parts; and the texts between block boundaries."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, labelled: bool = True):
         super().__init__(convert_charrefs=True)
+        self.labelled = labelled  # whether `data-main` states the parts, as in composed pages
         self.tags, self.parent, self.parts, self.label = ["#root"], [-1], [frozenset()], [1]
         self.stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the block that each is or lies in
         self.blocks: list[list[tuple[int, str]]] = [[]]
@@ -116,7 +117,7 @@ class Page(HTMLParser):
             self.tags.append(tag)
             self.parent.append(block)
             self.parts.append(frozenset(NAMED[t] for t in tokens if t in NAMED))
-            own = next((value for name, value in attrs if name == "data-main"), None)
+            own = next((value for name, value in attrs if name == "data-main"), None) if self.labelled else None
             self.label.append(self.label[block] if own is None else int(own or 0))
             self.linked.append(0)
             block = len(self.tags) - 1
@@ -276,7 +277,7 @@ def trained(pages: int = 1500, seed: int = 5) -> BoostedTrees:
 
 def main_texts(htmls: list[str | None], trees: BoostedTrees) -> list[str]:
     """The main text of each page."""
-    pages = [Page(html or "") for html in htmls]
+    pages = [Page(html or "", labelled=False) for html in htmls]
     if not pages:
         return []
     rows = [features_of(page) for page in pages]

@@ -335,6 +335,14 @@ def test_html_edges(trees):
     assert html_main.main_texts([], trees) == []
 
 
+def test_data_main_of_corpus_pages_is_not_read(trees):
+    article = "<article><h1>Title</h1><p>" + "more text, here. " * 30 + "</p></article>"
+    plain = html_main.main_texts([f"<html><body>{article}</body></html>"], trees)
+    for own in ("js/app", "", "0"):
+        html = f'<html><head><script data-main="{own}" src="require.js"></script></head><body data-main="{own}">{article}</body></html>'
+        assert html_main.main_texts([html], trees) == plain and plain[0].startswith("Title")
+
+
 def test_html_query(spark):
     rows = queries.queries()["op5_html_extraction"](spark, SF_DIR).collect()
     html = {r.page_id: r.html for r in table(spark, SF_DIR, "pages").collect()}
