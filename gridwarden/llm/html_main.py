@@ -8,7 +8,8 @@ the leaves up, a block is worth its log odds and the worth of its children, or n
 The trees are fitted on pages that this module composes, where every block's part is known; none of the corpus is used.
 
 Defined cases: null or empty html and pages without main text give the empty string; unclosed and stray tags are
-mended as browsers do; scripts, styles and other unseen content never count; character references are decoded, also
+mended as browsers do, a head without an end tag too; scripts, styles, drawings and other unseen content never count,
+formulas do without their annotations; character references are decoded, also
 unfinished ones; nothing is capped; repeated rows repeat; other columns are kept; an empty table gives no rows.
 """
 
@@ -28,11 +29,21 @@ from gridwarden.llm.common import table
 from gridwarden.llm.trees import BoostedTrees
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style head title noscript template svg math iframe object canvas audio video".split())
-INLINE = frozenset(
+#: Formulas run in the line; browsers show all of them but their annotations.
+MATH = frozenset(
+    "math annotation annotation-xml maction maligngroup malignmark menclose merror mfenced mfrac mglyph mi mlabeledtr"
+    " mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable"
+    " mtd mtext mtr munder munderover none semantics".split()
+)
+UNSEEN = frozenset(
+    "script style head title noscript template svg annotation annotation-xml iframe object canvas audio video".split()
+)
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp"
     " small span strike strong sub sup time tt u var wbr".split()
 )
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: Start tags that end an open paragraph, and those that end an open tag of their own kind.
 ENDS_P = frozenset(
     "address article aside blockquote body center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr"
@@ -96,7 +107,16 @@ class Page(HTMLParser):
             if tag in SCOPES:
                 return
 
+    def end_head(self) -> None:
+        """Closes an open head that nothing else is open in."""
+        if self.stack[-1][0] == "head":
+            self.pop_to(len(self.stack) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" and self.unseen and "template" not in (open_tags := [t for t, _ in self.stack]) and "head" in open_tags:
+            self.pop_to(open_tags.index("head"))
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag in ENDS_P and not self.unseen:
             self.end_open(frozenset(["p"]))
         if tag in ENDS_OWN:
@@ -127,16 +147,20 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
+        if tag == "svg" or tag in MATH:  # elsewhere browsers ignore the slash
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth][0] == tag:
                 self.pop_to(depth)
                 return
-            if tag in INLINE and self.stack[depth][0] not in INLINE:
+            if tag in INLINE and tag not in MATH and self.stack[depth][0] not in INLINE:
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.end_head()
         if not self.unseen:
             block = self.stack[-1][1]
             self.blocks[-1].append((block, data))

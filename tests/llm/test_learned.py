@@ -335,6 +335,24 @@ def test_html_edges(trees):
     assert html_main.main_texts([], trees) == []
 
 
+def test_heads_drawings_and_formulas_without_end_tags(trees):
+    prose = "more text, here. " * 30
+    article = f"<article><h1>Title</h1><p>{prose}</p></article>"
+    plain = html_main.main_texts([f"<html><head><title>t</title></head><body>{article}</body></html>"], trees)
+    heads = ["<head><title>t</title><body>", "<head><meta charset=utf-8><title>t</title>", "<head><noscript><link href=x><body>"]
+    assert html_main.main_texts([f"<html>{head}{article}" for head in heads], trees) == plain * 3 and plain[0]
+
+    def every(html):
+        page = html_main.Page(html)
+        return html_main.text_of(page, np.ones(len(page.tags), bool))
+
+    assert every("<head><title>t</title> seen") == "seen"
+    assert every('<p>a <svg class="icon"/> b <svg><path d=x/><title>no</title></svg> c <math/> d</p>') == "a\n\nb\n\nc d"
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mspace/><mn>1</mn></mrow><annotation>no</annotation></semantics></math>"
+    assert every(f"<article><p>so {formula} holds</p></article>") == "so x=1 holds"
+    assert every("<template><head><p>no</template><p>yes") == "yes"
+
+
 def test_data_main_of_corpus_pages_is_not_read(trees):
     article = "<article><h1>Title</h1><p>" + "more text, here. " * 30 + "</p></article>"
     plain = html_main.main_texts([f"<html><body>{article}</body></html>"], trees)
