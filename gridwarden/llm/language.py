@@ -1,14 +1,15 @@
 """Language identification by Bayesian fusion of what a text, its markup, its address and its host say.
 
-- Text: naive Bayes over hashed byte trigrams, fitted on a bounded sample of documents with a known language
-  (`SAMPLE` of each language at most, chosen by id hash). A whole text counts; its evidence is tempered, since
+- Text: naive Bayes over hashed byte trigrams of every language that occurs, fitted on a bounded sample of documents with
+  a known language (about `SAMPLE` of each at most, chosen by id hash). A whole text counts; its evidence is tempered, since
   neighbouring trigrams aren't independent.
 - Markup: P(declared | language), counted over all items from their text posteriors.
 - Address suffix: P(suffix | language), counted alike.
 - Host: P(language | host), smoothed towards its domain's, and that towards all items'. An item's own posterior is
   taken out of its host's and domain's counts before they judge it.
 
-All counts are grouped aggregations with partial sums; only numbers per language reach the driver.
+All counts are grouped aggregations with partial sums; only numbers per language reach the driver, the likelihoods of
+trigrams among them (256 KB a language).
 
 Defined cases: null or empty texts have no text evidence; items without a host, a suffix or a declared language lack
 that evidence only; declared languages that were never learned count as `other`; without any known language the answer
@@ -17,7 +18,7 @@ is null with probability 0; repeated rows repeat; an empty table gives no rows;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,14 @@ from gridwarden.llm.common import is_small, stored, table
 from gridwarden.llm.hashing import BASE
 
 SAMPLE = 500
-MOST_LANGUAGES = 64
 MOST_TRAIN_CHARS = 20_000
 BUCKETS = 1 << 16
 TEMPER = 0.1
 #: Pseudo-counts towards the wider level, and towards evenness in confusion counts.
 HOST_WEIGHT, EVEN_WEIGHT = 5.0, 1.0
 PIECE = 1 << 20
+#: Languages whose counts a task holds at once (512 KB each), and buckets that travel to the driver in a row.
+HELD_LANGUAGES, ROW_BUCKETS = 64, 4096
 
 
 def trigram_counts(text: str | None) -> np.ndarray:
@@ -47,20 +49,51 @@ def trigram_counts(text: str | None) -> np.ndarray:
     return counts
 
 
+def trigram_sums(texts: DataFrame) -> DataFrame:
+    """(lang, buckets, counts): how often the texts of a language hold each bucket's trigrams; some buckets to a row."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for lang, counts in held.items():
+                used = np.flatnonzero(counts)
+                columns = [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
+            held.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if lang not in held and len(held) == HELD_LANGUAGES:
+                    yield from flushed()
+                held[lang] = held.get(lang, 0) + trigram_counts(text)
+        yield from flushed()
+
+    parts = texts.select("lang", "text").mapInArrow(counted, "lang string, bucket int, n long")
+    summed = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    rows = summed.groupBy("lang", F.floor(F.col("bucket") / ROW_BUCKETS).alias("row"))
+    held = rows.agg(F.collect_list(F.struct("bucket", "n")).alias("held"))
+    return held.select("lang", F.col("held.bucket").alias("buckets"), F.col("held.n").alias("counts"))
+
+
 def fitted(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """The known languages, and the log likelihood of each bucket in each, from a bounded sample."""
     known = docs.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()
     languages = sorted(row["lang"] for row in counts)
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, sample / row["count"])).otherwise(share)
-    chosen = known.where(F.char_length("text") <= MOST_TRAIN_CHARS)
-    chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
-    seen = np.full((BUCKETS, len(languages)), 0.5)
-    for row in chosen.select("lang", "text").limit(2 * sample * MOST_LANGUAGES).toLocalIterator():
-        seen[:, languages.index(row["lang"])] += trigram_counts(row["text"])
-    return languages, np.log(seen / seen.sum(axis=0)).astype(np.float32)
+    shares = [(row["lang"], min(1.0, sample / row["count"])) for row in counts]
+    shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))  # a row per language
+    chosen = known.where(F.char_length("text") <= MOST_TRAIN_CHARS).select("doc_id", "lang", "text").join(shares, "lang")
+    chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    number = {language: i for i, language in enumerate(languages)}
+    seen = np.zeros((len(languages), BUCKETS), np.int32)
+    for row in trigram_sums(chosen).toLocalIterator():
+        seen[number[row["lang"]], row["buckets"]] = row["counts"]
+    table_of = np.empty((BUCKETS, len(languages)), np.float32)
+    for i, own in enumerate(seen):
+        own = own + 0.5
+        table_of[:, i] = np.log(own / own.sum())
+    return languages, table_of
 
 
 def with_text_evidence(items: DataFrame, languages: list[str], table_of: np.ndarray) -> DataFrame:
@@ -86,10 +119,15 @@ def with_text_evidence(items: DataFrame, languages: list[str], table_of: np.ndar
     return items.mapInArrow(judged, f"{fields}, evidence array<double>")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body of the value, which is computed once, and not again for each element that the body's functions visit."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def posterior(evidence: Column) -> Column:
     """Log evidence per language as probabilities."""
-    powers = F.transform(evidence, lambda e: F.exp(e - F.array_max(evidence)))
-    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    powers = let(evidence, lambda own: let(F.array_max(own), lambda top: F.transform(own, lambda e: F.exp(e - top))))
+    return let(powers, lambda own: let(total(own), lambda whole: F.transform(own, lambda p: p / whole)))
 
 
 def sums(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
@@ -132,7 +170,8 @@ def identify(items: DataFrame, languages: list[str], table_of: np.ndarray) -> Da
         return F.coalesce(own, none)
 
     def smoothed(counts: Column, wider: Column) -> Column:
-        return F.zip_with(counts, wider, lambda c, w: (c + HOST_WEIGHT * w) / (total(counts) + HOST_WEIGHT))
+        share = lambda own, whole: F.zip_with(own, wider, lambda c, w: (c + HOST_WEIGHT * w) / (whole + HOST_WEIGHT))
+        return let(counts, lambda own: let(total(own), lambda whole: share(own, whole)))
 
     def likelihood(counts: str) -> Column:
         """Log P(value | language); nothing where the item lacks the value."""

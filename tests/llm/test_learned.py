@@ -292,6 +292,24 @@ def test_language_fuses_evidence(spark):
     assert len(none) == 33 and all(r.language is None for r in none)
 
 
+def test_every_language_is_learned(spark):
+    make = random.Random(6)
+    names = [f"l{i:02}" for i in range(80)]
+    own = {name: ["".join(make.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for name in names}
+    text = lambda name: " ".join(make.choice(own[name]) for _ in range(40))
+    rows = [(80 * i + k, text(name), name, None) for i in range(4) for k, name in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    pages = [(k, None, f"<html lang='l'><p>{text(name)}</p></html>") for k, name in enumerate(names)]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    languages, table_of = language.fitted(docs)
+    assert languages == names and table_of.shape == (language.BUCKETS, 80)
+    seen = sum(language.trigram_counts(r[1]) for r in rows if r[2] == "l79") + 0.5
+    assert np.array_equal(table_of[:, 79], np.log(seen / seen.sum()).astype(np.float32))
+    found = language.identify(language.items_of(docs, pages), languages, table_of).collect()
+    assert len(found) == 400
+    assert all(r.language == names[(r.page_id if r.doc_id is None else r.doc_id) % 80] for r in found)
+
+
 def test_language_query_knows_the_documents(spark):
     rows = queries.queries()["op2_language_id"](spark, SF_DIR).where("doc_id is not null").collect()
     truth = {r.doc_id: r.lang for r in table(spark, SF_DIR, "documents").collect()}
