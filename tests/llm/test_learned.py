@@ -415,3 +415,10 @@ def test_pipeline_stages(spark):
         assert (row.n_tokens, row.ids_sha256) == (len(ids), digest(" ".join(map(str, ids))))
         assert row.decoded_sha256 == digest(library.decode(ids, skip_special_tokens=False))
     assert len(out) == len(texts) and [name for name, _ in corpus_pipeline.STAGES][0] == "toxicity"
+
+
+def test_pipeline_drops_lines_on_three_pages_in_a_hundred(spark):
+    rows = [(i, "h", ("licence\n" if i < 6 else "few\n" if i < 10 else "") + f"own {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF_DIR).collect()}
+    assert kept == {i: f"few\nown {i}" if 6 <= i < 10 else f"own {i}" for i in range(200)}
