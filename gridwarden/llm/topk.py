@@ -10,8 +10,8 @@ returns k rows per query at most, and a window over those gives the result.
 The rotation is fitted on about `FIT_ROWS` vectors chosen by id hash; it changes what is pruned, never the result.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows with a null id, take no part;
-missing components of shorter vectors count as 0; of rows with the same id the one with the
-least components counts; fewer candidates than k give fewer rows; ties go to the smaller id; scores beyond 63 bits raise; an
+missing components of shorter vectors count as 0; every row with another id than the query's is a candidate, and the
+rows of a repeated query id share one ranking; fewer candidates than k give fewer rows; ties go to the smaller id; scores beyond 63 bits raise; an
 empty table gives no rows; other columns are not read.
 """
 
@@ -35,14 +35,16 @@ FIT_ROWS = 20_000
 EXACT = 2.0**53
 
 
-def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, ints) of the vectors that take part."""
+def scaled(vectors: DataFrame, scale: int = SCALE, k: int = K) -> DataFrame:
+    """(vec_id, ints) of the vectors that take part; of equal rows, k are as good as all."""
     usable = F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
     taking_part = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(usable, F.lit(False)))
-    return taking_part.select("vec_id", ints.alias("ints")).groupBy("vec_id").agg(F.min("ints").alias("ints"))
+    counted = taking_part.select("vec_id", ints.alias("ints")).groupBy("vec_id", "ints").count()
+    copies = F.sequence(F.lit(1), F.least(F.col("count"), F.lit(k)).cast("int"))
+    return counted.select("vec_id", "ints", F.explode(copies)).select("vec_id", "ints")
 
 
 def rotation_of(vectors: DataFrame, rows: int, dimensions: int) -> np.ndarray:
@@ -138,7 +140,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids:
 
 def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the greatest inner product for each row that `is_query` holds for."""
-    held = stored(scaled(vectors, scale), "vectors")
+    held = stored(scaled(vectors, scale, k), "vectors")
     facts = held.agg(F.count("*"), F.count(F.when(F.expr(is_query), 1)), F.max(F.size("ints"))).first()
     rows, n_queries, dimensions = facts[0], facts[1], max(facts[2] or 1, 1)
     axes = rotation_of(held, rows, dimensions)

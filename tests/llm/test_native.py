@@ -168,6 +168,18 @@ def test_top_k_edges(spark):
     assert topk.top_k(vectors.where("vec_id = 0"), "vec_id % 20 = 0").count() == 0
 
 
+def test_top_k_of_repeated_ids_equals_sql(spark):
+    rows = [(i % 30, [float((i * m) % 11 - 5) for m in (1, 3, 7)]) for i in range(90)] + [(40, [9.0, 9.0])] * 25 + [(41, [9.0, 9.0])] * 2
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    connection = duckdb.connect()
+    connection.execute("create table embeddings (vec_id bigint, embedding float[])")
+    rows = [(i, [*e, 0.0][:3]) for i, e in rows]  # DuckDB multiplies lists of one length only
+    connection.executemany("insert into embeddings values (?, ?)", rows)
+    theirs = connection.execute(topk.ORACLE).fetchall()
+    mine = topk.top_k(vectors, "vec_id % 20 = 0").select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, mine)) == sorted(theirs) and len(theirs) == 60
+
+
 def test_top_k_in_blocks_finds_the_same(spark, monkeypatch):
     vectors = spark.range(400).select(F.col("id").alias("vec_id"), F.array(*[((F.col("id") * k) % 17 - 8).cast("float") / 8 for k in (1, 3, 7, 11, 13)]).alias("embedding"))
     whole = sorted(map(tuple, topk.top_k(vectors, "vec_id % 20 = 0").collect()))
