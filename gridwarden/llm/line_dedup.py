@@ -3,7 +3,8 @@
 Pages holding each line are counted per host with partial aggregation, a page's repeated lines once. A line is
 boilerplate if it is on more than `ratio` of the host's pages and on `min_pages` at least. A host thus has fewer
 boilerplate lines than its mean number of lines per page divided by `ratio`, so they fit one array per host, and each
-page drops its lines without being regrouped. The arrays are broadcast if few, else joined by host over salted keys.
+page drops its lines without being regrouped. The arrays are broadcast if they hold few lines in all, else joined by host
+over salted keys.
 
 Defined cases: a page is a row, repeated or not; blank lines are never counted or dropped; rows without a host (null)
 form one host; null texts stay null, count as pages and have no lines; a page whose lines are all boilerplate keeps
@@ -33,13 +34,13 @@ def line_key(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, lines): the keys of each host's boilerplate lines."""
+    """(host, line): the keys of each host's boilerplate lines."""
     keys = F.array_distinct(F.array_compact(F.transform(lines_of(F.col("text")), line_key)))
     pages = docs.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("pages"))
     held = docs.select(F.col(host).alias("host"), F.explode(keys).alias("line")).groupBy("host", "line").count()
     frequent = held.where(F.col("count") >= min_pages).withColumnRenamed("host", "line_host")
     found = frequent.join(pages, F.col("host").eqNullSafe(F.col("line_host"))).where(F.col("count") > ratio * F.col("pages"))
-    return found.groupBy("host").agg(F.collect_list("line").alias("lines"))
+    return found.select("host", "line")
 
 
 def drop_boilerplate(
@@ -47,9 +48,10 @@ def drop_boilerplate(
 ) -> DataFrame:
     """The documents without boilerplate lines; with `counts`, also n_lines and n_dropped."""
     columns = docs.columns
-    lines = boilerplate(docs, host, ratio, min_pages).select(F.col("host").alias("host__"), F.col("lines").alias("lines__"))
+    flat = boilerplate(docs, host, ratio, min_pages)
+    lines = flat.groupBy(F.col("host").alias("host__")).agg(F.collect_list("line").alias("lines__"))
     same = docs[host].eqNullSafe(F.col("host__"))
-    if is_small(lines):
+    if is_small(flat):  # a row per line, since a host's array can be long
         joined = docs.join(F.broadcast(lines), same, "left")
     else:
         dealt = lines.withColumn("dealt__", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -117,6 +117,14 @@ def test_line_dedup_without_broadcast(spark, monkeypatch):
     assert normal[0] == (0, "h0", "own 0")
 
 
+def test_line_dedup_counts_lines_before_it_broadcasts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "h", "\n".join(f"line {n}" for n in range(9)) + f"\nown {i}") for i in range(20)], "doc_id long, source string, text string")
+    asked = []
+    monkeypatch.setattr(line_dedup, "is_small", lambda df: asked.append(df.count()))
+    assert sorted(r.text for r in line_dedup.drop_boilerplate(docs).collect()) == sorted(f"own {i}" for i in range(20))
+    assert asked == [9]
+
+
 PAGES = "page_id long, url string, html string, payload string"
 
 
