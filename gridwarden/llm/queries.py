@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, html_main, language, line_dedup, ngram_join, periodic, topk, toxicity, warc
+from gridwarden.llm import bpe, chat, decontaminate, html_main, language, line_dedup, merkle, ngram_join, periodic, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_top_k": topk.top_k_query,
         "op9_chat_formatting": chat.chat_query,
         "op10_warc": warc.warc_query,
+        "op11_merkle_manifest": merkle.manifest_query,
         "op12_periodic_runs": periodic.runs_query,
     }
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": line_dedup.ORACLE,
         "op8_exact_top_k": topk.ORACLE,
         "op9_chat_formatting": chat.ORACLE,
+        "op11_merkle_manifest": merkle.ORACLE,
     }
