@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwarden.llm import bpe, chat, decontaminate, html_main, language, line_dedup, merkle, ngram_join, periodic, topk, toxicity, warc
+from gridwarden.llm import bpe, chat, circulant, decontaminate, html_main, language, line_dedup, merkle, ngram_join, periodic, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_warc": warc.warc_query,
         "op11_merkle_manifest": merkle.manifest_query,
         "op12_periodic_runs": periodic.runs_query,
+        "op13_circulant_near_dedup": circulant.near_dedup_query,
     }
 
 
