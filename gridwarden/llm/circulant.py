@@ -7,8 +7,8 @@ number follows from the wanted recall, make buckets of candidate sets. Documents
 1. Each bucket has a hub, and the distinct pairs of a member and its hub are judged on full sets: one comparison a
    member, also where a group of near copies fills a bucket. Linked pairs are edges; components follow.
 2. Where a bucket still holds several components, members outside its largest one are compared with all others there
-   that are not in their own component. If that is much work, more hubs are tried first, as long as they halve it.
-   Pairs within a component need no comparison, as more links would not change it. So no link between components is lost.
+   that are not in their own component. Pairs within a component need no comparison, as more links would not change it.
+   So no link between components is lost.
 3. What a task compares is bounded: hubs in blocks against members in blocks, each with its full sets. Pairs are not
    shuffled; a task returns one edge per linked set.
 
@@ -38,8 +38,6 @@ RECALL = 0.9999
 #: A task holds one block of hubs and one of members.
 BLOCK_BYTES, BLOCK_TEXTS = 8 << 20, 512
 BATCH_ROWS = 256
-#: More hubs are tried while the comparisons left are so many times the members.
-MUCH_WORK = 64
 STEP, FIRST, SECOND = (np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
@@ -183,18 +181,23 @@ def star_groups(pairs: DataFrame) -> DataFrame:
 
 
 def bucket_members(texts: DataFrame) -> DataFrame:
-    """(g, n, set_key, size, centre) of the buckets with several sets; buckets with the same members are one."""
+    """(g, n, set_key, size, centre) of the buckets with several sets; buckets with the same members are one.
+
+    The centre, the bucket's hub, is its member with the most neighbours over all bands: the one most like the others. The
+    buckets of one group of near copies then have few different hubs, and most of their pairs are the same.
+    """
     in_band = texts.select("set_key", "size", F.posexplode("bands").alias("band", "bucket"))
     counted = in_band.groupBy("band", "bucket").agg(
-        F.count("*").alias("n"),
-        F.min(F.struct("set_key", "size", F.col("set_key").alias("part"))).alias("centre"),
-        F.bit_xor(F.xxhash64("set_key")).alias("x"),
-        F.bit_xor(F.xxhash64(F.lit(1), "set_key")).alias("y"),
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("set_key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "set_key")).alias("y")
     )
-    once = counted.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket", "centre")).alias("at"))
-    kept = stored(once.select("n", "at.*"), "buckets")
-    found = in_band.join(kept, ["band", "bucket"])
-    return stored(found.select(F.xxhash64("band", "bucket").alias("g"), "n", "set_key", "size", "centre"), "members")
+    once = counted.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("at"), F.count("*").alias("bands"))
+    kept = stored(once.select("n", "bands", "at.*"), "buckets")
+    found = stored(in_band.join(kept, ["band", "bucket"]).select(F.xxhash64("band", "bucket").alias("g"), "n", "bands", "set_key", "size"), "members")
+    near = stored(found.groupBy(F.col("set_key").alias("own")).agg(F.sum(F.col("n") * F.col("bands")).alias("near")), "neighbours")
+    best = F.max(F.struct("near", "set_key", "size", F.col("set_key").alias("part")))
+    centres = found.join(near, F.col("set_key") == F.col("own")).groupBy("g").agg(best.alias("best"))
+    centres = stored(centres.select("g", F.struct("best.set_key", "best.size", "best.part").alias("centre")), "centres")
+    return stored(found.select("g", "n", "set_key", "size").join(centres, "g"), "candidates")
 
 
 def open_members(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -209,20 +212,6 @@ def open_members(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataF
     return parts.join(several, "g").select("g", "set_key", "size", "part", hub.alias("hub")), roots
 
 
-def work_left(found: DataFrame) -> tuple[int, int]:
-    """Comparisons that remain, and the members that take part."""
-    per = found.groupBy("g").agg(F.count_if("hub").alias("hubs"), F.count("*").alias("n")).where("hubs > 0")
-    row = per.agg(F.sum(F.col("hubs").cast("decimal(38,0)") * F.col("n")), F.sum("n")).first()
-    return int(row[0] or 0), int(row[1] or 0)
-
-
-def further_hubs(found: DataFrame, attempt: int) -> DataFrame:
-    """Pairs of the members of each open bucket with one more hub of it."""
-    drawn = F.min_by(F.struct("set_key", "size", "part"), F.xxhash64(F.lit(attempt), "set_key"))
-    chosen = stored(found.where("hub").groupBy("g").agg(drawn.alias("hub")), "hubs")
-    return found.drop("hub").join(chosen, "g").where("part <> hub.part").select("hub", "set_key", "size", "part")
-
-
 def components_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the sets linked with a smaller one."""
     members = bucket_members(texts)
@@ -230,20 +219,11 @@ def components_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
     sets = stored(shingle_sets(docs, wanted).dropDuplicates(["set_key"]), "sets")
     pairs = members.where("set_key <> centre.set_key").select(F.col("centre").alias("hub"), "set_key", "size", F.col("set_key").alias("part"))
     edges = stored(found_links(star_groups(pairs), sets), "links")
-    before = None
-    for attempt in range(1, 1_000_000):
-        found, roots = open_members(members, edges)
-        found = stored(found, "comparisons")
-        work, n = work_left(found)
-        if not work:
-            return roots
-        more_hubs = work > MUCH_WORK * n and (before is None or work <= before / 2)
-        groups = star_groups(further_hubs(found, attempt)) if more_hubs else found
-        edges = stored(edges.unionByName(found_links(groups, sets)), "links")
-        if not more_hubs:
-            return connected_components(edges)
-        before = work
-    raise AssertionError("halving ends")
+    found, roots = open_members(members, edges)
+    found = stored(found, "comparisons")
+    if not found.where("hub").limit(1).count():
+        return roots
+    return connected_components(edges.unionByName(stored(found_links(found, sets), "links")))
 
 
 def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:

@@ -67,9 +67,8 @@ def near_copies(n, seed, most=12):
         yield " ".join(own)
 
 
-def test_large_buckets_in_blocks_with_more_hubs(spark, monkeypatch):
+def test_large_buckets_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(circulant, "BLOCK_TEXTS", 16)
-    monkeypatch.setattr(circulant, "MUCH_WORK", 1)
     rows = list(enumerate([*near_copies(250, 1), *near_copies(120, 2, 3), *["same text of five words"] * 300]))
     random.Random(3).shuffle(rows)
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
