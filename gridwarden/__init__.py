@@ -2,9 +2,10 @@
 
 from gridwarden.operators.census import non_null_census, select_layers
 from gridwarden.operators.findings import enrich_feeder
-from gridwarden.plans.batch import all_findings, run_validation
+from gridwarden.plans.batch import all_findings, run_failures, run_validation
 from gridwarden.plans.report import read_findings, report, run_date_of
 from gridwarden.plans.rules import BATCH, RULES, rule_findings
+from gridwarden.plans.runs import history, superseded_runs
 from gridwarden.sources.network import Network, network_of, read_network, read_network_tables
 
 __all__ = [
@@ -13,6 +14,7 @@ __all__ = [
     "Network",
     "all_findings",
     "enrich_feeder",
+    "history",
     "network_of",
     "non_null_census",
     "read_findings",
@@ -21,6 +23,8 @@ __all__ = [
     "report",
     "rule_findings",
     "run_date_of",
+    "run_failures",
     "run_validation",
     "select_layers",
+    "superseded_runs",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,15 @@ from pyspark.sql import functions as F
 
 from gridwarden.functions import values
 from gridwarden.operators.findings import COLUMNS, findings_schema
-from gridwarden.plans.rules import BATCH, Rule, findings_with_rule
+from gridwarden.plans import runs
+from gridwarden.plans.rules import BATCH, Rule, findings_with_rule, shared_sources
 from gridwarden.sources.network import Network
 
 log = logging.getLogger(__name__)
 
+#: So many groups of rules are written at the same time; Spark deals its cores to their jobs.
+JOBS_AT_ONCE = 4
+
 
 def all_findings(network: Network, run_date: date, rules: Sequence[Rule] = BATCH) -> DataFrame:
     """Findings of all rules as one lazy plan that reads each view once for all of its checks."""
@@ -24,26 +29,26 @@ def all_findings(network: Network, run_date: date, rules: Sequence[Rule] = BATCH
 
 def message_row(
     spark: SparkSession,
-    network: Network,
     rule_id: str,
     category: str,
     rule: str,
     detail_1: str,
     detail_2: str | None,
     run_date: date,
+    audit_date: str = "date",
 ) -> DataFrame:
     """One row about the run itself: object 0, a blank element, no feeder and no audit values."""
     texts = {"category": category, "rule": rule, "element": " ", "detail_1": detail_1, "detail_2": detail_2}
     known = {**texts, "object_id": 0, "run_date": run_date}
     return spark.range(1).select(
         F.lit(rule_id).alias("rule_id"),
-        *[F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in findings_schema(network.audit_date)],
+        *[F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in findings_schema(audit_date)],
     )
 
 
-def failure_row(spark: SparkSession, network: Network, rule: Rule, error: Exception, run_date: date) -> DataFrame:
+def failure_row(spark: SparkSession, rule: Rule, error: Exception, run_date: date, audit_date: str) -> DataFrame:
     text, procedure = values.FAILURE_TEXT + error_text(error), values.FAILED_PROCEDURE + rule.name
-    return message_row(spark, network, rule.rule_id, "ERROR", text, procedure, rule.title[1], run_date)
+    return message_row(spark, rule.rule_id, "ERROR", text, procedure, rule.title[1], run_date, audit_date)
 
 
 def error_text(error: Exception) -> str:
@@ -51,6 +56,66 @@ def error_text(error: Exception) -> str:
     return str(error).strip().split("\n")[0]
 
 
+def rule_groups(network: Network, rules: Sequence[Rule]) -> list[list[Rule]]:
+    """The rules in groups that share what they read; rules of different groups share nothing.
+
+    A rule whose needs can't be told, such as for a missing table, is a group of its own.
+    """
+    groups: list[tuple[set[str], list[Rule]]] = []
+    for rule in rules:
+        try:
+            needs = shared_sources(network, rule)
+        except Exception:
+            needs = set()
+        touching = [group for group in groups if group[0] & needs]
+        members = [r for group in touching for r in group[1]] + [rule]
+        groups = [group for group in groups if group not in touching]
+        groups.append((needs.union(*[group[0] for group in touching]), members))
+    return [members for _, members in groups]
+
+
+class Run:
+    """One run while it is written: its parts so far, and what failed."""
+
+    def __init__(self, spark: SparkSession, network: Network, path: str, run_date: date):
+        self.spark, self.network, self.path, self.run_date = spark, network, path, run_date
+        self.name = runs.new_run(run_date)
+        self.parts: list[str] = []
+        self.alone: list[str] = []
+
+    def write(self, rows: DataFrame, part: str) -> None:
+        self.parts.append(runs.write_part(rows, self.path, self.name, part))
+
+    def message(self, part: str, text: str, at: datetime) -> None:
+        clock = at.strftime(values.RUN_CLOCK)
+        self.write(message_row(self.spark, "RUN", "INFO", text, clock, None, self.run_date, self.network.audit_date), part)
+
+    def group(self, number: int, rules: Sequence[Rule]) -> None:
+        """Writes a group's findings by one job. If it fails, its rules, and no others, are written one by one."""
+        try:
+            self.write(findings_with_rule(self.network, rules, self.run_date), f"group-{number}")
+            return
+        except Exception as error:
+            if len(rules) == 1:
+                self.failed(rules[0], error)
+                return
+            log.exception("a job failed; running its %d rules one by one", len(rules))
+        for rule in rules:
+            self.alone.append(rule.rule_id)
+            try:
+                self.write(findings_with_rule(self.network, [rule], self.run_date), f"rule-{rule.rule_id}")
+            except Exception as error:
+                self.failed(rule, error)
+
+    def failed(self, rule: Rule, error: Exception) -> None:
+        log.error("rule %s failed: %s", rule.rule_id, error_text(error))
+        row = failure_row(self.spark, rule, error, self.run_date, self.network.audit_date)
+        self.write(row, f"failure-{rule.rule_id}")
+
+    def commit(self) -> None:
+        runs.commit(self.spark, self.path, self.name, self.run_date, sorted(self.parts), sorted(self.alone), self.network.audit_date)
+
+
 def run_validation(
     spark: SparkSession,
     network: Network,
@@ -58,63 +123,41 @@ def run_validation(
     run_date: date,
     rules: Sequence[Rule] = BATCH,
     clock: Callable[[], datetime] = datetime.now,
+    log_path: str | None = None,
 ) -> DataFrame:
-    """Replaces the findings under `path` with those of a new run and returns them.
+    """Runs the rules, makes the findings under `path` those of this run, and returns them.
 
-    All rules are written by one job that shares scans and shuffles. If that job fails, the rules
-    are written one by one: a rule that fails leaves one ERROR row, the others their findings.
-    """
-    started = clock().strftime(values.RUN_CLOCK)
-
-    def start() -> None:
-        row = message_row(spark, network, "RUN", "INFO", values.RUN_STARTED, started, None, run_date)
-        writer = row.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy("rule_id").parquet(path)
+    Rules that share views are one job and one part of the run. Where a job fails, its rules are written one by one: a
+    rule that fails leaves one ERROR row, the others their findings. Until the run is complete, `path` gives the run
+    before it. Findings of other run dates are kept (`history`).
 
-    start()
-    shared, failures = None, {}
+    A failure of the run as a whole, such as of its storage, leaves an ERROR row under `log_path`, a second place that
+    should not share the first one's fate (`<path>-failures` if not given), and is raised.
+    """
     try:
-        shared = findings_with_rule(network, rules, run_date)
-    except Exception:
-        log.exception("some rule cannot be built, such as for a missing table")
-        failures = _broken_rules(network, rules, run_date)
-    sound = [rule for rule in rules if rule.rule_id not in failures]
+        run = Run(spark, network, path, run_date)
+        run.message("start", values.RUN_STARTED, clock())
+        groups = rule_groups(network, rules)
+        with ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
+            list(jobs.map(run.group, range(len(groups)), groups))
+        run.message("finish", values.RUN_FINISHED, clock())
+        run.commit()
+    except Exception as error:
+        record_failure(spark, log_path or f"{path}-failures", run_date, error, network.audit_date)
+        raise
+    return runs.findings_of(spark, path, runs.newest(spark, path, run_date))
+
+
+def record_failure(spark: SparkSession, log_path: str, run_date: date, error: Exception, audit_date: str = "date") -> None:
+    """Appends one ERROR row about a whole run to the log of failures; never hides the failure itself."""
+    text = values.FAILURE_TEXT + error_text(error)
     try:
-        if sound:
-            shared = shared or findings_with_rule(network, sound, run_date)
-            # Gathered by rule: few files of good size, and AQE splits a rule with very many findings.
-            shared.hint("rebalance", "rule_id").write.mode("append").partitionBy("rule_id").parquet(path)
+        row = message_row(spark, "RUN", "ERROR", text, values.FAILED_PROCEDURE + "run_validation", None, run_date, audit_date)
+        row.select(COLUMNS).write.mode("append").parquet(log_path)
     except Exception:
-        log.exception("the shared job failed; running its %d rules one by one", len(sound))
-        start()
-        for rule in sound:
-            try:
-                _replace_rule(findings_with_rule(network, [rule], run_date), path, rule.rule_id)
-            except Exception as error:
-                log.exception("rule %s failed", rule.rule_id)
-                failures[rule.rule_id] = error
-    for rule in rules:
-        if rule.rule_id in failures:
-            row = failure_row(spark, network, rule, failures[rule.rule_id], run_date)
-            _replace_rule(row, path, rule.rule_id)
-
-    finished = clock().strftime(values.RUN_CLOCK)
-    row = message_row(spark, network, "RUN", "INFO", values.RUN_FINISHED, finished, None, run_date)
-    row.write.mode("append").partitionBy("rule_id").parquet(path)
-    return spark.read.parquet(path).select(COLUMNS)
-
-
-def _broken_rules(network: Network, rules: Sequence[Rule], run_date: date) -> dict[str, Exception]:
-    """The rules that cannot be built even alone, and why."""
-    errors: dict[str, Exception] = {}
-    for rule in rules:
-        try:
-            findings_with_rule(network, [rule], run_date)
-        except Exception as error:
-            errors[rule.rule_id] = error
-    return errors
+        log.exception("the failure of the run could not be recorded under %s", log_path)
 
 
-def _replace_rule(findings: DataFrame, path: str, rule_id: str) -> None:
-    """Writes one rule's part anew, over whatever a failed attempt may have left there."""
-    findings.drop("rule_id").write.mode("overwrite").parquet(f"{path}/rule_id={rule_id}")
+def run_failures(spark: SparkSession, log_path: str, audit_date: str = "date") -> DataFrame:
+    """The ERROR rows of runs that failed as a whole."""
+    return spark.read.schema(findings_schema(audit_date)).parquet(log_path)

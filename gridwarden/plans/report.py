@@ -1,4 +1,4 @@
-"""Reading back the findings of the last run."""
+"""Reading back the findings of stored runs."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwarden.functions import values
-from gridwarden.operators.findings import COLUMNS
+from gridwarden.plans.runs import findings_of, newest
 
 
 @dataclass(frozen=True)
@@ -20,15 +20,15 @@ class Report:
     message: str | None
 
 
-def read_findings(spark: SparkSession, path: str) -> DataFrame:
-    """All findings under `path`."""
-    return spark.read.parquet(path).select(COLUMNS)
+def read_findings(spark: SparkSession, path: str, run_date: date | None = None) -> DataFrame:
+    """The findings of the last complete run under `path`, or of the last one of a date."""
+    return findings_of(spark, path, newest(spark, path, run_date))
 
 
-def report(spark: SparkSession, path: str) -> Report:
+def report(spark: SparkSession, path: str, run_date: date | None = None) -> Report:
     """The findings under `path` with the message that a caller should show."""
     try:
-        findings = read_findings(spark, path)
+        findings = read_findings(spark, path, run_date)
         return Report(findings, values.NO_FINDINGS if findings.isEmpty() else None)
     except Exception as error:
         return Report(None, values.READ_FAILURE + str(error))

@@ -479,6 +479,12 @@ RULES: dict[str, Rule] = {
 BATCH: list[Rule] = [rule for rule in RULES.values() if rule.scheduled]
 
 
+def shared_sources(network: Network, rule: Rule) -> set[str]:
+    """What the rule reads that other rules may read in the same pass; the rule's own id if nothing."""
+    views = {WIDER_VIEW.get(view, view) for view, _ in (rule.checks(network) if rule.checks else [])}
+    return (views | ({"load points"} if rule.load_points else set())) or {rule.rule_id}
+
+
 def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
     """Marks of the rules, with one pass per view and one over the connections for all rules."""
     rules = list(rules)

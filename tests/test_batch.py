@@ -5,14 +5,29 @@ from datetime import date, datetime
 from itertools import product
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from helpers import RUN_DATE, network
 
 import __spark_entry__ as entry
-from gridwarden import BATCH, RULES, all_findings, read_findings, report, rule_findings, run_date_of, run_validation
+from gridwarden import (
+    BATCH,
+    RULES,
+    all_findings,
+    history,
+    read_findings,
+    report,
+    rule_findings,
+    run_date_of,
+    run_failures,
+    run_validation,
+    superseded_runs,
+)
 from gridwarden.functions import values
 from gridwarden.functions.phases import letters_outside, phase_count, phases_outside
 from gridwarden.operators.census import non_null_census, select_layers
-from gridwarden.plans.rules import Rule
+from gridwarden.operators.findings import Check
+from gridwarden.plans import batch, runs
+from gridwarden.plans.rules import Rule, findings_with_rule
 from gridwarden.sources.catalog import catalog_frames
 from gridwarden.sources.network import read_network, read_network_tables
 from gridwarden.sources.star import ADAPTERS, star_catalog, star_network
@@ -87,11 +102,91 @@ def test_every_rule_fails(spark, tmp_path):
 
 def test_report_messages(spark, tmp_path):
     assert report(spark, str(tmp_path / "nowhere")).message.startswith(values.READ_FAILURE)
-    findings = rule_findings(breakers(spark), "R12", RUN_DATE)
-    findings.write.parquet(str(tmp_path / "some"))
-    assert report(spark, str(tmp_path / "some")).message is None
-    findings.where("false").write.parquet(str(tmp_path / "none"))
-    assert report(spark, str(tmp_path / "none")).message == values.NO_FINDINGS
+    findings, path = findings_with_rule(breakers(spark), [RULES["R12"]], RUN_DATE), str(tmp_path / "some")
+    for rows_, message in ((findings, None), (findings.where("false"), values.NO_FINDINGS)):
+        name = runs.new_run(RUN_DATE)
+        runs.commit(spark, path, name, RUN_DATE, [runs.write_part(rows_, path, name, "all")])
+        assert report(spark, path).message == message
+    assert report(spark, path, date(2016, 1, 1)).message.startswith(values.READ_FAILURE)
+
+
+class Killed(BaseException):
+    """Stands for the end of the driver: no handler of the run sees it."""
+
+
+def test_a_run_killed_at_any_write_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    net = breakers(spark, puestoseccionadorfusible=[{"objectid": 2, "faseconexion": 4, "globalid": "A"}], unidadfusible=[])
+    path, rules = tmp_path / "run", [RULES["R06"], RULES["R12"]]
+    run(spark, net, path, [RULES["R12"]])
+    before, parquet = rows(read_findings(spark, str(path))), DataFrameWriter.parquet
+    monkeypatch.setattr(batch, "JOBS_AT_ONCE", 1)
+    for last in range(6):
+        left = [last]
+
+        def write(writer, target, *args, **options):
+            if not left[0]:
+                raise Killed
+            left[0] -= 1
+            parquet(writer, target, *args, **options)
+
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)
+        if last < 5:  # start, two groups, finish, manifest
+            with pytest.raises(Killed):
+                run(spark, net, path, rules)
+            assert rows(report(spark, str(path)).findings) == before
+        else:
+            run(spark, net, path, rules)
+    assert sum(rows(report(spark, str(path)).findings).values()) == 4
+    assert superseded_runs(spark, str(path)).count() == 1
+
+
+def test_only_the_failing_group_is_redone(spark, tmp_path, monkeypatch):
+    """A broken check on the breakers shares a job with R12; no other rule runs twice."""
+    net, path, written = star_network(spark, SF_DIR), str(tmp_path / "run"), []
+    bad = Check("X02", "x", "cast(raise_error('broken on purpose') as boolean)")
+    broken = Rule("X02", "broken_check", checks=lambda _: [("breaker", bad)], heading=("ADMS", "Broken check"))
+    write_part = runs.write_part
+    monkeypatch.setattr(runs, "write_part", lambda *args: written.append(args[3]) or write_part(*args))
+    found = run(spark, net, path, [*BATCH, broken])
+    groups = batch.rule_groups(net, [*BATCH, broken])
+    assert [{r.rule_id for r in g} for g in groups if "R12" in {r.rule_id for r in g}] == [{"R12", "X02"}]
+    assert runs.newest(spark, path)["alone"] == ["R12", "X02"]
+    assert len(written) == len(groups) + len(["start", "finish", "R12", "X02", "failure of X02"])
+    assert len([r for r in found.collect() if r["category"] == "ERROR"]) == 1
+    alone = all_findings(net, RUN_DATE).count()
+    assert found.count() == alone + 3
+
+
+def test_groups_share_what_they_read(spark):
+    groups = [{r.rule_id for r in group} for group in batch.rule_groups(star_network(spark, SF_DIR), BATCH)]
+    assert {"R08", "R09"} in groups and {"R02", "R04"} in groups and {"R12"} in groups
+    assert any({"R01", "R03", "R10", "R11", "R14"} <= group for group in groups)
+    assert sorted(r for group in groups for r in group) == sorted(r.rule_id for r in BATCH)
+
+
+def test_a_failure_of_the_storage_is_recorded_elsewhere(spark, tmp_path):
+    blocked, failures = tmp_path / "file", str(tmp_path / "log")
+    blocked.write_text("no folder")
+    for _ in range(2):
+        with pytest.raises(Exception):  # noqa: B017
+            run_validation(spark, breakers(spark), str(blocked), RUN_DATE, [RULES["R12"]], log_path=failures)
+    recorded = run_failures(spark, failures).collect()
+    assert [(r["category"], r["object_id"], r["detail_1"], r["run_date"]) for r in recorded] == [
+        ("ERROR", 0, "Procedimiento: run_validation", RUN_DATE)
+    ] * 2
+    assert all(r["rule"].startswith("ERROR: ") for r in recorded)
+
+
+def test_history_keeps_the_last_run_of_each_date(spark, tmp_path):
+    net, path, other = breakers(spark, conexionconsumidor=[{"objectid": 7}]), tmp_path / "run", date(2016, 1, 1)
+    run(spark, net, path, [RULES["R12"], RULES["R21"]])
+    run(spark, net, path, [RULES["R12"]], other)
+    run(spark, net, path, [RULES["R21"]])
+    assert run_date_of(read_findings(spark, str(path))) == RUN_DATE
+    for day, objects in ((RUN_DATE, {0}), (other, {0, 1})):
+        kept = read_findings(spark, str(path), day)
+        assert run_date_of(kept) == day and {r["object_id"] for r in kept.collect()} == objects
+    assert sorted(history(spark, str(path)).groupBy("run_date").count().collect()) == [(RUN_DATE, 3), (other, 3)]
 
 
 def test_run_date_must_be_one(spark):
