@@ -9,7 +9,7 @@
   taken out of its host's and domain's counts before they judge it.
 
 All counts are grouped aggregations with partial sums; only numbers per language reach the driver, the likelihoods of
-trigrams among them (256 KB a language).
+trigrams among them (512 KB a language).
 
 Defined cases: null or empty texts have no text evidence; items without a host, a suffix or a declared language lack
 that evidence only; declared languages that were never learned count as `other`; without any known language the answer
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from gridwarden.llm.common import is_small, stored, table
 from gridwarden.llm.hashing import BASE
+from gridwarden.operators.joins import spread_join
 
 SAMPLE = 500
-MOST_TRAIN_CHARS = 20_000
 BUCKETS = 1 << 16
 TEMPER = 0.1
 #: Pseudo-counts towards the wider level, and towards evenness in confusion counts.
@@ -83,10 +83,10 @@ def fitted(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray
     languages = sorted(row["lang"] for row in counts)
     shares = [(row["lang"], min(1.0, sample / row["count"])) for row in counts]
     shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))  # a row per language
-    chosen = known.where(F.char_length("text") <= MOST_TRAIN_CHARS).select("doc_id", "lang", "text").join(shares, "lang")
+    chosen = known.select("doc_id", "lang", "text").join(shares, "lang")
     chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     number = {language: i for i, language in enumerate(languages)}
-    seen = np.zeros((len(languages), BUCKETS), np.int32)
+    seen = np.zeros((len(languages), BUCKETS), np.int64)
     for row in trigram_sums(chosen).toLocalIterator():
         seen[number[row["lang"]], row["buckets"]] = row["counts"]
     table_of = np.empty((BUCKETS, len(languages)), np.float32)
@@ -137,7 +137,10 @@ def sums(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
 
 
 def joined(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
-    return rows.join(F.broadcast(counts) if is_small(counts, 100_000) else counts, key, "left")
+    """The rows with their key's counts; missing keys are dealt over tasks, and AQE can split a hot one."""
+    if is_small(counts, 100_000):
+        return rows.join(F.broadcast(counts), key, "left")
+    return spread_join(rows, counts.withColumnRenamed(key, "key__"), key, "key__", "evidence")
 
 
 def plus(left: Column, right: Column) -> Column:

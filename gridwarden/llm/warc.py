@@ -13,7 +13,7 @@ the others revisit it; smaller payloads are all responses.
 Defined cases: null html is an empty payload; a null url becomes `urn:page:<id>`, control characters in a url are
 percent-encoded; a null page_id is kept and is never what others refer to, unless no other has the payload (then all
 are responses); rows that repeat the smallest page_id with its payload are responses too; an empty table gives no
-records; other columns are not read.
+records, in one archive without content; other columns are not read; payloads of any length are one record each.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from datetime import datetime, timezone
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +106,8 @@ def write_warc(pages: DataFrame, path: str, revisit_min_bytes: int = 0, date: st
 
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        # Spark opens the first partition's file even if it has no rows: a member without content keeps it valid gzip.
+        wrote = TaskContext.get().partitionId() > 0
         for batch in batches:
             for page_id, url, payload, refers_to in zip(*(batch.column(i) for i in range(4)), strict=True):
                 data = member(page_id.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), date)
@@ -112,8 +115,8 @@ def write_warc(pages: DataFrame, path: str, revisit_min_bytes: int = 0, date: st
                 size += len(data)
                 if size >= FILE_BYTES:
                     yield pa.RecordBatch.from_pydict({"archive": pa.array([b"".join(held)], pa.binary())})
-                    held, size = [], 0
-        if held:
+                    held, size, wrote = [], 0, True
+        if held or not wrote:
             yield pa.RecordBatch.from_pydict({"archive": pa.array([b"".join(held)], pa.binary())})
 
     (

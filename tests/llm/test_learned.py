@@ -422,3 +422,16 @@ def test_pipeline_drops_lines_on_three_pages_in_a_hundred(spark):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
     kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF_DIR).collect()}
     assert kept == {i: f"few\nown {i}" if 6 <= i < 10 else f"own {i}" for i in range(200)}
+
+
+def test_a_language_of_long_texts_only_is_learned(spark, monkeypatch):
+    """Whole texts are counted, whatever their length; so too where host counts are too many to broadcast."""
+    german, english = "der die das und nicht ein schnelles wort ", "the and of to in is that word "
+    rows = [(i, german * 700, "de") for i in range(20)] + [(100 + i, english * 3, "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    languages, table_of = language.fitted(docs)
+    items = docs.selectExpr("doc_id", "text", "cast(null as string) declared", "cast(null as string) suffix", "cast(null as string) domain", "'h' || doc_id % 3 host")
+    for small in (True, False):
+        monkeypatch.setattr(language, "is_small", lambda *_, small=small: small)
+        found = {r.doc_id: r.language for r in language.identify(items, languages, table_of).collect()}
+        assert found == {i: lang for i, _, lang in rows}
