@@ -121,6 +121,8 @@ RUN_STARTED = "Inicio de Proceso"
 RUN_FINISHED = "Fin de Proceso"
 RUN_CLOCK = "%d/%m/%Y %H:%M:%S"
 FAILURE_TEXT = "ERROR: "
+UNREADABLE_VALUES = "ERROR: valores no legibles: "
+UNREADABLE_TABLE, UNREADABLE_COLUMN = "Tabla: ", "Columna: "
 FAILED_PROCEDURE = "Procedimiento: "
 NO_FINDINGS = "NO EXISTE REGISTROS DE ERROR EN ArcGIS"
 READ_FAILURE = "Error: "

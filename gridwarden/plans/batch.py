@@ -78,7 +78,7 @@ class Run:
     """One run while it is written: its parts so far, and what failed."""
 
     def __init__(self, spark: SparkSession, network: Network, path: str, run_date: date):
-        self.spark, self.network, self.path, self.run_date = spark, network, path, run_date
+        self.spark, self.network, self.path, self.run_date = spark, network.traced(), path, run_date
         self.name = runs.new_run(run_date)
         self.parts: list[str] = []
         self.alone: list[str] = []
@@ -112,6 +112,13 @@ class Run:
         row = failure_row(self.spark, rule, error, self.run_date, self.network.audit_date)
         self.write(row, f"failure-{rule.rule_id}")
 
+    def report_unreadable(self) -> None:
+        """One ERROR row per column with values that could not be read, and so were judged as missing."""
+        for number, (table, column, rows) in enumerate(self.network.unreadable()):
+            texts = values.UNREADABLE_VALUES + str(rows), values.UNREADABLE_TABLE + table, values.UNREADABLE_COLUMN + column
+            row = message_row(self.spark, "READ", "ERROR", *texts, self.run_date, self.network.audit_date)
+            self.write(row, f"unreadable-{number}")
+
     def commit(self) -> None:
         runs.commit(self.spark, self.path, self.name, self.run_date, sorted(self.parts), sorted(self.alone), self.network.audit_date)
 
@@ -129,7 +136,8 @@ def run_validation(
 
     Rules that share views are one job and one part of the run. Where a job fails, its rules are written one by one: a
     rule that fails leaves one ERROR row, the others their findings. Until the run is complete, `path` gives the run
-    before it. Findings of other run dates are kept (`history`).
+    before it. Findings of other run dates are kept (`history`). Values that cannot be read, such as a code `2.5`, are
+    counted while the rules scan the tables; each column that has some leaves an ERROR row.
 
     A failure of the run as a whole, such as of its storage, leaves an ERROR row under `log_path`, a second place that
     should not share the first one's fate (`<path>-failures` if not given), and is raised.
@@ -137,9 +145,10 @@ def run_validation(
     try:
         run = Run(spark, network, path, run_date)
         run.message("start", values.RUN_STARTED, clock())
-        groups = rule_groups(network, rules)
+        groups = rule_groups(run.network, rules)
         with ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
             list(jobs.map(run.group, range(len(groups)), groups))
+        run.report_unreadable()
         run.message("finish", values.RUN_FINISHED, clock())
         run.commit()
     except Exception as error:

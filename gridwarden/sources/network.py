@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 from functools import cache, cached_property
+from threading import Thread
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from gridwarden.operators.joins import Lookup
 
+#: How long counts of a finished job may take to arrive.
+TRACE_SECONDS = 10
+
 # Column kinds: long and string are cast; number and as_is keep the source's numeric type, and a number's text becomes
 # a decimal; audit_date is the network's. An empty text is NULL, as in the source of the rules.
 AUDIT = {
@@ -102,14 +107,61 @@ class Network:
         self.load = cache(load)
         self.audit_date = audit_date
         self._tables: dict[str, DataFrame] = {}
+        self._traces: dict[str, Observation] | None = None
+
+    def traced(self) -> Network:
+        """The same network, which counts the values that cannot be read while jobs scan its tables; see `unreadable`."""
+        network = Network(self.load, self.audit_date)
+        network._traces = {}
+        return network
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            frame = self.load(name)
-            types = {f.name.lower(): f.dataType.simpleString() for f in frame.schema}
-            self._tables[name] = frame.selectExpr(*[self._column(name, c, k, types) for c, k in TABLES[name].items()])
+            frame = self.declared(name)
+            lost = self._lost_values(name) if self._traces is not None else {}
+            if lost:
+                trace = self._traces[name] = Observation(f"unreadable {name}")
+                counted = [F.expr(f"count_if({condition})").alias(column) for column, condition in lost.items()]
+                frame = self._cast(name, self.load(name).observe(trace, *counted))
+            self._tables[name] = frame
         return self._tables[name]
 
+    def declared(self, name: str) -> DataFrame:
+        """A table without a trace, for what scans a part of it only."""
+        return self._cast(name, self.load(name))
+
+    def _cast(self, name: str, frame: DataFrame) -> DataFrame:
+        types = self._types(name)
+        return frame.selectExpr(*[self._column(name, c, k, types) for c, k in TABLES[name].items()])
+
+    def _types(self, name: str) -> dict[str, str]:
+        return {f.name.lower(): f.dataType.simpleString() for f in self.load(name).schema}
+
+    def _lost_values(self, name: str) -> dict[str, str]:
+        """Per column whose values are converted, which rows hold a value that turns NULL."""
+        types, lost = self._types(name), {}
+        for column, kind in TABLES[name].items():
+            read = self._column(name, column, kind, types).removesuffix(f" as {column}")
+            if read.startswith("try_cast("):
+                held = f"nullif({column}, '')" if types[column] == "string" else column
+                lost[column] = f"{held} is not null and {read} is null"
+        return lost
+
+    def unreadable(self) -> list[tuple[str, str, int]]:
+        """(table, column, rows) of the values that could not be read, of the traced tables that jobs have scanned.
+
+        The counts come with the jobs' own results; nothing is scanned for them. A table that no job has finished
+        scanning has none, which shows by waiting in vain.
+        """
+        found = []
+        for name, trace in sorted((self._traces or {}).items()):
+            counts: dict[str, int] = {}
+            waiting = Thread(target=lambda trace=trace, counts=counts: counts.update(trace.get), daemon=True)
+            waiting.start()
+            waiting.join(TRACE_SECONDS)
+            found += [(name, column, rows) for column, rows in sorted(counts.items()) if rows]
+        return found
+
     def _column(self, table: str, name: str, kind: str, types: Mapping[str, str]) -> str:
         if name not in types:
             raise ValueError(f"table {table} has no column {name}")
@@ -131,17 +183,17 @@ class Network:
 
     @cached_property
     def feeders(self) -> Lookup:
-        return Lookup(self["alimentador"], "alimentadorid", "descripcion")
+        return Lookup(self.declared("alimentador"), "alimentadorid", "descripcion")
 
     @cached_property
     def own_parents(self) -> Lookup:
         """The circuits whose breaker names its own circuit as its parent."""
-        breakers = self["puestoprotecciondinamico"].where("circuitsourceguid = parentcircuitsourceguid")
+        breakers = self.declared("puestoprotecciondinamico").where("circuitsourceguid = parentcircuitsourceguid")
         return Lookup(breakers, "circuitsourceguid", "objectid")
 
     @cached_property
     def structures(self) -> Lookup:
-        return Lookup(self["catalogoestructura"], "codigoestructura", "descripcioncorta")
+        return Lookup(self.declared("catalogoestructura"), "codigoestructura", "descripcioncorta")
 
 
 def network_of(frames: Mapping[str, DataFrame], audit_date: str = "date") -> Network:

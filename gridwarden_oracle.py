@@ -366,6 +366,35 @@ def run_row(category: str, rule: str, detail_1: str, detail_2: str | None = None
     )
 
 
+# Code columns as texts for the query `unreadable_values`, and which rows hold a text that is no code there.
+TEXT_CODES = {
+    "puestocorrectorfactorpotencia": {
+        "faseconexion": "case when objectid % 10 = 0 then '2.5' when objectid % 11 = 0 then '1A' when objectid % 13 = 0 then '' "
+        "else cast(faseconexion as string) end"
+    },
+    "puestotransfdistribucion": {
+        "faseconexion": "cast(faseconexion as string)",
+        "subtipo": "case when objectid % 7 = 0 then 'x' else cast(subtipo as string) end",
+    },
+}
+NO_CODES = {
+    ("puestocorrectorfactorpotencia", "faseconexion"): "objectid % 10 = 0 or objectid % 11 = 0",
+    ("puestotransfdistribucion", "subtipo"): "objectid % 7 = 0",
+}
+
+
+def unreadable_sql() -> str:
+    """One ERROR row per column that holds values without a code."""
+    return with_ctes(
+        _union(
+            f"select * replace ('{v.UNREADABLE_VALUES}' || (select count(*) from {table} where {no_code}) as rule) "
+            f"from ({run_row('ERROR', '', v.UNREADABLE_TABLE + table, v.UNREADABLE_COLUMN + column)}) "
+            f"where exists (select 1 from {table} where {no_code})"
+            for (table, column), no_code in NO_CODES.items()
+        )
+    )
+
+
 def findings_body(rule_ids: Iterable[str]) -> str:
     """Findings of the rules, without the views."""
     return _union(

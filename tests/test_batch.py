@@ -6,7 +6,8 @@ from itertools import product
 
 import pytest
 from pyspark.sql import DataFrameWriter
-from helpers import RUN_DATE, network
+from pyspark.sql import functions as F
+from helpers import RUN_DATE, network, table
 
 import __spark_entry__ as entry
 from gridwarden import (
@@ -29,7 +30,7 @@ from gridwarden.operators.findings import Check
 from gridwarden.plans import batch, runs
 from gridwarden.plans.rules import Rule, findings_with_rule
 from gridwarden.sources.catalog import catalog_frames
-from gridwarden.sources.network import read_network, read_network_tables
+from gridwarden.sources.network import Network, read_network, read_network_tables
 from gridwarden.sources.star import ADAPTERS, star_catalog, star_network
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -177,6 +178,38 @@ def test_a_failure_of_the_storage_is_recorded_elsewhere(spark, tmp_path):
     assert all(r["rule"].startswith("ERROR: ") for r in recorded)
 
 
+def test_values_that_cannot_be_read_leave_a_row(spark, tmp_path):
+    """Texts where codes and dates are expected; the run's only job over the table counts them."""
+    frame = table(
+        spark,
+        "puestoprotecciondinamico",
+        [
+            {"objectid": "1", "faseconexion": "2.5", "fecharegistro": "2015-01-01"},
+            {"objectid": "2", "faseconexion": "1A", "fecharegistro": "soon"},
+            {"objectid": "3", "faseconexion": "", "fecharegistro": None},
+            {"objectid": "4", "faseconexion": " 7 ", "voltaje": "7960"},
+        ],
+        objectid="string", faseconexion="string", fecharegistro="string", voltaje="string",
+    )
+    found = run(spark, network(spark, puestoprotecciondinamico=frame), tmp_path / "run", [RULES["R12"]])
+    errors = sorted((r["rule"], r["detail_1"], r["detail_2"]) for r in found.collect() if r["category"] == "ERROR")
+    assert errors == [
+        ("ERROR: valores no legibles: 1", "Tabla: puestoprotecciondinamico", "Columna: fecharegistro"),
+        ("ERROR: valores no legibles: 2", "Tabla: puestoprotecciondinamico", "Columna: faseconexion"),
+    ]
+    again = run(spark, network(spark, puestoprotecciondinamico=frame.where("objectid = 4")), tmp_path / "run", [RULES["R12"]])
+    assert not again.where("category = 'ERROR'").count()
+
+
+def test_counting_unreadable_values_scans_nothing_more(spark):
+    """The counts stand in the same plan, over the same number of scans."""
+    base = star_network(spark, SF_DIR)
+    texts = Network(lambda n: base.load(n).withColumns({c: F.col(c).cast("string") for c in base.load(n).columns if c in ("faseconexion", "subtipo")}))
+    plans = [all_findings(net, RUN_DATE, [RULES["R01"], RULES["R12"]])._jdf.queryExecution().executedPlan().toString() for net in (texts, texts.traced())]
+    assert plans[0].count("Scan parquet") == plans[1].count("Scan parquet") > 0
+    assert "CollectMetrics" in plans[1] and "CollectMetrics" not in plans[0]
+
+
 def test_history_keeps_the_last_run_of_each_date(spark, tmp_path):
     net, path, other = breakers(spark, conexionconsumidor=[{"objectid": 7}]), tmp_path / "run", date(2016, 1, 1)
     run(spark, net, path, [RULES["R12"], RULES["R21"]])
