@@ -26,15 +26,23 @@ def with_child_totals(parents: DataFrame, key: str, children: DataFrame, foreign
     return spread_join(parents, child_totals(children, foreign_key, **totals), key, "_child_key", "objectid")
 
 
-def repeated_child_value(parents: DataFrame, key: str, children: DataFrame, foreign_key: str, value: str) -> DataFrame:
-    """Parents with a value that several of their children share, as `value` and `repeats`; NULL is a value."""
-    repeated = (
+def with_repeated_values(
+    parents: DataFrame, key: str, children: DataFrame, foreign_key: str, value: str, **totals: str
+) -> DataFrame:
+    """As `with_child_totals`, with `repeated`: the values that several children of a parent share, as an array of
+    `value` and `repeats`; NULL is a value.
+
+    Children are counted per parent and value, and those counts are summed up again per parent. So the totals must be
+    counts or sums. A parent's array holds as many entries as it has values, such as codes, that repeat.
+    """
+    counted = (
         children.where(f"{foreign_key} is not null")
-        .groupBy(F.col(foreign_key).alias("_child_key"), F.col(value).alias("value"))
-        .agg(F.count(F.lit(1)).alias("repeats"))
-        .where("repeats > 1")
+        .groupBy(F.col(foreign_key).alias("_child_key"), F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_repeats"), *[F.expr(total).alias(name) for name, total in totals.items()])
     )
-    return inner_join(parents, repeated, key, "_child_key")
+    repeated = "collect_list(if(_repeats > 1, named_struct('value', _value, 'repeats', _repeats), null))"
+    summed = counted.groupBy("_child_key").agg(F.expr(repeated).alias("repeated"), *[F.sum(name).alias(name) for name in totals])
+    return spread_join(parents, summed, key, "_child_key", "objectid")
 
 
 def wrong_parent(children: DataFrame, parent_key: str, parents: Lookup) -> DataFrame:

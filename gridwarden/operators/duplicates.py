@@ -24,19 +24,19 @@ def rows_missing_key(rows: DataFrame, key: str, extra: str = "true") -> DataFram
     return rows.where(f"{key} is null and {extra}").groupBy("objectid").agg(F.count(F.lit(1)).alias("total"))
 
 
-def matched_totals(left: DataFrame, right: DataFrame, key: str, state: str) -> DataFrame:
-    """The number of joined rows on `key`, as `pairs`, per key and value of the right side's `state`.
+def matched_totals(left: DataFrame, right: DataFrame, key: str, matches: Mapping[str, str]) -> DataFrame:
+    """Per key of the left side, NULL among them, its rows as `_rows`, and for each name the joined rows on `key` whose
+    right side meets the condition; NULL where nothing is joined.
 
     Each side is counted by key first, so the join pairs counts, not rows.
     """
-    lefts = left.where(f"{key} is not null").groupBy(key).agg(F.count(F.lit(1)).alias("_left"))
-    rights = right.where(f"{key} is not null").groupBy(key, state).agg(F.count(F.lit(1)).alias("_right"))
-    return lefts.join(rights, key).selectExpr(state, "_left * _right as pairs")
+    counted = [F.expr(f"count_if({condition})").alias(f"_{name}") for name, condition in matches.items()]
+    lefts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    rights = right.where(f"{key} is not null").groupBy(F.col(key).alias("_key")).agg(*counted)
+    pairs = [f"_rows * `_{name}` as `{name}`" for name in matches]
+    return lefts.join(rights, F.col(key) == F.col("_key"), "left").selectExpr(key, "_rows", *pairs)
 
 
-def conditional_summary(counted: DataFrame, total: str, pivots: Mapping[str, str]) -> DataFrame:
-    """One row: the total, and the total of the rows that meet each condition."""
-    return counted.agg(
-        F.expr(f"sum({total})").alias("total"),
-        *[F.expr(f"sum(if({condition}, {total}, 0))").alias(name) for name, condition in pivots.items()],
-    )
+def conditional_summary(rows: DataFrame, sums: Mapping[str, str]) -> DataFrame:
+    """One row: the sum of each expression, NULL over nothing."""
+    return rows.agg(*[F.expr(f"sum({value})").alias(name) for name, value in sums.items()])

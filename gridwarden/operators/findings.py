@@ -51,7 +51,8 @@ def findings_schema(audit_date: str = "date") -> T.StructType:
 class Check:
     """A condition on the rows of one table, and the finding it makes; details are expressions.
 
-    `copies` is how often a flagged row is reported, such as once per child.
+    `copies` is how often a flagged row is reported, such as once per child. With `each`, an array, it is reported once
+    per element, which the details know as `_each`; a view has one such array at most.
     """
 
     rule_id: str
@@ -60,6 +61,7 @@ class Check:
     detail_1: str = NO_TEXT
     detail_2: str = NO_TEXT
     copies: str = "1L"
+    each: str | None = None
 
 
 def marks(
@@ -107,10 +109,17 @@ def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     repeated = any(check.copies != Check.copies for check in checks)
     if len(checks) == 1 and len(only.flagged) <= FILTER_LENGTH:
         texts = literal(only.rule_id), literal(only.element), only.detail_1, only.detail_2
-        return marks(rows.where(only.flagged), *texts, *([f"{only.copies} as copies"] if repeated else []))
+        flagged = rows.where(only.flagged)
+        flagged = flagged.selectExpr("*", f"explode({only.each}) as _each") if only.each else flagged
+        return marks(flagged, *texts, *([f"{only.copies} as copies"] if repeated else []))
     failed = ", ".join(f"if({check.flagged}, {i}, null)" for i, check in enumerate(checks))
     hits = rows.selectExpr("*", f"explode(array({failed})) as _check").where("_check is not null")
 
+    arrays = {check.each for check in checks if check.each}
+    for each in arrays:
+        listed = ", ".join(str(i) for i, check in enumerate(checks) if check.each)
+        hits = hits.selectExpr("*", f"explode(if(_check in ({listed}), {each}, array(get({each}, -1)))) as _each")
+
     def constant(values: list[str]) -> str:
         return literal(values[0]) if len(set(values)) == 1 else f"get(array({', '.join(map(literal, values))}), _check)"
 

@@ -20,7 +20,7 @@ from gridwarden.functions.phases import letters_outside, phase_count, phase_lett
 from gridwarden.functions.text import joined, literal, mapped, number_text, piece, to_power
 from gridwarden.operators import checks as c
 from gridwarden.operators.checks import Message
-from gridwarden.operators.children import child_totals, repeated_child_value, with_child_totals, wrong_parent
+from gridwarden.operators.children import child_totals, with_child_totals, with_repeated_values, wrong_parent
 from gridwarden.operators.duplicates import conditional_summary, duplicate_key, matched_totals, rows_missing_key
 from gridwarden.operators.findings import COLUMNS, MARKS, NO_TEXT, Check, as_findings, flag_rows, marks, summary_marks
 from gridwarden.operators.joins import inner_join, repeat_rows, spread_join
@@ -51,11 +51,12 @@ def power_totals(units: DataFrame) -> dict[str, str]:
 
 def transformer_units(network: Network) -> DataFrame:
     units = network["unidadtransfdistribucion"]
-    return with_child_totals(
+    return with_repeated_values(
         network["puestotransfdistribucion"],
         "globalid",
         units,
         "puestotransfdistglobalid",
+        PHASE,
         _rows="count(1)",
         _units="count(objectid)",
         _phases=f"sum(coalesce({PHASE}, 0))",
@@ -98,6 +99,28 @@ def with_structures(network: Network, table: str) -> DataFrame:
     return network.structures.join_count(spans, "codigoconductorneutro", "objectid", "_neutral_entries")
 
 
+def no_feature(network: Network, summary: DataFrame) -> DataFrame:
+    """A row that stands for no feature: object 0, no feeder and no audit values."""
+    kinds = {name: network.audit_date if kind == "audit_date" else kind for name, kind in AUDIT.items()}
+    nothing = [f"cast(null as {kind}) as {name}" for name, kind in {"alimentadorid": "string", **kinds}.items()]
+    return summary.selectExpr("*", "0L as objectid", *nothing)
+
+
+def connection_total(network: Network) -> DataFrame:
+    """The number of connections without a client code."""
+    return no_feature(network, network["conexionconsumidor"].where("codigocliente is null").selectExpr("count(1) as _no_code"))
+
+
+def connection_totals(network: Network) -> DataFrame:
+    """That number, and the connections of accounts without a meter, in all and by state."""
+    unmetered = network["atributosconsumidor"].where("nummedidor is null")
+    states = {name: f"edccod = {literal(code)}" for name, code in values.CONNECTION_STATES.items()}
+    counted = matched_totals(network["conexionconsumidor"], unmetered, "codigocliente", {"_all": "true", **states})
+    missing = "if(codigocliente is null, _rows, 0)"
+    summary = conditional_summary(counted, {"_missing": missing, "_all": "_all", **{name: f"`{name}`" for name in states}})
+    return no_feature(network, summary.selectExpr("*", "coalesce(_missing, 0) as _no_code"))
+
+
 VIEWS: dict[str, Callable[[Network], DataFrame]] = {
     "medium_overhead": lambda n: n["tramodistribucionaereo"],
     "medium_underground": lambda n: n["tramodistribucionsubterraneo"],
@@ -114,6 +137,8 @@ VIEWS: dict[str, Callable[[Network], DataFrame]] = {
     "fuse_switch": lambda n: n["puestoseccionadorfusible"],
     "fuse_switch_units": fuse_switch_units,
     "fuse_switch_structure": fuse_switch_structure,
+    "connection_total": connection_total,
+    "connection_totals": connection_totals,
 }
 
 # Views with the same rows and more columns: a batch that needs both reads only the wider one.
@@ -122,6 +147,7 @@ WIDER_VIEW = {
     "fuse_switch": "fuse_switch_units",
     "medium_overhead": "medium_overhead_structures",
     "medium_underground": "medium_underground_structures",
+    "connection_total": "connection_totals",
 }
 
 Checks = list[tuple[str, Check]]
@@ -303,75 +329,90 @@ def station_vs_unit_phase(network: Network) -> Checks:
     return [("transformer_units", Check("R15", TRANSFORMER, flagged, detail, parallel.value))]
 
 
+def bank_phases(network: Network) -> Checks:
+    group = mapped("subtipo", values.TRANSFORMER_GROUP)
+    station = joined(group, "' tiene Fase Conexion = '", phase_letters(PHASE))
+    repeats = literal(f" veces;{values.PARALLEL_NOTE}")
+    unit = joined("'Fase '", phase_letters("_each.value"), "' se repite en la unidad '", "_each.repeats", repeats)
+    flagged = f"(subtipo in ({', '.join(map(str, values.BANK_SUBTYPES))}) and size(repeated) > 0)"
+    return [("transformer_units", Check("R16", TRANSFORMER, flagged, station, unit, each="repeated"))]
+
+
+RECORDS = "' registros'"
+
+
+def records(total: str) -> str:
+    return joined("'Existen '", total, RECORDS)
+
+
+def no_meter(network: Network) -> Checks:
+    by_state = "concat_ws('  ', " + ", ".join(joined(literal(f"{name}="), f"`{name}`") for name in values.CONNECTION_STATES) + ")"
+    return [("connection_totals", Check("R20", CONNECTION, "true", records("_all"), by_state))]
+
+
+def no_client_code(network: Network) -> Checks:
+    return [("connection_total", Check("R21", CONNECTION, "true", records("_no_code")))]
+
+
 # --- Rules with a plan of their own -------------------------------------------------------------
 
 
-def misphased(network: Network, table: str, element: str, *key: str) -> DataFrame:
-    """Marks of the table's features with a phase that their transformer lacks."""
+FED = ["objectid", "alimentadorid", PHASE, "parentcircuitsourceguid", *AUDIT]
+#: What a load point's mark carries besides: its key, and which of its connections count; other features count once.
+COUNTED = ["globalid", "once", "private_only"]
+
+
+def fed_features(network: Network, elements: dict[str, str], load_points: DataFrame) -> DataFrame:
+    """Features of several tables with their parent circuit, and load points, which count by their connections."""
+
+    def taken(frame: DataFrame, element: str, *counted: str) -> DataFrame:
+        return frame.selectExpr(*FED, f"{literal(element)} as _element", *counted)
+
+    plain = "cast(null as string) as globalid", "true as once", "false as private_only"
+    frames = [taken(network[table], element, *plain) for table, element in elements.items()]
+    private_only = f"coalesce(subtipo = {values.TOTALIZER_LOAD}, false)"
+    return reduce(DataFrame.unionByName, [*frames, taken(load_points, "Punto Carga", "globalid", "false as once", f"{private_only} as private_only")])
+
+
+def misphased(network: Network) -> DataFrame:
+    """Marks of the features with a phase that their transformer lacks."""
     # A full ABC transformer lacks no phase, and a feature without a phase code is never flagged.
     transformers = network["puestotransfdistribucion"].where(f"{PHASE} between 1 and 6")
     transformers = transformers.selectExpr(
         "circuitsourceguid as _source", f"{PHASE} as _transformer_phase", "alimentadorid as _transformer_feeder"
     )
-    features = network[table].where(f"{PHASE} between 1 and 7").drop("alimentadorid")
-    fed = inner_join(features, transformers, "parentcircuitsourceguid", "_source")
+    features = fed_features(network, {"luminaria": "Luminaria"}, network["puntocarga"]).where(f"{PHASE} between 1 and 7")
+    fed = inner_join(features.drop("alimentadorid"), transformers, "parentcircuitsourceguid", "_source")
     fed = fed.where(phases_outside(PHASE, "_transformer_phase")).withColumnRenamed("_transformer_feeder", "alimentadorid")
     texts = [
         joined(literal(values.CLIENT_PHASE), phase_letters(PHASE)),
         joined(literal(values.TRANSFORMER_PHASE), phase_letters("_transformer_phase")),
     ]
-    return marks(fed, "'R02'", literal(element), *texts, *key)
-
-
-def misphased_lights(network: Network) -> DataFrame:
-    return misphased(network, "luminaria", "Luminaria")
-
+    return marks(fed, "'R02'", "_element", *texts, "globalid", "once", "false as private_only")
 
-def misphased_loads(network: Network) -> DataFrame:
-    return misphased(network, "puntocarga", "Punto Carga", "globalid", "false as private_only")
 
-
-def breaker_fed_features(network: Network) -> DataFrame:
+def breaker_fed(network: Network) -> DataFrame:
+    """Marks of the features that hang from a breaker which is its own parent."""
     elements = {
         "tramobajatensionaereo": "Tramo Baja Aereo",
         "tramobajatensionsubterraneo": "Tramo Baja Subterraneo",
         "luminaria": "Luminaria",
     }
-    columns = ["objectid", "alimentadorid", "parentcircuitsourceguid", *AUDIT]
-    plain = [network[table].selectExpr(*columns, f"{literal(element)} as _element") for table, element in elements.items()]
-    fed = wrong_parent(reduce(DataFrame.union, plain), "parentcircuitsourceguid", network.own_parents)
-    return marks(fed, "'R04'", "_element")
-
-
-def breaker_fed_loads(network: Network) -> DataFrame:
     loads = network["puntocarga"].where(f"subtipo <> {values.MEDIUM_VOLTAGE_LOAD}")
-    fed = wrong_parent(loads, "parentcircuitsourceguid", network.own_parents)
-    private_only = f"subtipo = {values.TOTALIZER_LOAD} as private_only"
-    return marks(fed, "'R04'", "'Punto Carga'", NO_TEXT, NO_TEXT, "globalid", private_only)
+    fed = wrong_parent(fed_features(network, elements, loads), "parentcircuitsourceguid", network.own_parents)
+    return marks(fed, "'R04'", "_element", NO_TEXT, NO_TEXT, *COUNTED)
 
 
-def per_connection(loads: DataFrame, network: Network) -> DataFrame:
-    """Marks of load points with, as `copies`, the number of their connections that count.
+def per_connection(found: DataFrame, network: Network) -> DataFrame:
+    """Marks with `copies`: for load points the number of their connections that count, 1 for other features.
 
     Where `private_only`, a connection of a public project, or of none, does not count.
     """
     private = f"count_if(proyectoconstruccion <> {literal(values.PUBLIC_PROJECT)})"
     totals = child_totals(network["conexionconsumidor"], "puntocargaglobalid", _all="count(1)", _private=private)
-    counted = spread_join(loads, totals, "globalid", "_child_key", "object_id", "inner")
-    copies = "if(private_only, _private, _all) as copies"
-    return counted.selectExpr(*[name for name in loads.columns if name not in ("globalid", "private_only")], copies)
-
-
-def bank_phases(network: Network) -> DataFrame:
-    banks = network["puestotransfdistribucion"].where(f"subtipo in ({', '.join(map(str, values.BANK_SUBTYPES))})")
-    units = network["unidadtransfdistribucion"]
-    repeated = repeated_child_value(banks, "globalid", units, "puestotransfdistglobalid", PHASE)
-    group = mapped("subtipo", values.TRANSFORMER_GROUP)
-    station = joined(group, "' tiene Fase Conexion = '", phase_letters(PHASE))
-    unit = joined(
-        "'Fase '", phase_letters("value"), "' se repite en la unidad '", "repeats", literal(f" veces;{values.PARALLEL_NOTE}")
-    )
-    return marks(repeated, "'R16'", literal(TRANSFORMER), station, unit)
+    counted = spread_join(found, totals, "globalid", "_child_key", "object_id")
+    copies = "if(once, 1L, coalesce(if(private_only, _private, _all), 0L)) as copies"
+    return counted.selectExpr(*[name for name in found.columns if name not in COUNTED], copies)
 
 
 def repeated_code(rule_id: str, code: str, label: str, distinct: bool = False) -> Callable[[Network], DataFrame]:
@@ -395,27 +436,10 @@ def repeated_code(rule_id: str, code: str, label: str, distinct: bool = False) -
     return plan
 
 
-RECORDS = joined("'Existen '", "total", "' registros'")
-
-
-def no_meter(network: Network) -> DataFrame:
-    unmetered = network["atributosconsumidor"].where("nummedidor is null")
-    counted = matched_totals(network["conexionconsumidor"], unmetered, "codigocliente", "edccod")
-    states = {name: f"edccod = {literal(code)}" for name, code in values.CONNECTION_STATES.items()}
-    summary = conditional_summary(counted, "pairs", states)
-    by_state = "concat_ws('  ', " + ", ".join(joined(literal(f"{name}="), f"`{name}`") for name in states) + ")"
-    return summary_marks(summary, "R20", CONNECTION, "0", RECORDS, network.audit_date, by_state)
-
-
-def no_client_code(network: Network) -> DataFrame:
-    total = network["conexionconsumidor"].where("codigocliente is null").selectExpr("count(1) as total")
-    return summary_marks(total, "R21", CONNECTION, "0", RECORDS, network.audit_date)
-
-
 def missing_key(rule_id: str, key: str, extra: str = "true") -> Callable[[Network], DataFrame]:
     def plan(network: Network) -> DataFrame:
         missing = rows_missing_key(network["conexionconsumidor"], key, extra)
-        return summary_marks(missing, rule_id, CONNECTION, "objectid", RECORDS, network.audit_date)
+        return summary_marks(missing, rule_id, CONNECTION, "objectid", records("total"), network.audit_date)
 
     return plan
 
@@ -427,8 +451,8 @@ def missing_key(rule_id: str, key: str, extra: str = "true") -> Callable[[Networ
 class Rule:
     """One rule. Rules with `scheduled` unset run only when named.
 
-    `checks` judge the rows of views, `plan` gives marks, and `load_points` gives marks of load
-    points that stand for one finding per customer connection.
+    `checks` judge the rows of views, `plan` gives marks, and `load_points` gives marks of which those of load points
+    stand for one finding per customer connection.
     """
 
     rule_id: str
@@ -451,9 +475,9 @@ RULES: dict[str, Rule] = {
     rule.rule_id: rule
     for rule in [
         Rule("R01", "phase_vs_subtype", phase_vs_subtype),
-        Rule("R02", "feature_vs_transformer", plan=misphased_lights, load_points=misphased_loads),
+        Rule("R02", "feature_vs_transformer", load_points=misphased),
         Rule("R03", "feeder_info", feeder_info),
-        Rule("R04", "fed_by_breaker", plan=breaker_fed_features, load_points=breaker_fed_loads),
+        Rule("R04", "fed_by_breaker", load_points=breaker_fed),
         Rule("R05", "switch_structure", switch_structure),
         Rule("R06", "switch_units_vs_phase", units_vs_phase("R06", "fuse_switch_units", SWITCH)),
         Rule("R07", "fuse_capacity_missing", capacity_missing),
@@ -465,12 +489,12 @@ RULES: dict[str, Rule] = {
         Rule("R13", "taps_and_sides", taps_and_sides),
         Rule("R14", "units_vs_subtype", units_vs_subtype),
         Rule("R15", "station_vs_unit_phase", station_vs_unit_phase),
-        Rule("R16", "bank_unit_phases", plan=bank_phases),
+        Rule("R16", "bank_unit_phases", bank_phases),
         Rule("R17", "transformer_unit_power", unit_power("R17", "transformer_units", TRANSFORMER, _STATION)),
         Rule("R18", "client_code_repeated", plan=repeated_code("R18", "codigocliente", "CodigoCliente")),
         Rule("R19", "unique_code_repeated", plan=repeated_code("R19", "codigounico", "CodigoUnico"), scheduled=False),
-        Rule("R20", "client_code_without_meter", plan=no_meter),
-        Rule("R21", "client_code_missing", plan=no_client_code),
+        Rule("R20", "client_code_without_meter", no_meter),
+        Rule("R21", "client_code_missing", no_client_code),
         Rule("R22", "client_code_and_meter_missing", plan=missing_key("R22", "codigocliente"), scheduled=False),
         Rule("R23", "unique_code_missing", plan=missing_key("R23", "codigounico", "novedades = 0"), scheduled=False),
     ]
