@@ -51,12 +51,13 @@ def findings_schema(audit_date: str = "date") -> T.StructType:
 class Check:
     """A condition on the rows of one table, and the finding it makes; details are expressions.
 
+    A view of two sides, told apart by its column `_side`, has an element for each.
     `copies` is how often a flagged row is reported, such as once per child. With `each`, an array, it is reported once
     per element, which the details know as `_each`; a view has one such array at most.
     """
 
     rule_id: str
-    element: str
+    element: str | tuple[str, str]
     flagged: str
     detail_1: str = NO_TEXT
     detail_2: str = NO_TEXT
@@ -96,6 +97,11 @@ def summary_marks(
     )
 
 
+def picked(values: Sequence[str], place: str) -> str:
+    """The text at a place of a constant list."""
+    return f"get(array({', '.join(map(literal, values))}), {place})"
+
+
 def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Marks of all checks in one pass over the rows; a row gives one mark per check it fails.
 
@@ -108,7 +114,8 @@ def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     only = checks[0]
     repeated = any(check.copies != Check.copies for check in checks)
     if len(checks) == 1 and len(only.flagged) <= FILTER_LENGTH:
-        texts = literal(only.rule_id), literal(only.element), only.detail_1, only.detail_2
+        element = literal(only.element) if isinstance(only.element, str) else picked(only.element, "_side")
+        texts = literal(only.rule_id), element, only.detail_1, only.detail_2
         flagged = rows.where(only.flagged)
         flagged = flagged.selectExpr("*", f"explode({only.each}) as _each") if only.each else flagged
         return marks(flagged, *texts, *([f"{only.copies} as copies"] if repeated else []))
@@ -121,17 +128,19 @@ def flag_rows(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
         hits = hits.selectExpr("*", f"explode(if(_check in ({listed}), {each}, array(get({each}, -1)))) as _each")
 
     def constant(values: list[str]) -> str:
-        return literal(values[0]) if len(set(values)) == 1 else f"get(array({', '.join(map(literal, values))}), _check)"
+        return literal(values[0]) if len(set(values)) == 1 else picked(values, "_check")
 
     def chosen(values: list[str]) -> str:
         if len(set(values)) == 1:
             return values[0]
         return "case _check " + " ".join(f"when {i} then {value}" for i, value in enumerate(values)) + " end"
 
+    elements = [check.element for check in checks]
+    two_sided = isinstance(elements[0], tuple)
     return marks(
         hits,
         constant([check.rule_id for check in checks]),
-        constant([check.element for check in checks]),
+        picked([name for pair in elements for name in pair], "2 * _check + _side") if two_sided else constant(elements),
         chosen([check.detail_1 for check in checks]),
         chosen([check.detail_2 for check in checks]),
         *([f"{chosen([check.copies for check in checks])} as copies"] if repeated else []),

@@ -93,10 +93,20 @@ def fuse_switch_structure(network: Network) -> DataFrame:
     return network.structures.join_rows(network["puestoseccionadorfusible"], "codigoestructura", "objectid", "_structure")
 
 
-def with_structures(network: Network, table: str) -> DataFrame:
-    """Spans with how often their two conductor codes are in the catalog, 1 for a code that it lacks."""
-    spans = network.structures.join_count(network[table], "codigoconductorfase", "objectid", "_phase_entries")
-    return network.structures.join_count(spans, "codigoconductorneutro", "objectid", "_neutral_entries")
+MEDIUM_SPANS = "tramodistribucionaereo", "tramodistribucionsubterraneo"
+LOW_SPANS = "tramobajatensionaereo", "tramobajatensionsubterraneo"
+
+
+def spans(network: Network, overhead: str, underground: str) -> DataFrame:
+    """Both tables of a voltage as one; `_side` is 0 for overhead spans and 1 for underground ones."""
+    sides = [network[table].selectExpr("*", f"{side} as _side") for side, table in enumerate((overhead, underground))]
+    return sides[0].unionByName(sides[1])
+
+
+def with_structures(network: Network) -> DataFrame:
+    """Medium-voltage spans with how often their two conductor codes are in the catalog, 1 for a code that it lacks."""
+    found = network.structures.join_count(spans(network, *MEDIUM_SPANS), "codigoconductorfase", "objectid", "_phase_entries")
+    return network.structures.join_count(found, "codigoconductorneutro", "objectid", "_neutral_entries")
 
 
 def no_feature(network: Network, summary: DataFrame) -> DataFrame:
@@ -122,12 +132,9 @@ def connection_totals(network: Network) -> DataFrame:
 
 
 VIEWS: dict[str, Callable[[Network], DataFrame]] = {
-    "medium_overhead": lambda n: n["tramodistribucionaereo"],
-    "medium_underground": lambda n: n["tramodistribucionsubterraneo"],
-    "medium_overhead_structures": lambda n: with_structures(n, "tramodistribucionaereo"),
-    "medium_underground_structures": lambda n: with_structures(n, "tramodistribucionsubterraneo"),
-    "low_overhead": lambda n: n["tramobajatensionaereo"],
-    "low_underground": lambda n: n["tramobajatensionsubterraneo"],
+    "medium": lambda n: spans(n, *MEDIUM_SPANS),
+    "medium_structures": with_structures,
+    "low": lambda n: spans(n, *LOW_SPANS),
     "light": lambda n: n["luminaria"],
     "load_point": lambda n: n["puntocarga"],
     "breaker": lambda n: n["puestoprotecciondinamico"],
@@ -145,8 +152,7 @@ VIEWS: dict[str, Callable[[Network], DataFrame]] = {
 WIDER_VIEW = {
     "transformer": "transformer_units",
     "fuse_switch": "fuse_switch_units",
-    "medium_overhead": "medium_overhead_structures",
-    "medium_underground": "medium_underground_structures",
+    "medium": "medium_structures",
     "connection_total": "connection_totals",
 }
 
@@ -158,10 +164,8 @@ Checks = list[tuple[str, Check]]
 
 def phase_vs_subtype(network: Network) -> Checks:
     layers = [
-        ("medium_overhead", "MTA", values.MEDIUM_VOLTAGE_PHASES),
-        ("medium_underground", "MTS", values.MEDIUM_VOLTAGE_PHASES),
-        ("low_overhead", "BTA", values.LOW_VOLTAGE_PHASES),
-        ("low_underground", "BTS", values.LOW_VOLTAGE_PHASES),
+        ("medium", ("MTA", "MTS"), values.MEDIUM_VOLTAGE_PHASES),
+        ("low", ("BTA", "BTS"), values.LOW_VOLTAGE_PHASES),
         ("transformer", "Transformadores", values.TRANSFORMER_PHASES),
     ]
     found = []
@@ -178,10 +182,8 @@ def feeder_info(network: Network) -> Checks:
         "'Fase='", phase_letters(PHASE), "' AlimentadorInfo esperado='", expected, "' actual='", "alimentadorinfo"
     )
     elements = {
-        "low_overhead": "Tramo Baja Aereo",
-        "low_underground": "Tramo Baja Subterraneo",
-        "medium_overhead": "Tramo Distribución Aereo",
-        "medium_underground": "Tramo Distribución Subterraneo",
+        "low": ("Tramo Baja Aereo", "Tramo Baja Subterraneo"),
+        "medium": ("Tramo Distribución Aereo", "Tramo Distribución Subterraneo"),
         "light": "Luminaria",
         "transformer": "Transformador",
         "fuse_switch": SWITCH,
@@ -255,11 +257,8 @@ def unit_power(rule_id: str, view: str, element: str, station: str) -> Callable[
 def conductor_and_sequence(network: Network) -> Checks:
     empty = c.missing(["codigoconductorfase", "configuracionconductores", "secuenciafase"])
     outside = letters_outside("secuenciafase", PHASE)
-    found = []
-    for view, element in {"medium_overhead": "TMA", "medium_underground": "TMS"}.items():
-        found.append((view, Check("R10", element, empty, literal(values.CONDUCTOR_MISSING))))
-        found.append((view, Check("R10", element, outside, literal(values.SEQUENCE_OUTSIDE))))
-    return found
+    texts = {empty: values.CONDUCTOR_MISSING, outside: values.SEQUENCE_OUTSIDE}
+    return [("medium", Check("R10", ("TMA", "TMS"), flagged, literal(text))) for flagged, text in texts.items()]
 
 
 def conductor_and_voltage(network: Network) -> Checks:
@@ -277,10 +276,7 @@ def conductor_and_voltage(network: Network) -> Checks:
     texts = voltage.value, c.message_pair(digit, wired)
     # The catalog adds no column; a code that it repeats repeats the findings.
     copies = "_phase_entries * _neutral_entries"
-    return [
-        ("medium_overhead_structures", Check("R11", "MTA", flagged, *texts, copies=copies)),
-        ("medium_underground_structures", Check("R11", "MTS", flagged, *texts, copies=copies)),
-    ]
+    return [("medium_structures", Check("R11", ("MTA", "MTS"), flagged, *texts, copies=copies))]
 
 
 def breaker_values(network: Network) -> Checks:
