@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwarden.operators.joins import Lookup, inner_join, spread_join
+from gridwarden.operators.joins import Lookup, spread_join
 
 
 def child_totals(children: DataFrame, foreign_key: str, **totals: str) -> DataFrame:
@@ -45,7 +45,6 @@ def with_repeated_values(
     return spread_join(parents, summed, key, "_child_key", "objectid")
 
 
-def wrong_parent(children: DataFrame, parent_key: str, parents: Lookup) -> DataFrame:
-    """The children that hang from one of `parents`, once per such parent."""
-    found = parents.frame.select(F.col(parents.key).alias("_parent_key"))
-    return inner_join(children, F.broadcast(found) if parents.fits else found, parent_key, "_parent_key")
+def wrong_parent(children: DataFrame, parent_key: str, parents: Lookup, count: str) -> DataFrame:
+    """The children with the number of `parents` that they hang from, 0 for none."""
+    return parents.join_count(children, parent_key, "objectid", count, absent=0)

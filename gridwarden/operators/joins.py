@@ -97,10 +97,10 @@ class Lookup:
         """
         return self._join_one(many, key, row_id, F.min(self.value).alias(value))
 
-    def join_count(self, many: DataFrame, key: str, row_id: str, count: str) -> DataFrame:
-        """`many` with how often the lookup holds each row's key, 1 if not at all. Rows never multiply."""
+    def join_count(self, many: DataFrame, key: str, row_id: str, count: str, absent: int = 1) -> DataFrame:
+        """`many` with how often the lookup holds each row's key, `absent` if not at all. Rows never multiply."""
         joined = self._join_one(many, key, row_id, F.count(F.lit(1)).alias(count))
-        return joined.withColumn(count, F.coalesce(F.col(count), F.lit(1)))
+        return joined.withColumn(count, F.coalesce(F.col(count), F.lit(absent).cast("long")))
 
     def _join_one(self, many: DataFrame, key: str, row_id: str, value: Column) -> DataFrame:
         one = self.frame.groupBy(F.col(self.key).alias("_lookup_key")).agg(value)

@@ -354,49 +354,62 @@ def no_client_code(network: Network) -> Checks:
 
 
 FED = ["objectid", "alimentadorid", PHASE, "parentcircuitsourceguid", *AUDIT]
-#: What a load point's mark carries besides: its key, and which of its connections count; other features count once.
-COUNTED = ["globalid", "once", "private_only"]
+#: What marks of fed features carry besides: a load point's key, and how often they count.
+COUNTED = ["globalid", "once", "private_only", "times"]
 
 
-def fed_features(network: Network, elements: dict[str, str], load_points: DataFrame) -> DataFrame:
-    """Features of several tables with their parent circuit, and load points, which count by their connections."""
+def fed_features(network: Network, breakers: bool) -> DataFrame:
+    """Lights, load points and, for the question of `breakers`, low-voltage spans, with the circuit that feeds them.
 
-    def taken(frame: DataFrame, element: str, *counted: str) -> DataFrame:
-        return frame.selectExpr(*FED, f"{literal(element)} as _element", *counted)
-
-    plain = "cast(null as string) as globalid", "true as once", "false as private_only"
-    frames = [taken(network[table], element, *plain) for table, element in elements.items()]
-    private_only = f"coalesce(subtipo = {values.TOTALIZER_LOAD}, false)"
-    return reduce(DataFrame.unionByName, [*frames, taken(load_points, "Punto Carga", "globalid", "false as once", f"{private_only} as private_only")])
+    `_phased` features must match their transformer, `_fed` ones must not hang from a breaker that is its own parent.
+    """
 
+    def taken(table: str, element: str, phased: str, fed: str, *counted: str) -> DataFrame:
+        return network[table].selectExpr(*FED, f"{literal(element)} as _element", f"{phased} as _phased", f"{fed} as _fed", *counted)
 
-def misphased(network: Network) -> DataFrame:
-    """Marks of the features with a phase that their transformer lacks."""
-    # A full ABC transformer lacks no phase, and a feature without a phase code is never flagged.
-    transformers = network["puestotransfdistribucion"].where(f"{PHASE} between 1 and 6")
-    transformers = transformers.selectExpr(
-        "circuitsourceguid as _source", f"{PHASE} as _transformer_phase", "alimentadorid as _transformer_feeder"
-    )
-    features = fed_features(network, {"luminaria": "Luminaria"}, network["puntocarga"]).where(f"{PHASE} between 1 and 7")
-    fed = inner_join(features.drop("alimentadorid"), transformers, "parentcircuitsourceguid", "_source")
-    fed = fed.where(phases_outside(PHASE, "_transformer_phase")).withColumnRenamed("_transformer_feeder", "alimentadorid")
-    texts = [
-        joined(literal(values.CLIENT_PHASE), phase_letters(PHASE)),
-        joined(literal(values.TRANSFORMER_PHASE), phase_letters("_transformer_phase")),
+    plain = "cast(null as string) as globalid", "true as once", "false as private_only"
+    private_only = f"coalesce(subtipo = {values.TOTALIZER_LOAD}, false) as private_only"
+    not_medium = f"coalesce(subtipo <> {values.MEDIUM_VOLTAGE_LOAD}, false)"
+    frames = [
+        taken("luminaria", "Luminaria", "true", "true", *plain),
+        taken("puntocarga", "Punto Carga", "true", not_medium, "globalid", "false as once", private_only),
     ]
-    return marks(fed, "'R02'", "_element", *texts, "globalid", "once", "false as private_only")
-
-
-def breaker_fed(network: Network) -> DataFrame:
-    """Marks of the features that hang from a breaker which is its own parent."""
-    elements = {
-        "tramobajatensionaereo": "Tramo Baja Aereo",
-        "tramobajatensionsubterraneo": "Tramo Baja Subterraneo",
-        "luminaria": "Luminaria",
-    }
-    loads = network["puntocarga"].where(f"subtipo <> {values.MEDIUM_VOLTAGE_LOAD}")
-    fed = wrong_parent(fed_features(network, elements, loads), "parentcircuitsourceguid", network.own_parents)
-    return marks(fed, "'R04'", "_element", NO_TEXT, NO_TEXT, *COUNTED)
+    if breakers:
+        elements = {LOW_SPANS[0]: "Tramo Baja Aereo", LOW_SPANS[1]: "Tramo Baja Subterraneo"}
+        frames += [taken(table, element, "false", "true", *plain) for table, element in elements.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def fed_marks(network: Network, rule_ids: set[str]) -> DataFrame:
+    """Marks of R02, features with a phase that their transformer lacks, and of R04, features that hang from a breaker which
+    is its own parent; one pass over the features for both."""
+    rows, asked = fed_features(network, "R04" in rule_ids), []
+    if "R04" in rule_ids:
+        rows = wrong_parent(rows, "parentcircuitsourceguid", network.own_parents, "_breakers")
+        asked.append("if(_fed and _breakers > 0, 'R04', null)")
+    if "R02" in rule_ids:
+        asked.append(f"if(_phased and {PHASE} between 1 and 7, 'R02', null)")
+    rows = rows.selectExpr("*", f"explode(array({', '.join(asked)})) as _rule").where("_rule is not null")
+    if "R02" in rule_ids:
+        # A full ABC transformer lacks no phase, and a feature without a phase code is never flagged.
+        transformers = network["puestotransfdistribucion"].where(f"{PHASE} between 1 and 6")
+        transformers = transformers.selectExpr(
+            "circuitsourceguid as _source", f"{PHASE} as _transformer_phase", "alimentadorid as _transformer_feeder"
+        )
+        rows = rows.selectExpr("*", "if(_rule = 'R02', parentcircuitsourceguid, null) as _circuit")
+        rows = spread_join(rows, transformers, "_circuit", "_source", "objectid")
+        rows = rows.where(f"_rule = 'R04' or {phases_outside(PHASE, '_transformer_phase')}")
+        feeder = "if(_rule = 'R02', _transformer_feeder, alimentadorid) as alimentadorid"
+        rows = rows.selectExpr(*[c for c in rows.columns if c != "alimentadorid"], feeder)
+        texts = [
+            joined(literal(values.CLIENT_PHASE), phase_letters(PHASE)),
+            joined(literal(values.TRANSFORMER_PHASE), phase_letters("_transformer_phase")),
+        ]
+        texts = [f"if(_rule = 'R02', {text}, null)" for text in texts]
+    else:
+        texts = [NO_TEXT, NO_TEXT]
+    times = "if(_rule = 'R04', _breakers, 1L) as times" if "R04" in rule_ids else "1L as times"
+    return marks(rows, "_rule", "_element", *texts, "globalid", "once", "_rule = 'R04' and private_only as private_only", times)
 
 
 def per_connection(found: DataFrame, network: Network) -> DataFrame:
@@ -407,7 +420,7 @@ def per_connection(found: DataFrame, network: Network) -> DataFrame:
     private = f"count_if(proyectoconstruccion <> {literal(values.PUBLIC_PROJECT)})"
     totals = child_totals(network["conexionconsumidor"], "puntocargaglobalid", _all="count(1)", _private=private)
     counted = spread_join(found, totals, "globalid", "_child_key", "object_id")
-    copies = "if(once, 1L, coalesce(if(private_only, _private, _all), 0L)) as copies"
+    copies = "times * if(once, 1L, coalesce(if(private_only, _private, _all), 0L)) as copies"
     return counted.selectExpr(*[name for name in found.columns if name not in COUNTED], copies)
 
 
@@ -447,15 +460,14 @@ def missing_key(rule_id: str, key: str, extra: str = "true") -> Callable[[Networ
 class Rule:
     """One rule. Rules with `scheduled` unset run only when named.
 
-    `checks` judge the rows of views, `plan` gives marks, and `load_points` gives marks of which those of load points
-    stand for one finding per customer connection.
+    `checks` judge the rows of views, `plan` gives marks, and rules that are `fed` are questions of `fed_marks`.
     """
 
     rule_id: str
     name: str
     checks: Callable[[Network], Checks] | None = None
     plan: Callable[[Network], DataFrame] | None = None
-    load_points: Callable[[Network], DataFrame] | None = None
+    fed: bool = False
     scheduled: bool = True
     heading: tuple[str, str] | None = None
 
@@ -471,9 +483,9 @@ RULES: dict[str, Rule] = {
     rule.rule_id: rule
     for rule in [
         Rule("R01", "phase_vs_subtype", phase_vs_subtype),
-        Rule("R02", "feature_vs_transformer", load_points=misphased),
+        Rule("R02", "feature_vs_transformer", fed=True),
         Rule("R03", "feeder_info", feeder_info),
-        Rule("R04", "fed_by_breaker", load_points=breaker_fed),
+        Rule("R04", "fed_by_breaker", fed=True),
         Rule("R05", "switch_structure", switch_structure),
         Rule("R06", "switch_units_vs_phase", units_vs_phase("R06", "fuse_switch_units", SWITCH)),
         Rule("R07", "fuse_capacity_missing", capacity_missing),
@@ -502,7 +514,7 @@ BATCH: list[Rule] = [rule for rule in RULES.values() if rule.scheduled]
 def shared_sources(network: Network, rule: Rule) -> set[str]:
     """What the rule reads that other rules may read in the same pass; the rule's own id if nothing."""
     views = {WIDER_VIEW.get(view, view) for view, _ in (rule.checks(network) if rule.checks else [])}
-    return (views | ({"load points"} if rule.load_points else set())) or {rule.rule_id}
+    return (views | ({"fed features"} if rule.fed else set())) or {rule.rule_id}
 
 
 def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
@@ -516,9 +528,9 @@ def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
         if narrow in by_view and wide in by_view:
             by_view[wide] = by_view.pop(narrow) + by_view[wide]
     parts = [flag_rows(VIEWS[view](network), found) for view, found in by_view.items()]
-    loads = [rule.load_points(network) for rule in rules if rule.load_points]
-    if loads:
-        parts.append(per_connection(reduce(DataFrame.unionByName, loads), network))
+    fed = {rule.rule_id for rule in rules if rule.fed}
+    if fed:
+        parts.append(per_connection(fed_marks(network, fed), network))
     parts += [rule.plan(network) for rule in rules if rule.plan]
     repeated = [part for part in parts if "copies" in part.columns]
     plain = [part for part in parts if "copies" not in part.columns]
