@@ -142,8 +142,10 @@ class Network:
         types, lost = self._types(name), {}
         for column, kind in TABLES[name].items():
             read = self._column(name, column, kind, types).removesuffix(f" as {column}")
+            held = f"nullif({column}, '')" if types[column] == "string" else column
+            if kind == "audit_date" and types[column] == "string":
+                read = f"try_cast({held} as timestamp)"
             if read.startswith("try_cast("):
-                held = f"nullif({column}, '')" if types[column] == "string" else column
                 lost[column] = f"{held} is not null and {read} is null"
         return lost
 

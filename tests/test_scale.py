@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridwarden import RULES, all_findings, rule_findings
 from gridwarden.operators import joins
 from gridwarden.operators.joins import Lookup, spread_join
+from gridwarden.plans.rules import fed_marks
 from gridwarden.sources.star import star_network
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -196,10 +197,17 @@ def test_lookup_gives_one_value_per_row(spark, monkeypatch, rows):
 def test_few_breakers_need_no_shuffle_of_spans(spark):
     """Spans and lights meet the few own-parent breakers where they are read."""
     with settings(spark, **NO_BROADCAST):
-        plan = RULES["R04"].plan(star_network(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
+        plan = fed_marks(star_network(spark, SF_DIR), {"R04"})._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
 
 
+def test_shared_plan_reads_no_table_more_often_than_it_must(spark):
+    """Views, totals and features are read once for all rules that need them."""
+    plan = all_findings(star_network(spark, SF_DIR), RUN_DATE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 31
+    assert plan.count("Exchange hashpartitioning") <= 14
+
+
 def test_catalog_size_does_not_change_what_r11_reads(spark, monkeypatch):
     """Only how the catalog travels depends on its size."""
     shapes = []
