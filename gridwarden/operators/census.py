@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwarden.functions import values
+from gridwarden.functions.text import literal
+from gridwarden.sources.catalog import quoted
 
 
 def select_layers(
@@ -48,11 +50,31 @@ def non_null_census(
     """
     names = sorted(row["table_name"] for row in layers.select("table_name").distinct().collect())
     counts = [load(name).agg(F.lit(name).alias("feat"), F.count(column).alias("ots")) for name in names]
+    # A count from the footers of no file at all is NULL, and only a nullable aggregate keeps the coalesce around it.
+    ots = F.coalesce(F.max("ots"), F.lit(0).cast("long")).alias("ots")
     census = (
-        reduce(DataFrame.unionByName, counts).distinct()
+        reduce(DataFrame.unionByName, counts).groupBy("feat").agg(ots)
         if counts
         else spark.createDataFrame([], "feat string, ots long")
     )
     if view:
         census.createOrReplaceTempView(view)
     return census
+
+
+def lasting_census(
+    spark: SparkSession, layers: DataFrame, database: str, view: str = values.CENSUS_VIEW, column: str = values.CENSUS_COLUMN
+) -> DataFrame:
+    """The census as a view of the catalog, over the database's own tables, which any session can read; an old one is replaced.
+
+    The view counts when it is read, so it follows the tables; a session that has read them before lists their files anew
+    after REFRESH TABLE, as Spark has it. Layers' names are distinct, so their rows are put together without a shuffle. A
+    layer that is dropped later breaks the view until the next call.
+    """
+    names = sorted(row["table_name"] for row in layers.select("table_name").distinct().collect())
+    counts = [
+        f"select {literal(name)} as feat, count({quoted(column)}) as ots from {quoted(database, name)}" for name in names
+    ]
+    nothing = "select cast(null as string) as feat, cast(null as bigint) as ots where false"
+    spark.sql(f"create or replace view {quoted(database, view)} as {' union all '.join(counts) or nothing}")
+    return spark.table(quoted(database, view))

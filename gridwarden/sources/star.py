@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cache
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridwarden.sources.catalog import catalog_frames, create_database, quoted, registered_layers
 from gridwarden.sources.network import Network
 
 
@@ -261,3 +263,42 @@ def star_catalog(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Tables, columns and layers of the small catalog."""
     columns, layers = [spark.sql(CATALOG[name]) for name in ("fx_columns", "fx_layers")]
     return columns.select("owner", "table_name").distinct(), columns, layers
+
+
+#: Views beside the network's tables: the table behind each one. The first's name marks a table of changes, the second
+#: stands in the archive too, so its name matches twice; the third has its layer's columns but stands in the archive only.
+CHANGES, TWICE, ARCHIVED = "d1_luminaria", "luminaria_antigua", "puesto_retirado"
+BESIDE = {CHANGES: "luminaria", TWICE: "luminaria"}
+ARCHIVE = {TWICE: "luminaria", ARCHIVED: "puestotransfdistribucion"}
+REGISTRY = "st_geometry_columns"
+#: The column that marks a table as a layer of the map.
+LAYER_COLUMN = "FASECONEXION"
+
+
+def star_database(spark: SparkSession, sf_dir: str, registry_path: str) -> str:
+    """The name of a catalog database with the star tables, the network's tables as views over them, and the registry of layers.
+
+    A second database, its name with `_archive`, holds tables of another owner. The registry is a stored table that Spark
+    derives from the catalog's metadata: all tables with a phase are layers.
+    """
+    name = f"sigelec_{sha256(sf_dir.encode()).hexdigest()[:12]}"
+
+    def over_stars(tables: dict[str, str]) -> dict[str, str]:
+        adapters = {view: ADAPTERS[table] for view, table in tables.items()}
+        return {
+            view: f"select {', '.join(a.columns)} from {quoted(name, a.star)} where {a.where}" for view, a in adapters.items()
+        }
+
+    stars = {star: f"{sf_dir}/{star}.parquet" for star in STAR_SCHEMAS}
+    create_database(spark, name, over_stars({table: table for table in ADAPTERS} | BESIDE), stars)
+    create_database(spark, f"{name}_archive", over_stars(ARCHIVE))
+    columns = catalog_frames(spark, [name, f"{name}_archive"])[1]
+    layers = columns.where(f"column_name = '{LAYER_COLUMN}'").select("table_name").distinct()
+    layers.write.mode("overwrite").option("path", registry_path).saveAsTable(quoted(name, REGISTRY))
+    return name
+
+
+def star_database_layers(spark: SparkSession, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables, columns and registered layers of both databases."""
+    tables, columns = catalog_frames(spark, [name, f"{name}_archive"])
+    return tables, columns, registered_layers(spark, quoted(name, REGISTRY))

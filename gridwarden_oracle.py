@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from gridwarden.functions import values as v
-from gridwarden.sources.star import ADAPTERS, CATALOG
+from gridwarden.sources.star import ADAPTERS, ARCHIVE, BESIDE, CATALOG, LAYER_COLUMN
 
 RUN_DATE = "2015-04-02"
 
@@ -423,3 +423,30 @@ def census_sql() -> str:
         f"select feat, ots from ({counted}) where feat in ({picked}) and feat in (select table_name from fx_layers) "
         "and not regexp_matches(feat, '^[AD|][0-9]')"
     )
+
+
+def selection_sql() -> str:
+    """Layers picked from the described columns of the network's tables and of those beside them."""
+    own = {table: table for table in ADAPTERS} | BESIDE
+    columns = _union(
+        f"select '{owner}' owner, '{name.upper()}' table_name, upper(column_name) column_name "
+        f"from (describe {ADAPTERS[table].sql})"
+        for owner, tables in (("network", own), ("archive", ARCHIVE))
+        for name, table in tables.items()
+    )
+    return (
+        f"with columns as ({columns}) select table_name from columns where column_name = 'ORDENTRABAJO' "
+        f"and table_name in (select table_name from columns where column_name = '{LAYER_COLUMN}') "
+        "and not regexp_matches(table_name, '^[AD|][0-9]') group by table_name "
+        "having count(*) = 1 and max(owner) = 'network'"
+    )
+
+
+def lasting_census_sql() -> str:
+    """Filled values per picked layer, over all tables that have the column."""
+    counted = _union(
+        f"select '{name.upper()}' feat, count(ordentrabajo) ots from ({ADAPTERS[name].sql})"
+        for name, adapter in ADAPTERS.items()
+        if any(column.endswith(" ordentrabajo") for column in adapter.columns)
+    )
+    return f"select feat, ots from ({counted}) where feat in ({selection_sql()})"

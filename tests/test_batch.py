@@ -25,13 +25,13 @@ from gridwarden import (
 )
 from gridwarden.functions import values
 from gridwarden.functions.phases import letters_outside, phase_count, phases_outside
-from gridwarden.operators.census import non_null_census, select_layers
+from gridwarden.operators.census import lasting_census, non_null_census, select_layers
 from gridwarden.operators.findings import Check
 from gridwarden.plans import batch, runs
 from gridwarden.plans.rules import Rule, findings_with_rule
-from gridwarden.sources.catalog import catalog_frames
+from gridwarden.sources.catalog import catalog_frames, footer_session
 from gridwarden.sources.network import Network, read_network, read_network_tables
-from gridwarden.sources.star import ADAPTERS, star_catalog, star_network
+from gridwarden.sources.star import ADAPTERS, star_catalog, star_database, star_database_layers, star_network
 
 SF_DIR = "/root/testdata/sf0.001"
 NOON = datetime(2015, 4, 2, 12, 0, 0)
@@ -307,3 +307,48 @@ def test_phase_expressions_equal_letter_sets(spark):
 def test_expected_feeder_code_is_the_mirrored_phase():
     for code, info in values.FEEDER_INFO.items():
         assert info == int(f"{code:03b}"[::-1], 2)
+
+
+def test_selection_reads_the_catalog(spark):
+    """A table of changes, a name in two databases, another owner's table and a table that is no layer are left out."""
+    database = star_database(spark, SF_DIR, entry.shared_folder(spark))
+    tables, columns, layers = star_database_layers(spark, database)
+    ordered = {r["table_name"] for r in columns.where("column_name = 'ORDENTRABAJO'").collect()}
+    assert {"D1_LUMINARIA", "LUMINARIA_ANTIGUA", "PUESTO_RETIRADO"} < ordered
+    expected = ["LUMINARIA", "PUESTOSECCIONADORFUSIBLE", "PUESTOTRANSFDISTRIBUCION"]
+    kept = select_layers(tables, columns, layers, owner=database.upper())
+    assert sorted(r["table_name"] for r in kept.collect()) == expected
+    twice = select_layers(tables, columns, layers.union(layers.where("table_name = 'LUMINARIA'")), owner=database.upper())
+    assert sorted(r["table_name"] for r in twice.collect()) == expected[1:]
+    again = star_database(spark, SF_DIR, entry.shared_folder(spark))
+    assert again == database and spark.table(f"{database}.st_geometry_columns").count() == layers.count()
+
+
+def test_lasting_census_outlives_its_session_and_follows_the_tables(spark):
+    spark.sql("create database if not exists redes_2")
+    spark.createDataFrame([("o1",), (None,)], "ordentrabajo string").write.mode("overwrite").saveAsTable("redes_2.postes")
+    layers = spark.createDataFrame([("POSTES",), ("POSTES",)], "table_name string")
+    lasting_census(spark, layers, "redes_2", "v_ordenes")
+    other = spark.newSession()
+    assert [tuple(r) for r in other.table("redes_2.v_ordenes").collect()] == [("POSTES", 1)]
+    spark.createDataFrame([("o3",)], "ordentrabajo string").write.mode("append").saveAsTable("redes_2.postes")
+    other.sql("refresh table redes_2.postes")
+    for reader in (other, spark.newSession()):
+        assert [tuple(r) for r in reader.table("redes_2.v_ordenes").collect()] == [("POSTES", 2)]
+    nothing = lasting_census(spark, layers.where("false"), "redes_2", "v_ordenes")
+    assert nothing.collect() == [] and nothing.columns == ["feat", "ots"]
+
+
+def test_census_counts_from_footers(spark, tmp_path):
+    frame = spark.range(0, 1000, 1, 4).selectExpr("if(id % 3 = 0, null, cast(id as string)) as ordentrabajo", "id")
+    frame.write.parquet(f"{tmp_path}/POSTES")
+    frame.limit(0).write.parquet(f"{tmp_path}/VACIA")
+    fast = footer_session(spark)
+    layers = spark.createDataFrame([("POSTES",), ("VACIA",)], "table_name string")
+    pushed = non_null_census(fast, layers, lambda name: fast.read.parquet(f"{tmp_path}/{name}"))
+    scanned = non_null_census(spark, layers, lambda name: spark.read.parquet(f"{tmp_path}/{name}"))
+    plan = pushed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(ordentrabajo)]") == 2
+    assert sorted(tuple(r) for r in scanned.collect()) == sorted(tuple(r) for r in pushed.collect()) == [("POSTES", 666), ("VACIA", 0)]
+    filled = fast.read.parquet(f"{tmp_path}/POSTES").where("id < 10").selectExpr("count(ordentrabajo) as n")
+    assert filled.first()["n"] == 6  # with a filter the rows are scanned
