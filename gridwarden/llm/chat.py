@@ -1,13 +1,14 @@
 """Chat formatting: a finite-state machine over roles, a declarative template, loss flags per segment.
 
-All work is DataFrame functions: rows of a conversation are gathered and sorted, folded through the machine's
-transition table, and turned into segments. The formatted text can be read back exactly, since control strings inside
+All work is DataFrame functions: the places of a conversation's turns are summed in order, its rows are gathered and
+sorted, folded through the machine's transition table, and turned into segments. The formatted text can be read back exactly, since control strings inside
 texts are escaped reversibly.
 
 Defined cases: a null text is empty; a null role formats as the empty role and makes the order invalid; rows are
 ordered by turn (nulls first), ties by role and text; repeated rows are turns of their own; a conversation whose order
 is invalid is formatted all the same and marked; rows of a null conv_id form one conversation; an empty table gives an
-empty result. Columns other than conv_id, turn, role and text are not read.
+empty result. A conversation is one row in the end, so it must fit the 2 GB of an array; work and memory are in proportion
+to its length. Columns other than conv_id, turn, role and text are not read.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwarden.llm.common import table
@@ -73,14 +74,18 @@ def literal_map(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
-def segments_of(turn: Column, template: Template) -> Column:
-    """Opening mark, escaped text and closing mark of a turn; only a learned role's text bears loss."""
-    role = turn["role"]
+def marks_of(role: Column, template: Template) -> tuple[Column, Column]:
+    """Opening and closing mark of a role's turn."""
     own = F.element_at(literal_map(template.opening), role)
     before, after, close = (F.lit(x) for x in template.other)
     opening = F.coalesce(own, F.concat(before, escape(role, template), after))
-    closing = F.when(own.isNull(), close).otherwise(F.element_at(literal_map(template.closing), role))
-    learned = role.isin(*template.learned)
+    return opening, F.when(own.isNull(), close).otherwise(F.element_at(literal_map(template.closing), role))
+
+
+def segments_of(turn: Column, template: Template) -> Column:
+    """Opening mark, escaped text and closing mark of a turn; only a learned role's text bears loss."""
+    opening, closing = marks_of(turn["role"], template)
+    learned = turn["role"].isin(*template.learned)
     segment = lambda text, loss, kind: F.struct(text.alias("text"), loss.alias("loss"), F.lit(kind).alias("kind"))
     return F.array(
         segment(opening, F.lit(False), "open"),
@@ -92,17 +97,23 @@ def segments_of(turn: Column, template: Template) -> Column:
 def format_chat(rows: DataFrame, template: Template = DEFAULT) -> DataFrame:
     """One row per conversation: formatted text, segments with loss flags, loss spans, and whether the order is valid.
 
-    `loss_spans` are code-point ranges [begin, begin + length) of the formatted text.
+    `loss_spans` are code-point ranges [begin, begin + length) of the formatted text. They come from a running sum over
+    the turns in order, before these are gathered, so a conversation costs no more than in proportion to its size.
     """
     turns = rows.select(
         F.col("conv_id"),
-        F.struct(
-            F.col("turn").alias("turn"),
-            F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        ).alias("row"),
+        F.col("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    gathered = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
+    opening, closing = marks_of(F.col("role"), template)
+    opens, long, closes = (F.char_length(x).cast("long") for x in (opening, escape(F.col("text"), template), closing))
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    ends = F.sum(opens + long + closes).over(in_order)
+    placed = turns.select("*", ends.alias("end")).select(
+        "conv_id", F.struct("turn", "role", "text", (F.col("end") - closes - long).alias("begin"), long.alias("length")).alias("row")
+    )
+    gathered = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
     steps = literal_map({f"{state}\n{role}": after for (state, role), after in template.transitions.items()})
     state = F.aggregate(
         "turns",
@@ -110,31 +121,19 @@ def format_chat(rows: DataFrame, template: Template = DEFAULT) -> DataFrame:
         lambda state, turn: F.coalesce(F.element_at(steps, F.concat(state, F.lit("\n"), turn["role"])), F.lit("error")),
     )
     segments = F.flatten(F.transform("turns", lambda turn: segments_of(turn, template)))
-    placed = F.aggregate(
-        "segments",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<begin:bigint,length:bigint>>").alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + F.char_length(s["text"])).alias("at"),
-            F.when(
-                s["loss"],
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct(acc["at"].alias("begin"), F.char_length(s["text"]).cast("long").alias("length"))),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
+    spans = F.transform(
+        F.filter("turns", lambda turn: turn["role"].isin(*template.learned)),
+        lambda turn: F.struct(turn["begin"].alias("begin"), turn["length"].alias("length")),
     )
-    return (
-        gathered.select("conv_id", state.isin(*template.accepting).alias("valid"), segments.alias("segments"))
-        .withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
-        .withColumn("loss_spans", placed["spans"])
+    return gathered.select(
+        "conv_id", state.isin(*template.accepting).alias("valid"), segments.alias("segments"), spans.alias("loss_spans")
+    ).select(
+        "conv_id", "valid", "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "loss_spans"
     )
 
 
 def read_chat(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """The turns and the learned texts, from `formatted` and `loss_spans` alone."""
+    """The turns, from `formatted` alone, and the learned texts, from the segments that bear loss."""
     roles = {mark: role for role, mark in template.opening.items()}
     before, after, close = template.other
     closed = [*template.closing.values(), close]
@@ -151,10 +150,7 @@ def read_chat(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
     read = F.zip_with(
         marks, texts, lambda mark, text: F.struct(role_of(mark).alias("role"), unescape(text, template).alias("text"))
     )
-    learned = F.transform(
-        "loss_spans",
-        lambda s: unescape(F.substring(F.col("formatted"), (s["begin"] + 1).cast("int"), s["length"].cast("int")), template),
-    )
+    learned = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"], template))
     return formatted.withColumn("turns", read).withColumn("learned", learned)
 
 

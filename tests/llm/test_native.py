@@ -5,6 +5,7 @@ import glob
 import gzip
 import hashlib
 import os
+import time
 from collections import Counter
 
 import duckdb
@@ -215,3 +216,26 @@ def test_top_k_in_blocks_finds_the_same(spark, monkeypatch):
     monkeypatch.setattr(topk, "RUN", 8)
     assert sorted(map(tuple, topk.top_k(vectors, "vec_id % 20 = 0").collect())) == whole
     assert len(whole) == 400
+
+
+def test_loss_spans_are_places_in_the_formatted_text(spark):
+    rows = [(1, i, ["system", "user", "assistant", "tool", "assistant"][i % 5], "é😀[" * (i % 4), "") for i in range(23)]
+    rows += [(2, 0, "assistant", "x", ""), (2, 0, "assistant", "x", "")]
+    for row in formatted(spark, rows).values():
+        cut = [row.formatted[s.begin : s.begin + s.length] for s in row.loss_spans]
+        assert cut == [s.text for s in row.segments if s.loss]
+        assert "".join(s.text for s in row.segments) == row.formatted
+
+
+def test_long_conversations_cost_in_proportion(spark):
+    def seconds(turns):
+        rows = spark.range(turns).selectExpr(
+            "1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('text ', id) as text"
+        )
+        begun = time.monotonic()
+        row = chat.read_chat(chat.format_chat(rows)).selectExpr("valid", "size(turns) t", "size(loss_spans) s", "size(learned) l").first()
+        assert tuple(row) == (True, turns, turns // 2, turns // 2)
+        return time.monotonic() - begun
+
+    seconds(1_000)
+    assert seconds(100_000) < 10 * max(seconds(25_000), 1)
