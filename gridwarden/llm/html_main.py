@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -79,6 +79,8 @@ class Page(HTMLParser):
         self.labelled = labelled  # whether `data-main` states the parts, as in composed pages
         self.tags, self.parent, self.parts, self.label = ["#root"], [-1], [frozenset()], [1]
         self.stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the block that each is or lies in
+        self.depths: dict[str, list[int]] = {}  # where in the stack each tag is open
+        self.open_blocks: list[int] = []  # the same for all elements that are not inline
         self.blocks: list[list[tuple[int, str]]] = [[]]
         self.linked = [0]
         self.in_link = self.unseen = 0
@@ -92,20 +94,22 @@ class Page(HTMLParser):
     def pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
             tag, _ = self.stack.pop()
+            self.depths[tag].pop()
             self.in_link -= tag == "a"
             self.unseen -= tag in UNSEEN
             if tag not in INLINE:
+                self.open_blocks.pop()
                 self.break_block()
 
+    def nearest(self, tags: Iterable[str]) -> int:
+        """The depth of the innermost open element of these tags; 0 if none is open."""
+        return max((self.depths[tag][-1] for tag in tags if self.depths.get(tag)), default=0)
+
     def end_open(self, tags: set[str] | frozenset[str]) -> None:
         """Closes the nearest of the given tags, unless a scope lies between."""
-        for depth in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[depth][0]
-            if tag in tags:
-                self.pop_to(depth)
-                return
-            if tag in SCOPES:
-                return
+        depth = self.nearest(tags)
+        if depth and depth >= self.nearest(SCOPES):
+            self.pop_to(depth)
 
     def end_head(self) -> None:
         """Closes an open head that nothing else is open in."""
@@ -113,8 +117,8 @@ class Page(HTMLParser):
             self.pop_to(len(self.stack) - 1)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "body" and self.unseen and "template" not in (open_tags := [t for t, _ in self.stack]) and "head" in open_tags:
-            self.pop_to(open_tags.index("head"))
+        if tag == "body" and self.unseen and not self.nearest(["template"]) and self.nearest(["head"]):
+            self.pop_to(self.depths["head"][0])
         if tag not in IN_HEAD:
             self.end_head()
         if tag in ENDS_P and not self.unseen:
@@ -141,6 +145,9 @@ class Page(HTMLParser):
             self.label.append(self.label[block] if own is None else int(own or 0))
             self.linked.append(0)
             block = len(self.tags) - 1
+        self.depths.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.open_blocks.append(len(self.stack))
         self.stack.append((tag, block))
         self.in_link += tag == "a"
         self.unseen += tag in UNSEEN
@@ -151,12 +158,10 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth][0] == tag:
-                self.pop_to(depth)
-                return
-            if tag in INLINE and tag not in MATH and self.stack[depth][0] not in INLINE:
-                return
+        depth = self.nearest([tag])
+        walled = tag in INLINE and tag not in MATH and self.open_blocks and self.open_blocks[-1] > depth
+        if depth and not walled:
+            self.pop_to(depth)
 
     def handle_data(self, data: str) -> None:
         if data.strip():

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -435,3 +436,22 @@ def test_a_language_of_long_texts_only_is_learned(spark, monkeypatch):
         monkeypatch.setattr(language, "is_small", lambda *_, small=small: small)
         found = {r.doc_id: r.language for r in language.identify(items, languages, table_of).collect()}
         assert found == {i: lang for i, _, lang in rows}
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda n: "<div>" * n + "</section>" * n,
+        lambda n: "<div><b>" * n + "</i>" * n + "</b>" * n,
+        lambda n: "<i><div>" + "<b>" * n + "</i>" * n,
+        lambda n: "<button>" + "<span>" * n + "<p>" * n,
+        lambda n: "<svg>" + "<body>" * n,
+    ],
+)
+def test_stray_and_open_tags_cost_in_proportion(make):
+    def seconds(n):
+        begun = time.monotonic()
+        html_main.Page(make(n), labelled=False)
+        return time.monotonic() - begun
+
+    assert seconds(100_000) < 10 * max(seconds(25_000), 0.3)
