@@ -9,7 +9,8 @@ over salted keys.
 Defined cases: a page is a row, repeated or not; blank lines are never counted or dropped; rows without a host (null)
 form one host; null texts stay null, count as pages and have no lines; a page whose lines are all boilerplate keeps
 its row with an empty text; untouched texts stay as they are; other columns are kept; n_chars is renewed where it
-exists; an empty table stays empty.
+exists; an empty table stays empty; columns of any name are kept, but `counts` replaces those named like its own; a page's
+lines are one array, so a text may be as long as a row allows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gridwarden.llm.common import is_small, salted, table
 
-RATIO = 0.1
+RATIO = 0.02
 MIN_PAGES = 5
 SALTS = 64
 
@@ -33,6 +34,13 @@ def line_key(line: Column) -> Column:
     return F.when(F.trim(line) != "", F.unhex(F.md5(line)))
 
 
+def unused(taken: set[str], name: str) -> str:
+    """A column name that no document column has, whatever its case."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def boilerplate(docs: DataFrame, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, line): the keys of each host's boilerplate lines."""
     keys = F.array_distinct(F.array_compact(F.transform(lines_of(F.col("text")), line_key)))
@@ -46,30 +54,33 @@ def boilerplate(docs: DataFrame, host: str, ratio: float = RATIO, min_pages: int
 def drop_boilerplate(
     docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False
 ) -> DataFrame:
-    """The documents without boilerplate lines; with `counts`, also n_lines and n_dropped."""
-    columns = docs.columns
+    """The documents without boilerplate lines; with `counts`, also n_lines and n_dropped, instead of columns so named."""
+    columns = [name for name in docs.columns if not (counts and name.lower() in ("n_lines", "n_dropped"))]
+    docs = docs.select(columns)
+    taken = {name.lower() for name in columns}
+    key, listed, salt, dealt, kept, gone = (unused(taken, name) for name in ("host__", "lines__", "salt__", "dealt__", "kept__", "dropped__"))
     flat = boilerplate(docs, host, ratio, min_pages)
-    lines = flat.groupBy(F.col("host").alias("host__")).agg(F.collect_list("line").alias("lines__"))
-    same = docs[host].eqNullSafe(F.col("host__"))
+    lines = flat.groupBy(F.col("host").alias(key)).agg(F.collect_list("line").alias(listed))
+    same = docs[host].eqNullSafe(F.col(key))
     if is_small(flat):  # a row per line, since a host's array can be long
         joined = docs.join(F.broadcast(lines), same, "left")
     else:
-        dealt = lines.withColumn("dealt__", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = salted(docs[host], SALTS, F.col("text"))
-        joined = docs.withColumn("salt__", salt).join(dealt, same & (F.col("salt__") == F.col("dealt__")), "left")
+        copies = lines.withColumn(dealt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spread = docs.withColumn(salt, salted(docs[host], SALTS, F.col("text")))
+        joined = spread.join(copies, same & (F.col(salt) == F.col(dealt)), "left")
     own = lines_of(F.col("text"))
-    kept = F.filter(own, lambda line: ~F.coalesce(F.array_contains("lines__", line_key(line)), F.lit(False)))
-    joined = joined.withColumn("kept__", F.when(F.col("lines__").isNotNull(), kept).otherwise(own))
-    dropped = F.coalesce(F.size(own) - F.size("kept__"), F.lit(0)).cast("long")
-    joined = joined.withColumn("dropped__", F.when(F.col("text").isNull(), F.lit(0)).otherwise(dropped))
-    text = F.when(F.col("dropped__") > 0, F.array_join("kept__", "\n")).otherwise(F.col("text"))
+    left = F.filter(own, lambda line: ~F.coalesce(F.array_contains(listed, line_key(line)), F.lit(False)))
+    joined = joined.withColumn(kept, F.when(F.col(listed).isNotNull(), left).otherwise(own))
+    dropped = F.coalesce(F.size(own) - F.size(kept), F.lit(0)).cast("long")
+    joined = joined.withColumn(gone, F.when(F.col("text").isNull(), F.lit(0)).otherwise(dropped))
+    text = F.when(F.col(gone) > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
     renewed = {"text": text}
     if "n_chars" in columns:
-        renewed["n_chars"] = F.when(F.col("dropped__") > 0, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
+        renewed["n_chars"] = F.when(F.col(gone) > 0, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
     out = [renewed.get(name, F.col(name)).alias(name) for name in columns]
     if counts:
         n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(own)).cast("long")
-        out = [*out, n_lines.alias("n_lines"), F.col("dropped__").cast("long").alias("n_dropped")]
+        out = [*out, n_lines.alias("n_lines"), F.col(gone).cast("long").alias("n_dropped")]
     return joined.select(out)
 
 
@@ -86,7 +97,7 @@ held as (
 ), hosts as (select source, count(*) as pages from d group by source),
 boiler as (
   select h.source, h.line from held h join hosts t on h.source is not distinct from t.source
-  where h.pages >= 5 and h.pages > 0.1 * t.pages
+  where h.pages >= 5 and h.pages > 0.02 * t.pages
 ), kept as (
   select r, count(*) as n_lines, count(*) filter (where b.line is not null) as n_dropped,
     string_agg(l.line, chr(10) order by place) filter (where b.line is null) as text

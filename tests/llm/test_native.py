@@ -126,6 +126,25 @@ def test_line_dedup_counts_lines_before_it_broadcasts(spark, monkeypatch):
     assert asked == [9]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_line_dedup_keeps_columns_of_any_name(spark, monkeypatch, small):
+    monkeypatch.setattr(line_dedup, "is_small", lambda df: small)
+    schema = "source string, text string, kept__ long, LINES__ long, salt__ long, host__ long, dropped__ long, n_lines long"
+    docs = spark.createDataFrame([("h", f"top\nown {i}", 1, 2, 3, 4, 5, 6) for i in range(9)], schema)
+    kept = line_dedup.drop_boilerplate(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [("h", f"own {i}", 1, 2, 3, 4, 5, 6) for i in range(9)]
+    counted = line_dedup.drop_boilerplate(docs, counts=True)
+    assert counted.columns == [*docs.columns[:-1], "n_lines", "n_dropped"]
+    assert sorted(map(tuple, counted.collect()))[0] == ("h", "own 0", 1, 2, 3, 4, 5, 2, 1)
+
+
+def test_line_dedup_drops_what_is_on_three_pages_in_a_hundred(spark):
+    rows = [("h", ("rare\n" if i < 7 else "") + ("odd\n" if i < 4 else "") + f"own {i}") for i in range(200)]
+    out = line_dedup.drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).collect()
+    assert sum("rare" in r.text for r in out) == 0 and sum("odd" in r.text for r in out) == 4
+
+
 PAGES = "page_id long, url string, html string, payload string"
 
 
