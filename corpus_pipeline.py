@@ -17,7 +17,7 @@ from gridwarden.llm.line_dedup import drop_boilerplate
 from gridwarden.llm.ngram_join import one_of_each
 from gridwarden.llm.toxicity import clean_documents
 
-#: Lines on more than this share of a host's pages go, at every size. The query op6 keeps the tenth that its SQL states.
+#: Lines on more than this share of a host's pages go, at every size.
 LINE_RATIO = 0.02
 
 
