@@ -4,28 +4,32 @@ Items and documents are lower-cased (A-Z) and cut into words. A window is `N` co
 words of a shorter item. Every window of a document is hashed; its hash is looked up in the broadcast windows and each
 match is verified word by word. A document's hit words are the union of its matched windows.
 
-The windows of the benchmark are counted first. Up to `BROADCAST_ROWS` of them are broadcast at once; more are cut by
-hash into parts of that size, with a scan of the documents for each.
+Only the windows' hashes are broadcast, eight bytes each however long the words are, and one scan looks up windows of
+all lengths. The windows whose hash is found are written to the shared folder with their words, so that a lost executor
+doesn't repeat the scan, and joined to the benchmark's windows by hash and words. The hashes are counted first: up to
+`BROADCAST_HASHES` are broadcast at once; more are cut into parts of that size, with a scan of the documents for each.
 
-Everything is DataFrame functions. Matches are written to the shared folder before they are joined to the documents,
-so that a lost executor doesn't repeat the scan.
+Everything is DataFrame functions. The scan also leaves a row per document with its number of words.
 
 Defined cases: null or wordless texts have no words and no hits; items without words have no window; an item with a
 null id marks words but isn't listed; a repeated item_id counts once; documents repeated with the same id and text each
 get the same answer; null doc_ids are matched with each other; an empty benchmark or an empty table of documents
-gives no hits; other columns are kept where documents are returned and never read.
+gives no hits; other columns, whatever their names, are kept where documents are returned and never read. A text is
+one row of one task, at some 40 bytes a word; its hits are merged by running maxima, in proportion to their number.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridwarden.llm.common import BETWEEN, BROADCAST_ROWS, CASED_WORD, ascii_lower, is_small, stored, table, with_words
+from gridwarden.llm.common import BETWEEN, CASED_WORD, ascii_lower, is_small, stored, table, with_words
 
 N = 10
+#: Broadcast at most so many hashes at once; Spark's table of them takes some 60 bytes each.
+BROADCAST_HASHES = 2_000_000
 
 
 def hashes_of(words: Column) -> Column:
@@ -60,59 +64,100 @@ def row_key() -> Column:
     return F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64(F.col("text")).alias("text"))
 
 
-def matches(docs: DataFrame, windows: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """(key, at, length, hash) for each window of a document that equals one of the benchmark."""
-    distinct = windows.select("hash", "window", "length").distinct()
-    sizes = distinct.groupBy("length").count().collect()  # one row per length, N at most
-    parts = max(1, math.ceil(sum(row["count"] for row in sizes) / bound))
+def all_window_hashes(hashes: Column, lengths: list[int]) -> Column:
+    """The hashes of the windows of every length, one length after another."""
+    return F.concat(*[window_hashes(hashes, n) for n in lengths]) if lengths else F.array().cast("array<bigint>")
+
+
+def place_of(place: Column, n_words: Column, lengths: list[int]) -> tuple[Column, Column]:
+    """Where the window at a place of `all_window_hashes` begins, and its length."""
+    begin, length, before = place, F.lit(lengths[-1] if lengths else 0), F.lit(0)
+    bounds = []
+    for n in lengths[:-1]:
+        after = before + F.greatest(n_words - n + 1, F.lit(0))
+        bounds.append((n, before, after))
+        before = after
+    begin = place - before
+    for n, low, high in reversed(bounds):
+        begin = F.when(place < high, place - low).otherwise(begin)
+        length = F.when(place < high, F.lit(n)).otherwise(length)
+    return begin, length
+
+
+def scanned(docs: DataFrame, windows: DataFrame, bound: int = BROADCAST_HASHES) -> DataFrame:
+    """(key, n_words, first, at, length, hash, window) from the documents' words.
+
+    Each row of `docs` gives one row that is `first`; each window whose hash is one of the benchmark's gives a row with
+    its place, hash and words, null in other rows.
+    """
+    lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())  # N at most
+    known = windows.select(F.col("hash").alias("known")).distinct()
+    parts = max(1, math.ceil(known.count() / bound))
     words = with_words(docs.select(row_key().alias("key"), "text"), "key")
     words = words.withColumn("hashes", hashes_of(F.col("words")))
+    # hashes are a column of their own, so that generator and join run in one generated loop; the outer generator
+    # keeps the optimizer from testing their number below, which would compute them twice
+    hashed = words.select("key", "words", all_window_hashes(F.col("hashes"), lengths).alias("windows"))
+    placed = hashed.select("key", "words", F.posexplode_outer("windows").alias("place", "hash"))
     found = None
-    for length in sorted(row["length"] for row in sizes):
-        # hashes are a column of their own, so that generator and join run in one generated loop; the outer generator
-        # keeps the optimizer from testing their number below, which would compute them twice
-        hashed = words.select("key", "words", window_hashes(F.col("hashes"), length).alias("windows"))
-        scanned = hashed.select("key", "words", F.posexplode_outer("windows").alias("at", "hash"))
-        for part in range(parts):
-            own = distinct.where((F.col("length") == length) & (F.pmod("hash", F.lit(parts)) == part))
-            same = window_text(F.col("words"), F.col("at") + 1, F.lit(length))
-            # two bounds for equality: the join's key stays the hash, and words are compared for its matches only
-            hit = scanned.join(F.broadcast(own.drop("length")), "hash").where(
-                (same <= F.col("window")) & (same >= F.col("window"))
-            )
-            hit = hit.select("key", "at", F.lit(length).alias("length"), "hash")
-            found = hit if found is None else found.unionByName(hit)
-    if found is None:
-        found = words.where("false").select("key", F.lit(0).alias("at"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("hash"))
+    for part in range(parts):
+        own = F.broadcast(known.where(F.pmod("known", F.lit(parts)) == part))
+        first = F.coalesce(F.col("place"), F.lit(0)) == 0 if part == 0 else F.lit(False)
+        looked_up = placed.join(own, placed["hash"] == own["known"], "left").where(F.col("known").isNotNull() | first)
+        begin, length = place_of(F.col("place"), F.size("words"), lengths)
+        hit = lambda value: F.when(F.col("known").isNotNull(), value)
+        rows = looked_up.select(
+            "key",
+            F.size("words").cast("long").alias("n_words"),
+            first.alias("first"),
+            hit(begin).alias("at"),
+            hit(length).alias("length"),
+            F.col("known").alias("hash"),
+            hit(window_text(F.col("words"), begin + 1, length)).alias("window"),
+        )
+        found = rows if found is None else found.unionByName(rows)
     return found
 
 
-def merged_spans(hits: Column) -> Column:
-    """Sorted (at, length) pairs as disjoint (begin, end) spans."""
-    empty = F.array().cast("array<struct<begin:int,end:int>>")
+def verified(found: DataFrame, windows: DataFrame) -> DataFrame:
+    """(key, at, length, hash, window) of the scan's rows whose words are those of a window of the benchmark.
+
+    Both sides should be stored tables: so the join's shuffles are its own, and AQE can split a passage that a third of
+    all documents hold.
+    """
+    hits = found.where("hash is not null").select("key", "at", "length", "hash", "window")
+    return hits.join(windows, ["hash", "window"], "left_semi").select("key", "at", "length", "hash", "window")
 
-    def add(spans: Column, hit: Column) -> Column:
-        last, end = F.element_at(spans, -1), hit["at"] + hit["length"]
-        grown = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], end).alias("end"))
-        new = F.struct(hit["at"].alias("begin"), end.alias("end"))
-        return F.when(
-            (F.size(spans) > 0) & (F.try_element_at(spans, F.lit(-1))["end"] >= hit["at"]),
-            F.concat(F.slice(spans, 1, F.size(spans) - 1), F.array(grown)),
-        ).otherwise(F.concat(spans, F.array(new)))
 
-    return F.aggregate(hits, empty, add)
+def merged_spans(hits: DataFrame) -> DataFrame:
+    """(key, spans): each key's hits as disjoint (begin, end) spans in order; hits that touch become one."""
+    in_order = Window.partitionBy("key").orderBy("at")
+    placed = hits.select("key", "at", (F.col("at") + F.col("length")).alias("end"))
+    reached = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = placed.withColumn("opens", (reached.isNull() | (F.col("at") > reached)).cast("long"))
+    numbered = opens.withColumn("span", F.sum("opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = numbered.groupBy("key", "span").agg(F.min("at").alias("begin"), F.max("end").alias("end"))
+    return spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
 
 
-def hit_rows(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+def hits_of(found: DataFrame, windows: DataFrame) -> DataFrame:
     """(hit_key, spans, items) for each key with hits: spans of hit words, ids of the items that hit them."""
-    windows = benchmark_windows(benchmark, n)
-    found = stored(matches(docs, windows), "matches")
-    spans = found.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("at", "length"))).alias("hits"))
-    ids = windows.where("item_id is not null").select("hash", F.col("item_id").cast("string").alias("item_id")).distinct()
-    pairs = found.select("key", "hash").distinct().join(ids, "hash").select("key", "item_id").distinct()
+    hits = stored(verified(found, windows), "matches")
+    named = windows.where("item_id is not null").select("hash", "window", F.col("item_id").cast("string").alias("item_id")).distinct()
+    pairs = hits.select("key", "hash", "window").distinct().join(named, ["hash", "window"]).select("key", "item_id").distinct()
     items = pairs.groupBy("key").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
-    joined = spans.select("key", merged_spans(F.col("hits")).alias("spans")).join(items, "key", "left")
-    return joined.withColumnRenamed("key", "hit_key")
+    return merged_spans(hits).join(items, "key", "left").withColumnRenamed("key", "hit_key")
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = N, bound: int = BROADCAST_HASHES) -> tuple[DataFrame, DataFrame]:
+    """The stored rows of `scanned` and the benchmark's stored windows."""
+    windows = stored(benchmark_windows(benchmark, n), "windows")
+    return stored(scanned(docs, windows, bound), "scanned"), windows
+
+
+def hit_rows(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+    """(hit_key, spans, items) of the documents with hits."""
+    return hits_of(*scan(docs, benchmark, n))
 
 
 def with_hits(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -145,7 +190,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     columns = docs.columns
     keyed = docs.withColumn("row_key__", row_key())
     if remove == "documents":  # only the keys of contaminated documents travel, if few to every task
-        keys = stored(matches(docs, benchmark_windows(benchmark, n)).select(F.col("key").alias("hit_key")).distinct(), "hits")
+        keys = stored(verified(*scan(docs, benchmark, n)).select(F.col("key").alias("hit_key")).distinct(), "hits")
         keys = F.broadcast(keys) if is_small(keys) else keys
         return keyed.join(keys, F.col("row_key__").eqNullSafe(F.col("hit_key")), "left_anti").select(columns)
     found = hit_rows(docs, benchmark, n).select("hit_key", F.col("spans").alias("spans__"))
@@ -158,10 +203,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
 
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = hit_rows(docs, table(spark, sf_dir, "benchmark"))
-    counted = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(CASED_WORD)).cast("long")
-    judged = with_hits(docs.select("doc_id", row_key().alias("row_key__"), counted.alias("n_words")), found)
+    found, windows = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    documents = found.where("first").select(F.col("key.doc_id").alias("doc_id"), "n_words", F.col("key").alias("row_key__"))
+    judged = with_hits(documents, hits_of(found, windows))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     items = F.coalesce("items", F.array().cast("array<string>"))
     return judged.select(

@@ -5,6 +5,7 @@ import glob
 import gzip
 import hashlib
 import os
+import random
 import time
 from collections import Counter
 
@@ -94,9 +95,45 @@ def test_decontamination_in_parts_finds_the_same(spark):
     docs = spark.createDataFrame([(i, f"a{i} b{i} c d e f g h i j k l m n") for i in range(20)], "doc_id long, text string")
     items = spark.createDataFrame([(1, "c d e f g h i j k l m"), (2, "a3 b3")], "item_id long, text string")
     windows = decontaminate.benchmark_windows(items)
-    whole = {tuple(r) for r in decontaminate.matches(docs, windows).collect()}
-    assert {tuple(r) for r in decontaminate.matches(docs, windows, bound=1).collect()} == whole
-    assert len(whole) == 41
+    for bound in (1, 1000):
+        found = decontaminate.scanned(docs, windows, bound).cache()
+        assert found.where("first").count() == 20 and found.where("hash is not null").count() == 41
+        assert sorted((r.key.doc_id, r["at"]) for r in decontaminate.verified(found, windows).collect()) == sorted(
+            [(i, at) for i in range(20) for at in (2, 3)] + [(3, 0)]
+        )
+
+
+def test_windows_of_all_lengths_in_one_scan_equal_brute_force(spark, tmp_path):
+    make = random.Random(4)
+    texts = [" ".join(make.choices("abcd", k=make.randint(0, 40))) for _ in range(60)]
+    wanted = [" ".join(make.choices("abcd", k=n % 13)) for n in range(30)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(f"i{n}", t) for n, t in enumerate(wanted)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in decontaminate.decontamination_query(spark, str(tmp_path)).collect()}
+    for doc_id, words in enumerate(map(str.split, texts)):
+        hit, items = set(), set()
+        for n, item in enumerate(map(str.split, wanted)):
+            k = min(10, len(item))
+            own = {tuple(item[i : i + k]) for i in range(len(item) - k + 1)} if item else set()
+            for i in range(len(words) - k + 1):
+                if tuple(words[i : i + k]) in own:
+                    hit |= set(range(i, i + k))
+                    items.add(f"i{n}")
+        digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+        assert got[doc_id] == (len(words), len(hit), len(items), digest)
+    docs, windows = spark.read.parquet(f"{tmp_path}/documents.parquet"), decontaminate.benchmark_windows(spark.read.parquet(f"{tmp_path}/benchmark.parquet"))
+    assert windows.select("length").distinct().count() == 10
+    plan = decontaminate.scanned(docs, windows)._jdf.queryExecution().optimizedPlan().collectLeaves().toString()
+    assert plan.count("doc_id") == 1
+
+
+def test_a_document_of_many_hits_costs_in_proportion(spark):
+    docs = spark.createDataFrame([(1, "a b c " * 50_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b"), (2, "b c a b")], "item_id long, text string")
+    begin = time.monotonic()
+    row = decontaminate.contamination(docs, items).first()
+    assert [(s.begin, s.end) for s in row.spans] == [(0, 149_999)] and row["items"] == ["1", "2"]
+    assert time.monotonic() - begin < 60  # some seconds, where copying the spans per hit took hours
 
 
 def test_line_dedup_edges(spark):
