@@ -7,8 +7,10 @@ the leaves up, a block is worth its log odds and the worth of its children, or n
 
 The trees are fitted on pages that this module composes, where every block's part is known; none of the corpus is used.
 
+An article's own header and its pictures' captions are main text; headers beside an article and footers are not.
+
 Defined cases: null or empty html and pages without main text give the empty string; unclosed and stray tags are
-mended as browsers do, a head without an end tag too; scripts, styles, drawings and other unseen content never count,
+mended by a few of the browsers' rules (paragraphs, list items, table cells, links, heads); scripts, styles, drawings and other unseen content never count,
 formulas do without their annotations; character references are decoded, also
 unfinished ones; nothing is capped; repeated rows repeat; other columns are kept; an empty table gives no rows.
 """
@@ -50,6 +52,8 @@ ENDS_P = frozenset(
     " main menu nav ol p pre section table ul li dd dt".split()
 )
 ENDS_OWN = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+#: What lies in these is part of an article by its tag alone.
+ARTICLE = frozenset(["article", "main"])
 SCOPES = frozenset("ul ol dl table article section div main body html td th select".split())
 #: Words in tags, classes, ids and roles that name a part of a page.
 PARTS = {
@@ -67,7 +71,7 @@ PARTS = {
 NAMED = {word: number for number, words in enumerate(PARTS.values()) for word in words.split()}
 KINDS = ["h1 h2 h3 h4 h5 h6", "p blockquote pre figcaption", "li dd dt", "ul ol dl menu", "td th tr table tbody thead", "div section"]
 KIND = {tag: number for number, tags in enumerate(KINDS) for tag in tags.split()}
-FEATURES = 14 + len(KINDS) + 1 + 2 * len(PARTS)
+FEATURES = 15 + len(KINDS) + 1 + 2 * len(PARTS)
 BATCH_CHARS = 4 << 20
 
 
@@ -186,7 +190,7 @@ def features_of(page: Page) -> np.ndarray:
             at += size
     linked, total, nodes, paragraphs = np.array(page.linked, float), own.copy(), np.ones(n), np.array([t == "p" for t in page.tags], float)
     children, siblings_text, number = np.zeros(n), np.zeros(n), np.zeros(n)
-    depth, above = np.zeros(n), [frozenset()] * n
+    depth, inside, above = np.zeros(n), np.zeros(n), [frozenset()] * n
     for node in range(n - 1, 0, -1):
         up = page.parent[node]
         for values in (linked, total, nodes, paragraphs, signs):
@@ -195,6 +199,7 @@ def features_of(page: Page) -> np.ndarray:
     for node in range(1, n):
         up = page.parent[node]
         depth[node] = depth[up] + 1
+        inside[node] = inside[up] or page.tags[up] in ARTICLE
         number[node] = children[up]
         children[up] += 1
         siblings_text[up] += total[node]
@@ -208,7 +213,7 @@ def features_of(page: Page) -> np.ndarray:
     columns = [
         depth, count, number / count, np.log1p(own), np.log1p(total), linked / np.maximum(total, 1), np.log1p(total / nodes),
         total / every, signs / np.maximum(total, 1), children, paragraphs, begin / every,
-        np.log1p(siblings_text[parent] / count), total / np.maximum(siblings_text[parent] / count, 1),
+        np.log1p(siblings_text[parent] / count), total / np.maximum(siblings_text[parent] / count, 1), inside,
     ]
     x[:, : len(columns)] = np.stack(columns, axis=1)
     base = len(columns)
@@ -245,7 +250,7 @@ def composed_page(make: random.Random) -> str:
     words = lambda low, high: " ".join(word() for _ in range(make.randint(low, high)))
     sentence = lambda: words(*make.choice([(1, 3), (3, 18), (3, 18)])).capitalize() + make.choice([".", ".", ".", "?", " |", ""])
     prose = lambda most=8: " ".join(sentence() for _ in range(make.randint(1, most)))
-    links = lambda tag="li": "".join(f"<{tag}><a href='/{word()}'>{words(1, 4)}</a></{tag}>" for _ in range(make.randint(2, 9)))
+    links = lambda tag="li": "".join(f"<{tag}><a href='/{word()}'>{words(1, 4)}{make.choice(['', '', ',', '.'])}</a></{tag}>" for _ in range(make.randint(2, 9)))
 
     def part(name: str, tags: list[str], inside: str) -> str:
         """A block of another part, named by its tag or by its attributes."""
@@ -268,12 +273,17 @@ def composed_page(make: random.Random) -> str:
     foot = lambda: part("footer", ["footer"], make.choice([f"&copy; {words(2, 12)}", f"<p>&copy; {prose(2)}</p>", f"<ul>{links()}</ul><p>{words(2, 9)}</p>"]))
     share = lambda: part("share", [], make.choice([links("span"), f"<p>{words(2, 6)}</p>"]))
 
+    figure = lambda: f'<figure{make.choice(["", "", chr(32) + "class=" + word()])}><img src="{word()}.png">{make.choice(["<figcaption>{}</figcaption>", "<figcaption><p>{}</p></figcaption>"]).format(prose(2))}</figure>'
+
+    tag, attrs = make.choice([("article", ""), ("article", ""), ("main", ""), ("div", ' id="content"'), ("div", ' class="post-body"'), ("section", ' class="entry"'), ("div", ' class="story"'), ("div", "")])
     body = [f"<h1>{words(2, 10)}</h1>"] if make.random() < 0.85 else []
+    if body and tag in ARTICLE and make.random() < 0.4:  # an article's own header belongs to it
+        body = [f"<header>{body[0]}{make.choice(['', f'<p>{sentence()}</p>'])}</header>"]
     for _ in range(make.choice([1, 2, 3, 5, 8, 13, 30])):
         body.append(
             make.choices(
-                [paragraph(), f"<h2>{words(1, 6)}</h2>", f"<ul>{''.join(f'<li>{sentence()}</li>' for _ in range(3))}</ul>", f"<blockquote>{prose(3)}</blockquote>", f"<pre>{words(4, 20)}</pre>", f"<table><tr><td>{words(1, 5)}<td>{words(1, 5)}</table>", f"<div>{prose()}</div>"],
-                [20, 2, 2, 1, 0.5, 0.5, 1],
+                [paragraph(), f"<h2>{words(1, 6)}</h2>", f"<ul>{''.join(f'<li>{sentence()}</li>' for _ in range(3))}</ul>", f"<blockquote>{prose(3)}</blockquote>", f"<pre>{words(4, 20)}</pre>", f"<table><tr><td>{words(1, 5)}<td>{words(1, 5)}</table>", f"<div>{prose()}</div>", figure()],
+                [20, 2, 2, 1, 0.5, 0.5, 1, 1],
             )[0]
         )
     for extra in (advert, side, fill_in, share, notice):
@@ -281,10 +291,11 @@ def composed_page(make: random.Random) -> str:
             body.insert(make.randint(0, len(body)), extra())
     if make.random() < 0.15:
         body.append(comments())
-    tag, attrs = make.choice([("article", ""), ("article", ""), ("main", ""), ("div", ' id="content"'), ("div", ' class="post-body"'), ("section", ' class="entry"'), ("div", ' class="story"'), ("div", "")])
+    if make.random() < 0.1:
+        body.append(foot())
     article = f'<{tag}{attrs} data-main="1">{"".join(body)}</{tag}>'
     if make.random() < 0.3:
-        article = f'<div class="{make.choice(["wrap", "container", "layout", "page"])}" data-main="1">{article}{side() if make.random() < 0.4 else ""}</div>'
+        article = f'<div class="{make.choice(["wrap", "container", "layout", "page"])}" data-main="1">{head() if make.random() < 0.3 else ""}{menu() if make.random() < 0.2 else ""}{article}{side() if make.random() < 0.4 else ""}</div>'
     before = [x() for x, p in ((head, 0.4), (menu, 0.7), (notice, 0.3), (advert, 0.4), (fill_in, 0.2)) if make.random() < p]
     after = [x() for x, p in ((comments, 0.35), (side, 0.35), (advert, 0.2), (share, 0.2), (fill_in, 0.2), (menu, 0.2), (foot, 0.75), (notice, 0.15)) if make.random() < p]
     make.shuffle(before)

@@ -321,6 +321,12 @@ def test_language_query_knows_the_documents(spark):
 # --- HTML -----------------------------------------------------------------------------------------
 
 
+@pytest.fixture(scope="module")
+def all_trees():
+    """As the query trains them."""
+    return html_main.trained()
+
+
 @pytest.fixture(scope="module")
 def trees():
     return html_main.trained(pages=500)
@@ -372,6 +378,41 @@ def test_heads_drawings_and_formulas_without_end_tags(trees):
     assert every("<template><head><p>no</template><p>yes") == "yes"
 
 
+PROSE = "Long words of a real story go on here, with commas, and then some more of it. Another sentence follows at once."
+LAYOUTS = {
+    "own header": (
+        "<header><h2>Site name</h2></header><nav><a href=/>Home</a> <a href=/b>News</a></nav>"
+        "<article><header><h1>Headline of it</h1></header><p>{0}</p><p>{0}</p></article><footer>&copy; Site 2020</footer>",
+        ["Headline of it", PROSE, PROSE],
+    ),
+    "caption": (
+        "<nav><a href=/>Home</a> <a href=/b>News</a></nav><article><h1>Headline</h1><p>{0}</p><figure><img src=a.png>"
+        "<figcaption>A caption of the picture.</figcaption></figure><p>{0}</p></article><footer>&copy; Site 2020</footer>",
+        ["Headline", PROSE, "A caption of the picture.", PROSE],
+    ),
+    "site header in a wrapper": (
+        "<div class=page><header><h1>Site name</h1></header><div id=main><h1>Headline</h1><p>{0}</p><p>{0}</p></div><footer>&copy; Site</footer></div>",
+        ["Headline", PROSE, PROSE],
+    ),
+    "own footer": (
+        "<article><h1>Headline</h1><p>{0}</p><p>{0}</p><footer>Filed under: <a href=/>x</a></footer></article>",
+        ["Headline", PROSE, PROSE],
+    ),
+    "menu of words with signs": (
+        "<nav><ul><li><a href=/>The</a></li><li><a href=/a>and.</a></li><li><a href=/b>the,</a></li></ul></nav>"
+        "<article><h1>Headline</h1><p>{0}</p><p>{0}</p></article>",
+        ["Headline", PROSE, PROSE],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts_that_the_module_does_not_compose(all_trees, name):
+    body, blocks = LAYOUTS[name]
+    html = f"<html><head><title>t</title></head><body>{body.format(PROSE)}</body></html>"
+    assert html_main.main_texts([html], all_trees)[0].split("\n\n") == blocks
+
+
 def test_data_main_of_corpus_pages_is_not_read(trees):
     article = "<article><h1>Title</h1><p>" + "more text, here. " * 30 + "</p></article>"
     plain = html_main.main_texts([f"<html><body>{article}</body></html>"], trees)
