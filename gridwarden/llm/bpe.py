@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridwarden.llm.common import table
+from gridwarden.llm.common import frugal, pieces, table
 
 CACHED_WORDS = 300_000
 SLAB_WORDS = 100_000
@@ -180,14 +180,8 @@ def with_tokens(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataF
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            begin, size, column = 0, 0, batch.column("text")
-            for row in range(batch.num_rows + 1):
-                if row == batch.num_rows or size >= BATCH_CHARS:
-                    if row > begin:
-                        yield of_rows(batch.slice(begin, row - begin), vocabulary)
-                    begin, size = row, 0
-                if row < batch.num_rows:
-                    size += len(column[row].as_py() or "")
+            for piece in pieces(batch, "text"):
+                yield of_rows(piece, vocabulary)
 
     names = kept.columns
 
@@ -201,7 +195,7 @@ def with_tokens(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataF
         return pa.RecordBatch.from_pydict(columns)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(tokens, f"{fields}, ids array<int>" + (", decoded string" if decoded else ""))
+    return kept.mapInArrow(frugal(tokens), f"{fields}, ids array<int>" + (", decoded string" if decoded else ""))
 
 
 def bpe_query(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:

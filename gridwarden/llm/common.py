@@ -1,9 +1,15 @@
-"""Helpers that several operators share: table reading, the shared folder, words, row keys."""
+"""Helpers that several operators share: table reading, the shared folder, words, row keys, memory of Python workers."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +18,8 @@ CASED_WORD, BETWEEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Broadcast on our word only what was measured to hold at most this many rows of a few dozen bytes.
 BROADCAST_ROWS = 500_000
+#: Bytes of text that a Python worker takes up at once from a batch.
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +61,36 @@ def salted(key: Column, salts: int, *spread: Column) -> Column:
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether the frame has at most so many rows; counts no further than that."""
     return df.limit(rows + 1).count() <= rows
+
+
+def pieces(batch: pa.RecordBatch, text: str | int, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows of a batch in order, in slices whose texts have so many bytes at most; a longer text has a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work; when a task ends, its worker gives freed memory back to the system.
+
+    Workers are kept for the tasks of later stages. What the allocators hold back would add to what those stages need.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Returns memory that was freed, but is kept by Arrow's pool and the C library's heap (glibc; others have no such call)."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):
+        ctypes.CDLL(None).malloc_trim(0)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwarden.llm.components import connected_components
-from gridwarden.llm.common import is_small, stored, table
+from gridwarden.llm.common import frugal, is_small, pieces, stored, table
 from gridwarden.llm.hashing import BASE, WordHasher, mixed, shingles
 
 THRESHOLD = 0.8
@@ -35,7 +35,6 @@ RECALL = 0.999
 MOST_HASHES = 128
 #: A task holds at most two blocks.
 BLOCK_BYTES, BLOCK_TEXTS = 8 << 20, 1024
-BATCH_ROWS = 256
 
 
 def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -73,8 +72,7 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
+            for batch in pieces(whole, 2):
                 keys, sizes, found = [], [], []
                 for words in hasher.texts(batch.column(2).to_pylist()):
                     own = shingles(words)
@@ -87,7 +85,7 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 )
 
     read = docs.select(F.col("doc_id").cast("long"), row_hash(F.col("text")).alias("row_hash"), F.col("text").cast("string"))
-    return read.mapInArrow(signed, "doc_id long, row_hash long, text_key binary, size int, bands array<long>")
+    return read.mapInArrow(frugal(signed), "doc_id long, row_hash long, text_key binary, size int, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -96,14 +94,13 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
+            for batch in pieces(whole, 1):
                 sets = [shingles(words).tobytes() for words in hasher.texts(batch.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["text_key", "shingles"])
 
     read = docs.select("doc_id", row_hash(F.col("text")).alias("row_hash"), "text")
     same = read["doc_id"].eqNullSafe(wanted["first"]["doc_id"]) & (read["row_hash"] == wanted["first"]["row_hash"])
-    return read.join(wanted, same).select("text_key", "text").mapInArrow(gathered, "text_key binary, shingles binary")
+    return read.join(wanted, same).select("text_key", "text").mapInArrow(frugal(gathered), "text_key binary, shingles binary")
 
 
 def open_pairs(bands: np.ndarray, sizes: np.ndarray, block: np.ndarray, band: int, i: int, j: int, threshold: float) -> np.ndarray:
@@ -213,7 +210,7 @@ def found_links(docs: DataFrame, texts: DataFrame, threshold: float) -> DataFram
         if len(held) > 1 and (out := judged(held, task[0], task[2], task[3], threshold)):
             yield out
 
-    return tasks.mapInArrow(judge, "a binary, b binary, links long")
+    return tasks.mapInArrow(frugal(judge), "a binary, b binary, links long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:

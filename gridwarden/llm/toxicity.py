@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwarden.llm.common import table
+from gridwarden.llm.common import frugal, pieces, table
 from gridwarden.llm.gru import WINDOW, Network, Words, sigmoid, windows_of
 from gridwarden.llm.hashing import WordHasher
 
@@ -196,13 +196,14 @@ def with_scores(docs: DataFrame, labels: DataFrame, name: str = "score") -> Data
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, model = WordHasher(), None
-        for batch in batches:
+        for whole in batches:
             model = model or Model.of_plain(shared.value)
-            columns = {kept_name: batch.column(kept_name) for kept_name in names}
-            columns[name] = pa.array(model.scores(batch.column("text").to_pylist(), hasher), pa.float64())
-            yield pa.RecordBatch.from_pydict(columns)
+            for batch in pieces(whole, "text"):
+                columns = {kept_name: batch.column(kept_name) for kept_name in names}
+                columns[name] = pa.array(model.scores(batch.column("text").to_pylist(), hasher), pa.float64())
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return kept.mapInArrow(scored, f"{fields}, {name} double")
+    return kept.mapInArrow(frugal(scored), f"{fields}, {name} double")
 
 
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,18 +3,22 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from gridwarden.llm import bpe, gru, html_main, language, ngram_join, queries, toxicity
-from gridwarden.llm.common import table
+from gridwarden.llm.common import pieces, table
 from gridwarden.llm.components import connected_components
 from gridwarden.llm.hashing import WordHasher
 
@@ -496,3 +500,56 @@ def test_stray_and_open_tags_cost_in_proportion(make):
         return time.monotonic() - begun
 
     assert seconds(100_000) < 10 * max(seconds(25_000), 0.3)
+
+
+def test_pieces_are_all_rows_in_order():
+    texts = ["", None, "ab", "ä", "x" * 9, "", "abc", "d", "e" * 4, None]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "text": pa.array(texts, pa.string())}).slice(1)
+    found = [piece.column("text").to_pylist() for piece in pieces(batch, "text", 4)]
+    assert found == [[None, "ab", "ä"], ["x" * 9], ["", "abc", "d"], ["e" * 4, None]]
+    assert [n for piece in pieces(batch, 1, 4) for n in piece.column(0).to_pylist()] == list(range(1, len(texts)))
+    assert list(pieces(batch.slice(0, 0), "text", 4)) == []
+
+
+#: Prints the MB that the one Python worker keeps after a stage over 200 rows, and then after one over 6,000.
+KEPT = """
+import re, sys
+from pathlib import Path
+import pyarrow as pa
+import public_tokenizers
+from pyspark.sql import SparkSession
+from gridwarden.llm import bpe, ngram_join
+
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.warehouse.dir", sys.argv[2]).getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+
+
+def kept(batches):
+    for _ in batches:
+        pass
+    yield pa.RecordBatch.from_pydict({"kb": [int(re.search(r"Pss_Anon:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text())[1])]})
+
+
+for rows in (200, 6000):
+    text = {
+        "bpe": "concat(repeat('some words, that repeat in each text ', 110), id)",
+        "signatures": "concat_ws(' ', transform(sequence(1, 500), x -> hex(hash(id, x))))",
+    }[sys.argv[1]]
+    docs = spark.range(0, rows, 1, 1).selectExpr("id doc_id", f"{text} text")
+    if sys.argv[1] == "bpe":
+        stage = bpe.with_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    else:
+        stage = ngram_join.signatures(docs, 18, 5)
+    stage.write.format("noop").mode("overwrite").save()
+    print("KEPT", spark.range(0, 1, 1, 1).mapInArrow(kept, "kb long").first().kb // 1024)
+"""
+
+
+@pytest.mark.parametrize("stage", ["bpe", "signatures"])
+def test_workers_give_back_what_a_stage_took(stage, tmp_path):
+    """Workers go on to the next stage; what they hold counts as an executor's memory there."""
+    done = subprocess.run(
+        [sys.executable, "-c", KEPT, stage, str(tmp_path)], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=300, check=True
+    )
+    little, much = map(int, re.findall(r"KEPT (\d+)", done.stdout))
+    assert much < little + 8, (little, much)
