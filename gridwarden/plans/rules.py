@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -23,12 +23,14 @@ from gridwarden.operators.checks import Message
 from gridwarden.operators.children import child_totals, with_child_totals, with_repeated_values, wrong_parent
 from gridwarden.operators.duplicates import conditional_summary, duplicate_key, matched_totals, rows_missing_key
 from gridwarden.operators.findings import COLUMNS, MARKS, NO_TEXT, Check, as_findings, flag_rows, marks, summary_marks
-from gridwarden.operators.joins import inner_join, repeat_rows, spread_join
+from gridwarden.operators.joins import inner_join, is_hot, repeat_rows, spread_join
 from gridwarden.sources.network import AUDIT, Network
 
 PHASE = "faseconexion"
 SWITCH, CAPACITOR, TRANSFORMER = "Seccionador Fusible", "Capacitor", "Puesto Transformador"
 CONNECTION = "Conexion Consumidor"
+#: The codes that units are counted by in columns, where units have no others.
+UNIT_PHASES = sorted({0, *values.PHASE_LETTERS})
 
 
 # --- Views ----------------------------------------------------------------------------------
@@ -57,9 +59,10 @@ def transformer_units(network: Network) -> DataFrame:
         units,
         "puestotransfdistglobalid",
         PHASE,
-        _rows="count(1)",
+        of_repeats={"_rows": "_repeats", "_phases": "coalesce(_value, 0) * _repeats"},
+        codes=UNIT_PHASES if network.holds_only("unidadtransfdistribucion", PHASE, UNIT_PHASES) else None,
+        hot=network.is_hot("puestotransfdistribucion", "globalid", nulls=True),
         _units="count(objectid)",
-        _phases=f"sum(coalesce({PHASE}, 0))",
         **power_totals(units),
         _bad_taps=f"count_if({c.null_or_range('tapnormal', *values.TAP_RANGE)})",
     )
@@ -72,6 +75,7 @@ def capacitor_units(network: Network) -> DataFrame:
         "globalid",
         units,
         "puestocorrfacpotglobalid",
+        hot=network.is_hot("puestocorrectorfactorpotencia", "globalid", nulls=True),
         _rows="count(1)",
         _units="count(objectid)",
         **power_totals(units),
@@ -84,6 +88,7 @@ def fuse_switch_units(network: Network) -> DataFrame:
         "globalid",
         network["unidadfusible"],
         "puestosecfusibleglobalid",
+        hot=network.is_hot("puestoseccionadorfusible", "globalid", nulls=True),
         _units="count(objectid)",
         _no_capacity="count_if(capacidad is null)",
     )
@@ -156,6 +161,19 @@ WIDER_VIEW = {
     "connection_total": "connection_totals",
 }
 
+
+def unmeasured(network: Network) -> bool:
+    """Copies that are not known to count rows of a table may be any number."""
+    return True
+
+
+# Whether one row of a view may be wanted very often, by what the copies of its marks count.
+HOT_COPIES: dict[str, Callable[[Network], bool]] = {
+    "transformer_units": lambda n: n.is_hot("unidadtransfdistribucion", "puestotransfdistglobalid"),
+    "fuse_switch_units": lambda n: n.is_hot("unidadfusible", "puestosecfusibleglobalid"),
+    "medium_structures": lambda n: is_hot(n.structures.most**2, 0),
+}
+
 Checks = list[tuple[str, Check]]
 
 
@@ -396,7 +414,10 @@ def fed_marks(network: Network, rule_ids: set[str]) -> DataFrame:
         transformers = transformers.selectExpr(
             "circuitsourceguid as _source", f"{PHASE} as _transformer_phase", "alimentadorid as _transformer_feeder"
         )
-        rows = rows.selectExpr("*", "if(_rule = 'R02', parentcircuitsourceguid, null) as _circuit")
+        # R02 names the transformer's feeder: what a row does not need is not shuffled.
+        own_feeder = "if(_rule = 'R02', null, alimentadorid) as alimentadorid"
+        kept = [name for name in rows.columns if name not in ("alimentadorid", "parentcircuitsourceguid", "_phased", "_fed")]
+        rows = rows.selectExpr(*kept, own_feeder, "if(_rule = 'R02', parentcircuitsourceguid, null) as _circuit")
         rows = spread_join(rows, transformers, "_circuit", "_source", "objectid")
         rows = rows.where(f"_rule = 'R04' or {phases_outside(PHASE, '_transformer_phase')}")
         feeder = "if(_rule = 'R02', _transformer_feeder, alimentadorid) as alimentadorid"
@@ -424,6 +445,17 @@ def per_connection(found: DataFrame, network: Network) -> DataFrame:
     return counted.selectExpr(*[name for name in found.columns if name not in COUNTED], copies)
 
 
+def hot_connections(network: Network, rule_ids: set[str]) -> bool:
+    """Whether one mark of `per_connection` may be wanted very often."""
+    times = network.own_parents.most if "R04" in rule_ids else 1
+    return network.is_hot("conexionconsumidor", "puntocargaglobalid", times=times)
+
+
+def hot_rows(network: Network, counted: tuple[str, str] | None) -> bool:
+    """Whether one mark may be wanted very often, where copies count rows of a table by a key."""
+    return counted is None or network.is_hot(*counted)
+
+
 def repeated_code(rule_id: str, code: str, label: str, distinct: bool = False) -> Callable[[Network], DataFrame]:
     """Every connection of a repeated code, once per group of equal audit values and per account.
 
@@ -432,12 +464,16 @@ def repeated_code(rule_id: str, code: str, label: str, distinct: bool = False) -
 
     def plan(network: Network) -> DataFrame:
         connections = network["conexionconsumidor"]
-        groups = duplicate_key(connections, code, list(AUDIT)).withColumnRenamed(code, "_code")
-        members = inner_join(connections.select("objectid", "puntocargaglobalid", code), groups, code, "_code")
         points = network["puntocarga"].selectExpr("globalid as _point_key", "alimentadorid", "objectid as _point")
-        members = inner_join(members, points, "puntocargaglobalid", "_point_key")
+        groups = duplicate_key(connections, code, list(AUDIT)).withColumnRenamed(code, "_code")
         accounts = child_totals(network["atributosconsumidor"], code, _accounts="count(1)")
-        members = spread_join(members, accounts, code, "_child_key", "objectid", "inner")
+        groups = spread_join(groups, accounts, "_code", "_child_key", "_code", "inner")
+        # Pairs of members and groups are many: they are made last, and not shuffled again. Members of a hot code go first
+        # to their groups, straight from the scan, by whose many tasks AQE splits them.
+        joins = [(points, "puntocargaglobalid", "_point_key"), (groups, code, "_code")]
+        members = connections.select("objectid", "puntocargaglobalid", code)
+        for right, key, right_key in reversed(joins) if network.is_hot("conexionconsumidor", code) else joins:
+            members = inner_join(members, right, key, right_key)
         texts = joined(literal(f"{label} = "), code), joined("'ObjectIDPC = '", "_point")
         copies = "1L as copies" if distinct else "_accounts as copies"
         return marks(members, literal(rule_id), literal(CONNECTION), *texts, copies)
@@ -460,7 +496,8 @@ def missing_key(rule_id: str, key: str, extra: str = "true") -> Callable[[Networ
 class Rule:
     """One rule. Rules with `scheduled` unset run only when named.
 
-    `checks` judge the rows of views, `plan` gives marks, and rules that are `fed` are questions of `fed_marks`.
+    `checks` judge the rows of views, `plan` gives marks, and rules that are `fed` are questions of `fed_marks`. The copies
+    of a plan's marks count rows of the table and key `counted`, if named.
     """
 
     rule_id: str
@@ -470,6 +507,7 @@ class Rule:
     fed: bool = False
     scheduled: bool = True
     heading: tuple[str, str] | None = None
+    counted: tuple[str, str] | None = None
 
     @property
     def title(self) -> tuple[str, str]:
@@ -477,7 +515,7 @@ class Rule:
         return self.heading or values.RULE_TITLES[self.rule_id]
 
 
-_STATION, _CAPACITOR = "puestotransfdistribucion", "puestocorrectorfactorpotencia"
+_STATION, _CAPACITOR, _ACCOUNT = "puestotransfdistribucion", "puestocorrectorfactorpotencia", "atributosconsumidor"
 
 RULES: dict[str, Rule] = {
     rule.rule_id: rule
@@ -499,8 +537,14 @@ RULES: dict[str, Rule] = {
         Rule("R15", "station_vs_unit_phase", station_vs_unit_phase),
         Rule("R16", "bank_unit_phases", bank_phases),
         Rule("R17", "transformer_unit_power", unit_power("R17", "transformer_units", TRANSFORMER, _STATION)),
-        Rule("R18", "client_code_repeated", plan=repeated_code("R18", "codigocliente", "CodigoCliente")),
-        Rule("R19", "unique_code_repeated", plan=repeated_code("R19", "codigounico", "CodigoUnico"), scheduled=False),
+        Rule("R18", "client_code_repeated", plan=repeated_code("R18", "codigocliente", "CodigoCliente"), counted=(_ACCOUNT, "codigocliente")),
+        Rule(
+            "R19",
+            "unique_code_repeated",
+            plan=repeated_code("R19", "codigounico", "CodigoUnico"),
+            scheduled=False,
+            counted=(_ACCOUNT, "codigounico"),
+        ),
         Rule("R20", "client_code_without_meter", no_meter),
         Rule("R21", "client_code_missing", no_client_code),
         Rule("R22", "client_code_and_meter_missing", plan=missing_key("R22", "codigocliente"), scheduled=False),
@@ -527,15 +571,18 @@ def rule_marks(network: Network, rules: Iterable[Rule]) -> DataFrame:
     for narrow, wide in WIDER_VIEW.items():
         if narrow in by_view and wide in by_view:
             by_view[wide] = by_view.pop(narrow) + by_view[wide]
-    parts = [flag_rows(VIEWS[view](network), found) for view, found in by_view.items()]
+    parts = [(flag_rows(VIEWS[view](network), found), HOT_COPIES.get(view, unmeasured)) for view, found in by_view.items()]
     fed = {rule.rule_id for rule in rules if rule.fed}
     if fed:
-        parts.append(per_connection(fed_marks(network, fed), network))
-    parts += [rule.plan(network) for rule in rules if rule.plan]
-    repeated = [part for part in parts if "copies" in part.columns]
-    plain = [part for part in parts if "copies" not in part.columns]
-    if repeated:
-        plain.append(repeat_rows(reduce(DataFrame.unionByName, repeated), "copies", "object_id"))
+        parts.append((per_connection(fed_marks(network, fed), network), partial(hot_connections, rule_ids=fed)))
+    parts += [(rule.plan(network), partial(hot_rows, counted=rule.counted)) for rule in rules if rule.plan]
+    plain = [part for part, _ in parts if "copies" not in part.columns]
+    repeated: dict[bool, list[DataFrame]] = {}
+    for part, hot in parts:
+        if "copies" in part.columns:
+            repeated.setdefault(hot(network), []).append(part)
+    for hot, found in sorted(repeated.items()):
+        plain.append(repeat_rows(reduce(DataFrame.unionByName, found), "copies", "object_id", hot))
     return reduce(DataFrame.union, [part.select(MARKS) for part in plain])
 
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import cache, cached_property
 from threading import Thread
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gridwarden.operators.joins import Lookup
+from gridwarden.operators.joins import Lookup, is_hot, most_rows
 
 #: How long counts of a finished job may take to arrive.
 TRACE_SECONDS = 10
@@ -108,6 +108,8 @@ class Network:
         self.audit_date = audit_date
         self._tables: dict[str, DataFrame] = {}
         self._traces: dict[str, Observation] | None = None
+        self._most: dict[tuple[str, str, bool], tuple[int, int]] = {}
+        self._strange: dict[tuple[str, str, tuple[int, ...]], bool] = {}
 
     def traced(self) -> Network:
         """The same network, which counts the values that cannot be read while jobs scan its tables; see `unreadable`."""
@@ -130,6 +132,22 @@ class Network:
         """A table without a trace, for what scans a part of it only."""
         return self._cast(name, self.load(name))
 
+    def is_hot(self, name: str, key: str, nulls: bool = False, times: int = 1) -> bool:
+        """Whether one key, or NULL with `nulls`, may have so many rows of the table, `times` over, that they are more
+        than one task should do. Measured once, without a trace."""
+        if (name, key, nulls) not in self._most:
+            rows = self.declared(name).select(key)
+            self._most[name, key, nulls] = most_rows(rows if nulls else rows.where(F.col(key).isNotNull()), key)
+        most, total = self._most[name, key, nulls]
+        return is_hot(most * times, total)
+
+    def holds_only(self, name: str, column: str, codes: Sequence[int]) -> bool:
+        """Whether the column holds these codes and NULL only. Looked up once, without a trace."""
+        asked = name, column, tuple(codes)
+        if asked not in self._strange:
+            self._strange[asked] = not self.declared(name).where(~F.col(column).isin(list(codes))).isEmpty()
+        return not self._strange[asked]
+
     def _cast(self, name: str, frame: DataFrame) -> DataFrame:
         types = self._types(name)
         return frame.selectExpr(*[self._column(name, c, k, types) for c, k in TABLES[name].items()])

@@ -8,9 +8,10 @@ from helpers import RUN_DATE, network, table
 from pyspark.sql import functions as F
 
 from gridwarden import RULES, all_findings, rule_findings
+from gridwarden.functions import values
 from gridwarden.operators import joins
 from gridwarden.operators.joins import Lookup, spread_join
-from gridwarden.plans.rules import fed_marks
+from gridwarden.plans.rules import fed_marks, transformer_units
 from gridwarden.sources.star import star_network
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -216,3 +217,69 @@ def test_catalog_size_does_not_change_what_r11_reads(spark, monkeypatch):
         plan = rule_findings(star_network(spark, SF_DIR), "R11", RUN_DATE)._jdf.queryExecution().optimizedPlan().toString()
         shapes.append((plan.count("Relation ["), plan.count("Aggregate [")))
     assert shapes[0] == shapes[1]
+
+
+@pytest.mark.parametrize("rule", ["R02", "R04", "R07", "R11", "R13", "R18"])
+def test_light_copies_stay_where_they_are(spark, rule):
+    """Rows wanted a few times are copied in their task; only where a count is hot are they dealt out."""
+
+    def dealt(net):
+        return "REPARTITION_BY_NUM" in rule_findings(net, rule, RUN_DATE)._jdf.queryExecution().executedPlan().toString()
+
+    assert not dealt(star_network(spark, SF_DIR))
+    if rule in ("R07", "R13"):
+        assert dealt(hot_network(spark))
+
+
+def test_light_copies_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(joins, "COPIES_PER_PIECE", 100)
+    rows = spark.createDataFrame([(1, 5_000), (2, 1), (3, 0), (4, 100), (5, 101)], "id long, copies long")
+    out = joins.repeat_rows(rows, "copies", "id", hot=False)
+    assert Counter(r["id"] for r in out.collect()) == Counter({1: 5_000, 2: 1, 4: 100, 5: 101})
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_most_rows_bounds_every_key(spark):
+    rows = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 7, "k string")
+    assert joins.most_rows(rows, "k") == (7, 14)
+    assert joins.most_rows(rows.where("k is not null"), "k") == (5, 7)
+    assert joins.most_rows(rows.where("false"), "k") == (0, 0)
+    assert joins.is_hot(10_001, 20_000) and not joins.is_hot(10_001, 64 * 10_001) and not joins.is_hot(7, 14)
+
+
+def test_totals_meet_parents_without_a_second_shuffle(spark):
+    """Units are shuffled once, by station, where phases are codes and no station's id is hot; stations and feeders too."""
+    with settings(spark, **NO_BROADCAST):
+        plan = rule_findings(star_network(spark, SF_DIR), "R13", RUN_DATE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_only_repeated_codes_of_a_large_catalog_are_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
+    codes = spark.createDataFrame([("a", "x"), ("a", "w"), *[(f"c{i}", "y") for i in range(9)]], "k string, v string")
+    many = spark.createDataFrame([(1, "a"), (2, "c1"), (3, None), (4, "none"), (5, "a")], "id long, key string")
+    lookup = Lookup(codes, "k", "v")
+    assert not lookup.fits and lookup.most == 2
+    with settings(spark, **NO_BROADCAST):
+        counted = lookup.join_count(many, "key", "id", "n")
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["id"], r["n"]) for r in counted.collect()) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 2)]
+        absent = lookup.join_count(many, "key", "id", "n", absent=0).collect()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r["id"], r["n"]) for r in absent) == [(1, 2), (2, 1), (3, 0), (4, 0), (5, 2)]
+
+
+@pytest.mark.parametrize("strange", [None, 9])
+def test_repeated_phases_are_counted_for_any_code(spark, strange):
+    """Units are counted by code in columns, or, with codes that no phase has, by code in rows: the same findings."""
+    units = [{"objectid": i, "puestotransfdistglobalid": "S", "faseconexion": code} for i, code in enumerate([1, 1, 2, None, None, None, 0, 0])]
+    units += [{"objectid": 20 + i, "puestotransfdistglobalid": "T", "faseconexion": strange} for i in range(2)]
+    stations = [
+        {"objectid": i, "globalid": name, "faseconexion": 7, "subtipo": values.BANK_SUBTYPES[0], "potenciakva": None}
+        for i, name in enumerate("STU")
+    ]
+    net = network(spark, puestotransfdistribucion=stations, unidadtransfdistribucion=units)
+    assert net.holds_only("unidadtransfdistribucion", "faseconexion", range(8)) == (strange is None)
+    seen = transformer_units(net).select("objectid", "repeated", "_rows", "_units", "_phases").collect()
+    found = {r["objectid"]: (sorted(((x["value"], x["repeats"]) for x in r["repeated"]), key=str) if r["repeated"] is not None else None, *r[2:]) for r in seen}
+    assert found == {0: ([(0, 2), (1, 2), (None, 3)], 8, 8, 4), 1: ([(strange, 2)], 2, 2, 2 * (strange or 0)), 2: (None, None, None, None)}
