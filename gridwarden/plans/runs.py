@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -26,11 +27,40 @@ def new_run(run_date: date) -> str:
     return f"{run_date:%Y%m%d}-{uuid4().hex}"
 
 
+class ShufflesFreed:
+    """While a part is written, Spark drops a job's shuffle files as soon as the job has ended.
+
+    Otherwise they stay until the driver collects garbage, those of all parts together. Parts may be written by several
+    threads at a time: the last one puts the session's setting back.
+    """
+
+    KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    lock, writers, before = Lock(), 0, None
+
+    def __init__(self, spark: SparkSession):
+        self.conf = spark.conf
+
+    def __enter__(self) -> None:
+        kind = type(self)
+        with kind.lock:
+            if not kind.writers:
+                kind.before = self.conf.get(self.KEY)
+            kind.writers += 1
+            self.conf.set(self.KEY, "true")
+
+    def __exit__(self, *error: object) -> None:
+        kind = type(self)
+        with kind.lock:
+            kind.writers -= 1
+            if not kind.writers:
+                self.conf.set(self.KEY, kind.before)
+
+
 def write_part(rows: DataFrame, path: str, run: str, part: str) -> str:
     """Writes one part of a run, rows with `rule_id`, and returns its name."""
-    # Gathered by rule: few files of good size, and AQE splits a rule with very many findings.
-    gathered = rows.hint("rebalance", "rule_id")
-    gathered.write.partitionBy("rule_id").parquet(f"{path}/runs/{run}/part={part}")
+    # Findings go from the task that makes them to its files: gathered by rule they would all be shuffled once more.
+    with ShufflesFreed(rows.sparkSession):
+        rows.write.option("compression", "zstd").partitionBy("rule_id").parquet(f"{path}/runs/{run}/part={part}")
     return part
 
 

@@ -3,6 +3,7 @@
 from collections import Counter
 from datetime import date, datetime
 from itertools import product
+from time import sleep
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -352,3 +353,29 @@ def test_census_counts_from_footers(spark, tmp_path):
     assert sorted(tuple(r) for r in scanned.collect()) == sorted(tuple(r) for r in pushed.collect()) == [("POSTES", 666), ("VACIA", 0)]
     filled = fast.read.parquet(f"{tmp_path}/POSTES").where("id < 10").selectExpr("count(ordentrabajo) as n")
     assert filled.first()["n"] == 6  # with a filter the rows are scanned
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files_and_shuffles_no_finding_to_write_it(spark, tmp_path, monkeypatch):
+    """Without any garbage collection; the session's own setting is as it was."""
+    net, path = star_network(spark, SF_DIR), tmp_path / "run"
+    before = spark.conf.get(runs.ShufflesFreed.KEY)
+    found = findings_with_rule(net, [RULES["R07"]], RUN_DATE)
+    net.is_hot("unidadfusible", "puestosecfusibleglobalid")  # measured before, by a job of its own
+    kept = shuffle_files(spark)
+    runs.write_part(found, str(path), "some", "all")
+    for _ in range(50):  # files go shortly after the job
+        if not shuffle_files(spark) - kept:
+            break
+        sleep(0.2)
+    assert not shuffle_files(spark) - kept
+    assert spark.conf.get(runs.ShufflesFreed.KEY) == before
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda writer, *args: written.append(writer._df) or parquet(writer, *args))
+    runs.write_part(found, str(path), "other", "all")
+    assert "REBALANCE" not in written[0]._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(f"{path}/runs/other/part=all").count() == found.count() > 0
