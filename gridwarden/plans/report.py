@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwarden.functions import values
-from gridwarden.plans.runs import findings_of, newest
+from gridwarden.plans.runs import ShufflesFreed, findings_of, newest
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,8 @@ def run_dates(findings: DataFrame) -> DataFrame:
 
 def run_date_of(findings: DataFrame) -> date:
     """The one run date of the findings; raises if there is none or more than one."""
-    dates = [row["run_date"] for row in run_dates(findings).take(2)]
+    with ShufflesFreed(findings.sparkSession):
+        dates = [row["run_date"] for row in run_dates(findings).take(2)]
     if len(dates) != 1:
         raise ValueError(f"expected one run date, found {'several' if dates else 'none'}")
     return dates[0]

@@ -28,10 +28,10 @@ def new_run(run_date: date) -> str:
 
 
 class ShufflesFreed:
-    """While a part is written, Spark drops a job's shuffle files as soon as the job has ended.
+    """While a part is written or a question is asked, Spark drops a job's shuffle files as soon as the job has ended.
 
-    Otherwise they stay until the driver collects garbage, those of all parts together. Parts may be written by several
-    threads at a time: the last one puts the session's setting back.
+    Otherwise they stay until the driver collects garbage, those of all parts together. Several threads may be within at
+    a time: the last one puts the session's setting back.
     """
 
     KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -379,3 +379,14 @@ def test_a_run_leaves_no_shuffle_files_and_shuffles_no_finding_to_write_it(spark
     runs.write_part(found, str(path), "other", "all")
     assert "REBALANCE" not in written[0]._jdf.queryExecution().executedPlan().toString()
     assert spark.read.parquet(f"{path}/runs/other/part=all").count() == found.count() > 0
+
+
+def test_asking_for_the_run_date_leaves_no_shuffle_files(spark):
+    found = rule_findings(star_network(spark, SF_DIR), "R07", RUN_DATE)
+    kept = shuffle_files(spark)
+    assert run_date_of(found) == RUN_DATE
+    for _ in range(50):  # files go shortly after the job
+        if not shuffle_files(spark) - kept:
+            break
+        sleep(0.2)
+    assert not shuffle_files(spark) - kept
